@@ -9,7 +9,9 @@ def enrich_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
     """Every review with its product's attributes; reviews without a product keep NULLs.
 
     No broadcast hint: Spark broadcasts the products only when their measured size allows, and
-    otherwise sort-merges. A product with a huge share of the reviews is split by the adaptive
-    skew join, which can split the left side of a left join.
+    otherwise sort-merges. A product with a huge share of the reviews is then split by the
+    adaptive skew join, which can split the left side of a left join. That needs a plain shuffle
+    right below each side, so pass stored tables (or other frames that are not already
+    partitioned by product) rather than the products straight from their deduplication.
     """
     return reviews.join(products, on="product_asin", how="left")

@@ -129,8 +129,9 @@ def quality_report(
     """All checks as (check_name, observed, expected, passed), one row per check.
 
     Checks without an expectation are informational and have NULL in the last two columns. Each
-    table is aggregated once for all its checks; the reconciliation row adds up the monthly total
-    and the negated review count, so it must be zero.
+    table is aggregated once for all its checks, but for the distinct ids: those need a shuffle,
+    which would have to carry the other measures along. The reconciliation row adds up the monthly
+    total and the negated review count, so it must be zero.
     """
     rows = F.count(F.lit(1))
     no_title = F.count_if(F.isnull("product_title"))
@@ -139,7 +140,6 @@ def quality_report(
             reviews,
             rows_reviews=rows,
             missing_keys_reviews=_missing_key(),
-            duplicate_review_ids=_surplus("review_id"),
             invalid_ratings=_bad_rating(),
             invalid_helpful_votes=F.count_if(F.col("helpful_vote_count") < 0),
             monthly_total_difference=-rows,
@@ -148,7 +148,6 @@ def quality_report(
             products,
             rows_products=rows,
             missing_keys_products=_missing_key(),
-            duplicate_product_ids=_surplus("product_asin"),
             invalid_prices=F.count_if(F.col("price") < 0),
             invalid_metadata_counts=F.count_if(F.col("metadata_review_count") < 0),
         ),
@@ -158,6 +157,8 @@ def quality_report(
             unmatched_reviews=no_title,
             unmatched_percent=F.round(F.try_divide(F.lit(100.0) * no_title, rows), 2),
         ),
+        _facts(reviews, duplicate_review_ids=_surplus("review_id")),
+        _facts(products, duplicate_product_ids=_surplus("product_asin")),
         _facts(monthly, monthly_total_difference=F.coalesce(F.sum("review_count"), F.lit(0))),
         year_partitions(reviews).select(
             F.concat(F.lit("rows_in_year_"), "review_year").alias("check_name"),

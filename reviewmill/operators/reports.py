@@ -222,11 +222,17 @@ def top_by_metadata(summary: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
-def detail_by_year(review_product: DataFrame, year: int = 2023, n: int = 100) -> DataFrame:
-    """Some reviews of one year; the filter selects whole partitions of the stored table."""
-    return (
-        review_product.where(F.col("review_year") == year)
-        .orderBy("review_id")
-        .select("review_month", "rating", "is_verified_purchase", "product_title", "brand")
-        .limit(n)
-    )
+def detail_by_year(
+    review_product: DataFrame, year: int = 2023, n: int = 100, order: str | None = None
+) -> DataFrame:
+    """Some reviews of one year; the filter selects whole partitions of the stored table.
+
+    Without an order any rows of the year may come, and the scan stops at the first ``n``; with
+    one, the whole year is ranked.
+    """
+    rows = review_product.where(F.col("review_year") == year)
+    if order:
+        rows = rows.orderBy(order)
+    return rows.select(
+        "review_month", "rating", "is_verified_purchase", "product_title", "brand"
+    ).limit(n)

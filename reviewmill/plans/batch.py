@@ -13,7 +13,7 @@ from reviewmill.functions import cleaning as rule
 from reviewmill.operators import cleaning, joins, summaries
 from reviewmill.schemas import TABLES
 from reviewmill.sources import feeds, tables
-from reviewmill.sources.session import scratch_folder
+from reviewmill.sources.session import scratch_folder, sized_shuffles
 
 log = logging.getLogger(__name__)
 
@@ -113,7 +113,9 @@ def run_batch(spark: SparkSession, reviews_path: str, products_path: str, base:
         feeds.spread(feeds.read_reviews(spark, reviews_path)),
         feeds.spread(feeds.read_products(spark, products_path)),
         base,
-    ).build()
+    )
+    with sized_shuffles(spark, feeds.stored_bytes(spark, reviews_path, products_path)):
+        lake.build()
     for name, seen in lake.seen.items():
         log.info("%s: %s", name, seen.get)
     return lake

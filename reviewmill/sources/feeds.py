@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reviewmill.schemas import PRODUCT_FEED, REVIEW_FEED
 
@@ -25,6 +26,12 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.json(path, schema=schema, mode="PERMISSIVE")
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files below some folders, from their listing; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def write_feed(frame: DataFrame, path: str) -> None:
     """Write rows as gzip'd JSON Lines, the form the readers expect."""
     frame.write.json(path, mode="overwrite", compression="gzip")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -42,6 +45,30 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/reviewmill/{purpose}-{uuid.uuid4().hex}"
 
 
+PARTITION_BYTES = 128 * 1024 * 1024
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Start shuffles with enough partitions for this much input while the block runs.
+
+    The session's fixed partition number suits one size of data. Adaptive execution merges
+    partitions that turn out small but cannot split those of an aggregation or a window, so the
+    starting number has to grow with the input. A number set by the user is kept.
+    """
+    if spark.conf.get(_INITIAL_PARTITIONS, None):
+        yield
+        return
+    at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(at_least, math.ceil(input_bytes / PARTITION_BYTES))
+    spark.conf.set(_INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_INITIAL_PARTITIONS)
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="reviewmill-")
