@@ -34,12 +34,13 @@ class ReviewLake:
         raw_reviews: DataFrame,
         raw_products: DataFrame,
         base: str,
-        scratch: str | None = None,
+        input_bytes: int = 0,
     ):
         self.spark = spark
         self.base = base.rstrip("/")
         self._raw = {"reviews": raw_reviews, "products": raw_products}
-        self._scratch = scratch or scratch_folder(spark, "stages")
+        self._scratch = scratch_folder(spark, "stages")
+        self._input_bytes = input_bytes
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "reviews": lambda: cleaning.clean_reviews(self._observed("reviews")),
             "products": lambda: cleaning.clean_products(self._observed("products")),
@@ -56,7 +57,7 @@ class ReviewLake:
 
     def table(self, name: str) -> DataFrame:
         """A stored table, written now if this run has not done so yet."""
-        with self._writing:
+        with self._writing, sized_shuffles(self.spark, self._input_bytes):
             if name not in self._stored:
                 frame = self._builders[name]()
                 log.info("writing %s", tables.table_path(self.base, name))
@@ -113,9 +114,8 @@ def run_batch(spark: SparkSession, reviews_path: str, products_path: str, base:
         feeds.spread(feeds.read_reviews(spark, reviews_path)),
         feeds.spread(feeds.read_products(spark, products_path)),
         base,
-    )
-    with sized_shuffles(spark, feeds.stored_bytes(spark, reviews_path, products_path)):
-        lake.build()
+        feeds.stored_bytes(spark, reviews_path, products_path),
+    ).build()
     for name, seen in lake.seen.items():
         log.info("%s: %s", name, seen.get)
     return lake

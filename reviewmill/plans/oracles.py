@@ -38,7 +38,7 @@ raw_reviews AS (
     WHERE l_quantity = 50 AND l_linenumber = 1
     UNION ALL
     SELECT least(6.0::DOUBLE, 1 + floor(n_chars / 1000) * 0.5::DOUBLE), NULL, text, source,
-           'D-' || lang, NULL, n_chars * 86400000, NULL, NULL
+           'D-' || lang, NULL, n_chars * 3600000, NULL, NULL
     FROM documents
 ),
 raw_products AS (

@@ -17,7 +17,7 @@ from reviewmill.functions import cleaning as rule
 from reviewmill.functions import display
 from reviewmill.operators import cleaning, joins, quality, reports, summaries
 from reviewmill.plans.batch import ReviewLake
-from reviewmill.plans.supplied import raw_products, raw_reviews
+from reviewmill.plans.supplied import SUPPLIED, raw_products, raw_reviews, supplied_path
 from reviewmill.schemas import TABLES
 from reviewmill.sources import feeds, tables
 from reviewmill.sources.session import scratch_folder
@@ -38,6 +38,7 @@ def lake(spark: SparkSession, sf_dir: str) -> ReviewLake:
                 raw_reviews(spark, sf_dir),
                 raw_products(spark, sf_dir),
                 scratch_folder(spark, "lake"),
+                feeds.stored_bytes(spark, *[supplied_path(sf_dir, name) for name in SUPPLIED]),
             )
         return _lakes[key]
 

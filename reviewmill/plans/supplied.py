@@ -13,11 +13,20 @@ from pyspark.sql import functions as F
 from reviewmill.functions.cleaning import LAST_EPOCH_MS
 
 MS_PER_DAY = 86_400_000
+MS_PER_HOUR = 3_600_000
+
+
+SUPPLIED = ("lineitem", "documents", "part", "supplier")
+
+
+def supplied_path(sf_dir: str, name: str) -> str:
+    """Location of one of the supplied Parquet tables."""
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
 def supplied(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the supplied Parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(supplied_path(sf_dir, name))
 
 
 def _with_copies(frame: DataFrame, has_copy: Column) -> DataFrame:
@@ -76,7 +85,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("asin"),
         _text("D-", F.col("lang")).alias("parent_asin"),
         F.lit(None).cast("string").alias("user_id"),
-        (F.col("n_chars") * F.lit(MS_PER_DAY)).alias("timestamp"),
+        (F.col("n_chars") * F.lit(MS_PER_HOUR)).alias("timestamp"),
         F.lit(None).cast("boolean").alias("verified_purchase"),
         F.lit(None).cast("long").alias("helpful_vote"),
     )
