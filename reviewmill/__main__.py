@@ -1,4 +1,4 @@
-"""Run the batch job: ``spark-submit ... -m reviewmill REVIEWS PRODUCTS BASE [DATABASE]``."""
+"""Run the batch job: read both feeds, write the six tables, optionally register them."""
 
 from __future__ import annotations
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import logging
 import threading
+from collections import defaultdict
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,12 +54,12 @@ class ReviewLake:
             "monthly_review_summary": lambda: summaries.monthly_summary(self._grain()),
         }
         self._stored: dict[str, DataFrame] = {}
-        self._writing = threading.RLock()
+        self._writing = defaultdict(threading.Lock)
         self.seen: dict[str, Observation] = {}
 
     def table(self, name: str) -> DataFrame:
         """A stored table, written now if this run has not done so yet."""
-        with self._writing, sized_shuffles(self.spark, self._input_bytes):
+        with self._writing[name], sized_shuffles(self.spark, self._input_bytes):
             if name not in self._stored:
                 frame = self._builders[name]()
                 log.info("writing %s", tables.table_path(self.base, name))
@@ -66,9 +68,19 @@ class ReviewLake:
             return self._stored[name]
 
     def build(self) -> ReviewLake:
-        """Write all six tables."""
-        for name in TABLES:
-            self.table(name)
+        """Write all six tables.
+
+        Tables that do not depend on each other are submitted together, so that the last tasks of
+        one write do not leave the cluster idle.
+        """
+        derived = [name for name in TABLES if name not in self._raw]
+        with (
+            sized_shuffles(self.spark, self._input_bytes),
+            ThreadPoolExecutor(len(derived)) as pool,
+        ):
+            for group in (list(self._raw), derived):
+                for written in [pool.submit(self.table, name) for name in group]:
+                    written.result()
         return self
 
     def _grain(self) -> DataFrame:
@@ -83,12 +95,13 @@ class ReviewLake:
         )
 
     def _stage(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._stored:
-            path = f"{self._scratch}/{name}"
-            frame = make()
-            tables.write_parquet(frame, path)
-            self._stored[name] = self.spark.read.schema(frame.schema).parquet(path)
-        return self._stored[name]
+        with self._writing[name]:
+            if name not in self._stored:
+                path = f"{self._scratch}/{name}"
+                frame = make()
+                tables.write_parquet(frame, path)
+                self._stored[name] = self.spark.read.schema(frame.schema).parquet(path)
+            return self._stored[name]
 
     def _observed(self, name: str) -> DataFrame:
         """The raw feed, counting lines and lines without a key while the table is written.

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from helpers import PRODUCT, REVIEW, plan, rows
 from reviewmill.operators import cleaning
+from reviewmill import __main__ as command
 from reviewmill.plans import batch, registry
 from reviewmill.plans.supplied import raw_products, raw_reviews
 from reviewmill.schemas import TABLES
@@ -183,6 +184,12 @@ def test_shuffles_grow_with_the_input(spark):
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     with session.sized_shuffles(spark, 100 * session.PARTITION_BYTES):
         assert spark.conf.get(name) == "100"
+        with session.sized_shuffles(spark, 1):
+            assert spark.conf.get(name) == "100"
+    with session.sized_shuffles(spark, 10**14):
+        assert spark.conf.get(name) == str(session.MOST_PARTITIONS)
+    with session.sized_shuffles(spark, 1):
+        assert spark.conf.get(name) == spark.conf.get("spark.sql.shuffle.partitions")
     assert spark.conf.get(name, None) is None
 
 
@@ -196,3 +203,21 @@ def test_batch_logs_what_it_wrote_and_what_it_read(caplog, spark, feed_paths, tm
         batch.run_batch(spark, *feed_paths, str(tmp_path))
     assert sum("writing" in r.getMessage() for r in caplog.records) == 6
     assert any("without_key" in r.getMessage() for r in caplog.records)
+
+
+def test_empty_feeds_give_empty_tables(spark, tmp_path):
+    for name in ("reviews", "products"):
+        (tmp_path / name).mkdir()
+    base = str(tmp_path / "base")
+    lake = batch.run_batch(spark, str(tmp_path / "reviews"), str(tmp_path / "products"), base)
+    assert {name: lake.table(name).count() for name in TABLES} == dict.fromkeys(TABLES, 0)
+    tables.register_tables(spark, base, "nothing")
+    assert spark.table("nothing.reviews").count() == 0
+
+
+def test_command_line(spark, monkeypatch, feed_paths, tmp_path):
+    base = str(tmp_path)
+    monkeypatch.setattr("sys.argv", ["reviewmill", *feed_paths, base, "--database", "by_command"])
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    command.main()
+    assert spark.table("by_command.reviews").count() == 6153

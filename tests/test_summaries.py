@@ -136,3 +136,4 @@ def test_hot_product_is_split_in_the_join(spark, settings, tmp_path):
     )
     assert joined.where("brand = 'H'").count() == 20000
     assert "SortMergeJoin(skew=true)" in final_plan(joined)
+    assert "SortMergeJoin(skew=true)" in final_plan(joined.hint("rebalance", "brand"))
