@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions import cleaning as rule
 from reviewmill.functions import display
-from reviewmill.operators.summaries import STARS
+from reviewmill.operators.summaries import STAR_MEASURES, STARS
+
+
+# How reports name purchase types and trend series.
+PURCHASE_TYPES = {"verified": "Verified", "other": "Non-verified"}
+TREND_SERIES = {"review_count": "Monthly reviews", "rolling_reviews": "3-month average"}
 
 
 def overall_metrics(monthly: DataFrame, digits: int | None = 2) -> DataFrame:
@@ -41,21 +46,17 @@ def rating_share(monthly: DataFrame) -> DataFrame:
     Five sums in one pass, then turned into rows: the table is scanned once, and the total is
     at hand in the same row.
     """
-    names = [f"rating_{star}_count" for star in STARS]
-    totals = monthly.agg(*[F.sum(name).alias(name) for name in names])
-    total = sum((F.coalesce(F.col(name), F.lit(0)) for name in names), F.lit(0))
-    share = {
-        name: F.coalesce(F.try_divide(F.col(name), total), F.lit(0.0)) for name in names
-    }
+    totals = monthly.agg(*[F.sum(name).alias(name) for name in STAR_MEASURES])
+    total = sum((F.coalesce(F.col(name), F.lit(0)) for name in STAR_MEASURES), F.lit(0))
     return _as_rows(
         totals,
         *[
             F.struct(
                 F.lit(star).alias("rating"),
                 F.col(name).alias("review_count"),
-                share[name].alias("review_share"),
+                F.coalesce(F.try_divide(F.col(name), total), F.lit(0.0)).alias("review_share"),
             )
-            for star, name in zip(STARS, names)
+            for star, name in zip(STARS, STAR_MEASURES)
         ],
     ).orderBy("rating")
 
@@ -73,8 +74,10 @@ def verification_split(monthly: DataFrame) -> DataFrame:
     )
     return _as_rows(
         totals,
-        F.struct(F.lit("Verified").alias("purchase_type"), F.col("verified").alias("review_count")),
-        F.struct(F.lit("Non-verified").alias("purchase_type"), F.col("other").alias("review_count")),
+        *[
+            F.struct(F.lit(label).alias("purchase_type"), F.col(name).alias("review_count"))
+            for name, label in PURCHASE_TYPES.items()
+        ],
     ).orderBy(F.desc("review_count"), "purchase_type")
 
 
@@ -149,11 +152,9 @@ def monthly_rolling(monthly: DataFrame, rows: int = 3) -> DataFrame:
 
 def monthly_trend_long(monthly: DataFrame) -> DataFrame:
     """Volume and trailing mean as one (month, series, reviews) frame."""
-    return monthly_rolling(monthly).select(
-        "month",
-        F.col("review_count").cast("double").alias("Monthly reviews"),
-        F.col("rolling_reviews").alias("3-month average"),
-    ).unpivot("month", ["Monthly reviews", "3-month average"], "series", "reviews")
+    series = [F.col(name).cast("double").alias(label) for name, label in TREND_SERIES.items()]
+    wide = monthly_rolling(monthly).select("month", *series)
+    return wide.unpivot("month", list(TREND_SERIES.values()), "series", "reviews")
 
 
 def _comparable(summary: DataFrame, min_reviews: int) -> DataFrame:

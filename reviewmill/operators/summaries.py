@@ -1,8 +1,9 @@
-"""Pre-aggregated tables, all folded from one narrow grain of the reviews.
+"""Pre-aggregated tables, all folded from the same additive measures of the reviews.
 
-``product_month_stats`` is the only aggregate that reads reviews. Product, brand and monthly
-figures are roll-ups of it, so the reviews are scanned and shuffled once, sums are combined
-before the shuffle, and a month's distinct products are simply its number of grain rows.
+The batch job stores the measures per product and month once; product, brand and monthly figures
+are roll-ups of that grain, so the reviews are scanned and shuffled once, sums are combined before
+the shuffle, and a month's distinct products are simply its number of grain rows. A query that needs
+product figures only takes them from the reviews directly, which saves the shuffle by month.
 """
 
 from __future__ import annotations
@@ -13,52 +14,56 @@ from pyspark.sql import functions as F
 from reviewmill.functions import cleaning as rule
 
 STARS = range(1, 6)
-_ADDITIVE = [
+PRODUCT_MEASURES = [
     "review_count",
     "rated_review_count",
     "rating_sum",
-    *[f"rating_{star}_count" for star in STARS],
     "verified_review_count",
     "helpful_vote_count",
 ]
+STAR_MEASURES = [f"rating_{star}_count" for star in STARS]
 
 
-def product_month_stats(reviews: DataFrame) -> DataFrame:
-    """Additive measures per product and month.
+def _measures() -> list[Column]:
+    """All additive measures of a group of reviews.
 
     Counts rows instead of ids: the id is never NULL and is the widest incompressible column.
     """
-    stars = [F.count_if(F.col("rating") == star).alias(f"rating_{star}_count") for star in STARS]
-    return reviews.groupBy("product_asin", "review_year", "review_month").agg(
+    return [
         F.count(F.lit(1)).alias("review_count"),
         F.count("rating").alias("rated_review_count"),
         F.sum("rating").alias("rating_sum"),
-        *stars,
         F.count_if("is_verified_purchase").alias("verified_review_count"),
         F.sum("helpful_vote_count").alias("helpful_vote_count"),
-    )
+        *[
+            F.count_if(F.col("rating") == star).alias(name)
+            for star, name in zip(STARS, STAR_MEASURES)
+        ],
+    ]
 
 
 def _totals(*names: str) -> list[Column]:
     return [F.sum(name).alias(name) for name in names]
 
 
-def product_stats(grain: DataFrame) -> DataFrame:
-    """Additive measures per product."""
-    return grain.groupBy("product_asin").agg(
-        *_totals(
-            "review_count",
-            "rated_review_count",
-            "rating_sum",
-            "verified_review_count",
-            "helpful_vote_count",
-        )
-    )
+def product_month_stats(reviews: DataFrame) -> DataFrame:
+    """Measures per product and month."""
+    return reviews.groupBy("product_asin", "review_year", "review_month").agg(*_measures())
+
+
+def product_stats(reviews: DataFrame) -> DataFrame:
+    """Measures per product, from the reviews."""
+    return reviews.groupBy("product_asin").agg(*_measures())
 
 
-def product_review_stats(grain: DataFrame) -> DataFrame:
+def product_stats_from(grain: DataFrame) -> DataFrame:
+    """Measures per product, from the stored grain."""
+    return grain.groupBy("product_asin").agg(*_totals(*PRODUCT_MEASURES, *STAR_MEASURES))
+
+
+def product_review_stats(stats: DataFrame) -> DataFrame:
     """Review figures of every reviewed product."""
-    return product_stats(grain).select(
+    return stats.select(
         "product_asin",
         "review_count",
         "rated_review_count",
@@ -73,20 +78,21 @@ def product_review_stats(grain: DataFrame) -> DataFrame:
     )
 
 
-def product_rollup(products: DataFrame, grain: DataFrame) -> DataFrame:
-    """Full outer join of products and their review totals, one row per known product key.
+def product_rollup(products: DataFrame, stats: DataFrame) -> DataFrame:
+    """Full outer join of products and their review measures, one row per known product key.
 
     Both sides have unique keys, so no key is hot here however skewed the reviews are.
     ``is_listed`` tells whether the product feed has the key. Keeps the exact rating sum, so
     brands can be averaged over reviews instead of over rounded product means.
     """
     listed = products.withColumn("is_listed", F.lit(True))
-    joined = listed.join(product_stats(grain), on="product_asin", how="full")
-    return joined.fillna(False, "is_listed").withColumn(
-        "brand", rule.known_brand(F.col("brand"))
-    ).fillna(
-        0,
-        ["review_count", "rated_review_count", "verified_review_count", "helpful_vote_count"],
+    reviewed = stats.select("product_asin", *PRODUCT_MEASURES)
+    counts = [name for name in PRODUCT_MEASURES if name != "rating_sum"]
+    return (
+        listed.join(reviewed, on="product_asin", how="full")
+        .withColumn("brand", rule.known_brand(F.col("brand")))
+        .fillna(False, "is_listed")
+        .fillna(0, counts)
     )
 
 
@@ -172,7 +178,8 @@ def brand_summary(rollup: DataFrame) -> DataFrame:
 def monthly_summary(grain: DataFrame) -> DataFrame:
     """Volume, rating, star, verification and product figures per month."""
     totals = grain.groupBy("review_year", "review_month").agg(
-        *_totals(*_ADDITIVE), F.count(F.lit(1)).alias("reviewed_product_count")
+        *_totals(*PRODUCT_MEASURES, *STAR_MEASURES),
+        F.count(F.lit(1)).alias("reviewed_product_count"),
     )
     return totals.select(
         "review_year",
@@ -181,7 +188,7 @@ def monthly_summary(grain: DataFrame) -> DataFrame:
         "rated_review_count",
         F.round("rating_sum", 3).alias("rating_sum"),
         rule.mean(F.col("rating_sum"), F.col("rated_review_count"), 3).alias("average_rating"),
-        *[f"rating_{star}_count" for star in STARS],
+        *STAR_MEASURES,
         "verified_review_count",
         (F.col("review_count") - F.col("verified_review_count")).alias(
             "non_verified_review_count"

@@ -91,7 +91,9 @@ class ReviewLake:
     def _rollup(self) -> DataFrame:
         return self._stage(
             "product_rollup",
-            lambda: summaries.product_rollup(self.table("products"), self._grain()),
+            lambda: summaries.product_rollup(
+                self.table("products"), summaries.product_stats_from(self._grain())
+            ),
         )
 
     def _stage(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:

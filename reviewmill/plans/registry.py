@@ -87,12 +87,17 @@ def _stored(build: Callable[..., DataFrame], *names: str) -> Query:
     )
 
 
-def _grain(reviews: DataFrame) -> DataFrame:
-    return summaries.product_month_stats(cleaning.clean_reviews(reviews))
+def _stats(reviews: DataFrame) -> DataFrame:
+    return summaries.product_stats(cleaning.clean_reviews(reviews))
 
 
 def _rollup(reviews: DataFrame, products: DataFrame) -> DataFrame:
-    return summaries.product_rollup(cleaning.clean_products(products), _grain(reviews))
+    return summaries.product_rollup(cleaning.clean_products(products), _stats(reviews))
+
+
+def _monthly(reviews: DataFrame) -> DataFrame:
+    grain = summaries.product_month_stats(cleaning.clean_reviews(reviews))
+    return summaries.monthly_summary(grain)
 
 
 RULES: dict[str, Query] = {
@@ -172,7 +177,7 @@ OPERATORS: dict[str, Query] = {
     ),
     "enrich_reviews": _stored(joins.enrich_reviews, "reviews", "products"),
     "product_review_stats": _operator(
-        lambda reviews, _: summaries.product_review_stats(_grain(reviews))
+        lambda reviews, _: summaries.product_review_stats(_stats(reviews))
     ),
     "product_summary": _operator(
         lambda reviews, products: summaries.product_summary(_rollup(reviews, products))
@@ -186,7 +191,7 @@ OPERATORS: dict[str, Query] = {
     "brand_summary": _operator(
         lambda reviews, products: summaries.brand_summary(_rollup(reviews, products))
     ),
-    "monthly_summary": _operator(lambda reviews, _: summaries.monthly_summary(_grain(reviews))),
+    "monthly_summary": _operator(lambda reviews, _: _monthly(reviews)),
 }
 
 _MONTHLY = "monthly_review_summary"

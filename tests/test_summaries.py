@@ -21,7 +21,7 @@ def both(spark, review_rows, product_rows):
 
 def rollup(spark, review_rows, product_rows):
     cleaned, listed = both(spark, review_rows, product_rows)
-    return summaries.product_rollup(listed, summaries.product_month_stats(cleaned))
+    return summaries.product_rollup(listed, summaries.product_stats(cleaned))
 
 
 MIXED_REVIEWS = [
@@ -80,7 +80,7 @@ def test_unknown_brand_without_products(spark):
 def test_brand_summary_is_the_full_join_of_its_halves(spark):
     cleaned = cleaning.clean_reviews(raw_reviews(spark, SMALL))
     listed = cleaning.clean_products(raw_products(spark, SMALL))
-    joined = summaries.product_rollup(listed, summaries.product_month_stats(cleaned))
+    joined = summaries.product_rollup(listed, summaries.product_stats(cleaned))
     halves = (
         summaries.brand_product_stats(listed)
         .join(summaries.brand_review_stats(joined), "brand", "full")
@@ -101,6 +101,14 @@ def test_monthly_summary(spark):
     ]
 
 
+def test_product_figures_agree_from_reviews_and_from_the_grain(spark):
+    cleaned = cleaning.clean_reviews(raw_reviews(spark, SMALL))
+    direct = summaries.product_stats(cleaned)
+    rolled = summaries.product_stats_from(summaries.product_month_stats(cleaned))
+    assert direct.columns == rolled.columns
+    assert rows(direct) == rows(rolled)
+
+
 def test_month_without_ratings_has_no_average(spark):
     cleaned, _ = both(spark, [{"rating": None}], [{}])
     monthly = summaries.monthly_summary(summaries.product_month_stats(cleaned))
