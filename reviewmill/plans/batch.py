@@ -10,6 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from reviewmill.functions import cleaning as rule
 from reviewmill.operators import cleaning, joins, summaries
@@ -71,15 +72,16 @@ class ReviewLake:
         """Write all six tables.
 
         Tables that do not depend on each other are submitted together, so that the last tasks of
-        one write do not leave the cluster idle.
+        one write do not leave the cluster idle. The caller's job group applies to all of them.
         """
+        write = inheritable_thread_target(self.spark)(self.table)
         derived = [name for name in TABLES if name not in self._raw]
         with (
             sized_shuffles(self.spark, self._input_bytes),
             ThreadPoolExecutor(len(derived)) as pool,
         ):
             for group in (list(self._raw), derived):
-                for written in [pool.submit(self.table, name) for name in group]:
+                for written in [pool.submit(write, name) for name in group]:
                     written.result()
         return self
 

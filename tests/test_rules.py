@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -90,6 +92,23 @@ def test_price(spark):
     assert values(spark, "STRING", list(cases), rule.price) == list(cases.values())
 
 
+def test_price_on_random_texts(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("0123456789.,$- e\t", k=rng.randint(0, 9))) for _ in range(4000)]
+    texts += [f"{rng.randint(0, 10**9)}.{rng.randint(0, 999)}" for _ in range(500)]
+
+    def expected(text):
+        digits = text.strip(" ").replace("$", "").replace(",", "")
+        if not re.fullmatch(r"[0-9]+(\.[0-9]{1,2})?", digits):
+            return None
+        amount = Decimal(digits)
+        return amount if amount < 10**8 else None
+
+    got = values(spark, "STRING", texts, rule.price)
+    assert got == [expected(text) for text in texts]
+    assert sum(value is not None for value in got) > 300
+
+
 def test_brand(spark):
     assert values(spark, "STRING", [" x ", "  ", "", None], rule.brand) == [
         "x",
