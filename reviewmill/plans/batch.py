@@ -41,12 +41,17 @@ class ReviewLake:
     ):
         self.spark = spark
         self.base = base.rstrip("/")
-        self._raw = {"reviews": raw_reviews, "products": raw_products}
+        self.raw_reviews = raw_reviews
+        self.raw_products = raw_products
         self._scratch = scratch_folder(spark, "stages")
         self._input_bytes = input_bytes
         self._builders: dict[str, Callable[[], DataFrame]] = {
-            "reviews": lambda: cleaning.clean_reviews(self._observed("reviews")),
-            "products": lambda: cleaning.clean_products(self._observed("products")),
+            "reviews": lambda: cleaning.clean_reviews(
+                self._observed("reviews", raw_reviews, "parent_asin", "asin")
+            ),
+            "products": lambda: cleaning.clean_products(
+                self._observed("products", raw_products, "parent_asin")
+            ),
             "review_product": lambda: joins.enrich_reviews(
                 self.table("reviews"), self.table("products")
             ),
@@ -75,12 +80,13 @@ class ReviewLake:
         one write do not leave the cluster idle. The caller's job group applies to all of them.
         """
         write = inheritable_thread_target(self.spark)(self.table)
-        derived = [name for name in TABLES if name not in self._raw]
+        cleaned = ["reviews", "products"]
+        derived = [name for name in TABLES if name not in cleaned]
         with (
             sized_shuffles(self.spark, self._input_bytes),
             ThreadPoolExecutor(len(derived)) as pool,
         ):
-            for group in (list(self._raw), derived):
+            for group in (cleaned, derived):
                 for written in [pool.submit(write, name) for name in group]:
                     written.result()
         return self
@@ -107,14 +113,12 @@ class ReviewLake:
                 self._stored[name] = self.spark.read.schema(frame.schema).parquet(path)
             return self._stored[name]
 
-    def _observed(self, name: str) -> DataFrame:
+    def _observed(self, name: str, raw: DataFrame, *ids: str) -> DataFrame:
         """The raw feed, counting lines and lines without a key while the table is written.
 
         Such lines (which include unreadable ones) are dropped by the cleaning; the counts cost no
         extra pass. They go to the log only, since a recomputed task may count twice.
         """
-        raw = self._raw[name]
-        ids = ["parent_asin", "asin"] if name == "reviews" else ["parent_asin"]
         key = rule.product_key(*[F.col(column) for column in ids])
         self.seen[name] = Observation(f"raw {name}")
         return raw.observe(

@@ -20,7 +20,7 @@ from reviewmill.plans.batch import ReviewLake
 from reviewmill.plans.supplied import SUPPLIED, raw_products, raw_reviews, supplied_path
 from reviewmill.schemas import TABLES
 from reviewmill.sources import feeds, tables
-from reviewmill.sources.session import scratch_folder
+from reviewmill.sources.session import scratch_folder, size_shuffles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,16 +29,21 @@ _lakes_lock = threading.Lock()
 
 
 def lake(spark: SparkSession, sf_dir: str) -> ReviewLake:
-    """Stored tables of an input folder, shared by all queries of this application."""
+    """Stored tables of an input folder, shared by all queries of this application.
+
+    Queries run after they have been returned, so the size of their shuffles, too, is settled here,
+    for the session. Nothing is written before a query asks for a table.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     with _lakes_lock:
         if key not in _lakes:
+            paths = [supplied_path(sf_dir, name) for name in SUPPLIED]
+            size_shuffles(spark, feeds.stored_bytes(spark, *paths))
             _lakes[key] = ReviewLake(
                 spark,
                 raw_reviews(spark, sf_dir),
                 raw_products(spark, sf_dir),
                 scratch_folder(spark, "lake"),
-                feeds.stored_bytes(spark, *[supplied_path(sf_dir, name) for name in SUPPLIED]),
             )
         return _lakes[key]
 
@@ -56,18 +61,29 @@ def _plain(frame: DataFrame) -> DataFrame:
     return frame.withColumns(plain) if plain else frame
 
 
-def _feed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_reviews(spark, sf_dir).withColumn(
+Feed = Callable[[ReviewLake], DataFrame]
+
+
+def _reviews(source: ReviewLake) -> DataFrame:
+    return source.raw_reviews
+
+
+def _products(source: ReviewLake) -> DataFrame:
+    return source.raw_products
+
+
+def _reviews_with_key(source: ReviewLake) -> DataFrame:
+    return source.raw_reviews.withColumn(
         "product_asin", rule.product_key(F.col("parent_asin"), F.col("asin"))
     )
 
 
-def _rule(feed: Query, columns: Callable[[], dict[str, Column]]) -> Query:
+def _rule(feed: Feed, columns: Callable[[], dict[str, Column]]) -> Query:
     """A rule over a whole feed, as the number of rows of every (input, output) pair."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         named = [column.alias(name) for name, column in columns().items()]
-        pairs = feed(spark, sf_dir).groupBy(*named)
+        pairs = feed(lake(spark, sf_dir)).groupBy(*named)
         return _plain(pairs.agg(F.count(F.lit(1)).alias("n")))
 
     return query
@@ -75,9 +91,12 @@ def _rule(feed: Query, columns: Callable[[], dict[str, Column]]) -> Query:
 
 def _operator(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     """An operator over both raw feeds."""
-    return lambda spark, sf_dir: _plain(
-        build(raw_reviews(spark, sf_dir), raw_products(spark, sf_dir))
-    )
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = lake(spark, sf_dir)
+        return _plain(build(source.raw_reviews, source.raw_products))
+
+    return query
 
 
 def _stored(build: Callable[..., DataFrame], *names: str) -> Query:
@@ -102,61 +121,59 @@ def _monthly(reviews: DataFrame) -> DataFrame:
 
 RULES: dict[str, Query] = {
     "resolve_product_key": _rule(
-        _feed_reviews,
+        _reviews_with_key,
         lambda: {name: F.col(name) for name in ("parent_asin", "asin", "product_asin")},
     ),
     "drop_missing_key": _rule(
-        lambda spark, sf_dir: _feed_reviews(spark, sf_dir).where(
-            rule.is_present(F.col("product_asin"))
-        ),
+        lambda source: _reviews_with_key(source).where(rule.is_present(F.col("product_asin"))),
         lambda: {"product_asin": F.col("product_asin")},
     ),
     "valid_rating": _rule(
-        raw_reviews,
+        _reviews,
         lambda: {"raw_rating": F.col("rating"), "rating": rule.valid_rating(F.col("rating"))},
     ),
     "non_negative_count": _rule(
-        raw_reviews,
+        _reviews,
         lambda: {
             "helpful_vote": F.col("helpful_vote"),
             "helpful_vote_count": rule.non_negative_long(F.col("helpful_vote")),
         },
     ),
     "epoch_ms_to_timestamp": _rule(
-        raw_reviews,
+        _reviews,
         lambda: {
             "epoch_ms": F.col("timestamp"),
             "review_timestamp": rule.utc_time(rule.epoch_seconds(F.col("timestamp"))).instant,
         },
     ),
     "default_false_flag": _rule(
-        raw_reviews,
+        _reviews,
         lambda: {
             "verified_purchase": F.col("verified_purchase"),
             "is_verified_purchase": rule.flag(F.col("verified_purchase")),
         },
     ),
     "year_month_sentinels": _rule(
-        raw_reviews,
+        _reviews,
         lambda: {
             "review_year": rule.utc_time(rule.epoch_seconds(F.col("timestamp"))).year,
             "review_month": rule.utc_time(rule.epoch_seconds(F.col("timestamp"))).month,
         },
     ),
     "stable_review_id": _rule(
-        lambda spark, sf_dir: cleaning.keyed_reviews(raw_reviews(spark, sf_dir)),
+        lambda source: cleaning.keyed_reviews(source.raw_reviews),
         lambda: {"review_id": F.col("review_id")},
     ),
     "parse_price": _rule(
-        raw_products,
+        _products,
         lambda: {"price_text": F.col("price"), "price": rule.price(F.col("price"))},
     ),
     "normalize_brand": _rule(
-        raw_products, lambda: {"store": F.col("store"), "brand": rule.brand(F.col("store"))}
+        _products, lambda: {"store": F.col("store"), "brand": rule.brand(F.col("store"))}
     ),
     "coerce_numeric": _rule(
-        lambda spark, sf_dir: display.coerce_numeric(
-            raw_products(spark, sf_dir), ["price", "rating_number", "absent"]
+        lambda source: display.coerce_numeric(
+            source.raw_products, ["price", "rating_number", "absent"]
         ),
         lambda: {"price": F.col("price"), "rating_number": F.col("rating_number")},
     ),
@@ -243,23 +260,23 @@ CHECKS: dict[str, Query] = {
 }
 
 
-def _scan(write: Query, read: Callable[[SparkSession, str], DataFrame]) -> Query:
+def _scan(feed: Feed, read: Callable[[SparkSession, str], DataFrame]) -> Query:
     """A feed written as gzip'd JSON Lines and read back under its schema."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_folder(spark, "feed")
-        feeds.write_feed(write(spark, sf_dir), path)
+        feeds.write_feed(feed(lake(spark, sf_dir)), path)
         return read(spark, path)
 
     return query
 
 
-def _sink(name: str, build: Callable[[SparkSession, str], DataFrame]) -> Query:
+def _sink(name: str, build: Feed) -> Query:
     """A stored table written to a new folder and read back."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = scratch_folder(spark, "sink")
-        tables.write_table(build(spark, sf_dir), base, name)
+        tables.write_table(build(lake(spark, sf_dir)), base, name)
         return _plain(tables.read_table(spark, base, name))
 
     return query
@@ -293,13 +310,13 @@ def _check_tables_present(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STORAGE: dict[str, Query] = {
-    "scan_reviews_jsonl": _scan(raw_reviews, feeds.read_reviews),
-    "scan_products_jsonl": _scan(raw_products, feeds.read_products),
+    "scan_reviews_jsonl": _scan(_reviews, feeds.read_reviews),
+    "scan_products_jsonl": _scan(_products, feeds.read_products),
     "sink_parquet_roundtrip": _sink(
-        "products", lambda spark, sf_dir: cleaning.clean_products(raw_products(spark, sf_dir))
+        "products", lambda source: cleaning.clean_products(source.raw_products)
     ),
     "sink_partitioned_roundtrip": _sink(
-        "reviews", lambda spark, sf_dir: cleaning.clean_reviews(raw_reviews(spark, sf_dir))
+        "reviews", lambda source: cleaning.clean_reviews(source.raw_reviews)
     ),
     "batch_row_counts": _batch_row_counts,
     "catalog_register": _catalog_register,

@@ -51,26 +51,32 @@ MOST_PARTITIONS = 32_768
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-@contextmanager
-def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Start shuffles with enough partitions for this much input while the block runs.
+def size_shuffles(spark: SparkSession, input_bytes: int) -> bool:
+    """Start shuffles with enough partitions for this much input; tells whether it had to.
 
     The session's fixed partition number suits one size of data. Adaptive execution merges
     partitions that turn out small but cannot split those of an aggregation or a window, so the
     starting number has to grow with the input. It stops growing where the driver's table of map
     output sizes would become the bottleneck; beyond that, partitions get larger and spill. A
-    number set by the user is kept.
+    starting number set by the user is kept.
     """
-    if spark.conf.get(_INITIAL_PARTITIONS, None):
-        yield
-        return
     by_size = min(math.ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS)
-    at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(_INITIAL_PARTITIONS, str(max(at_least, by_size)))
+    enough = int(spark.conf.get("spark.sql.shuffle.partitions")) >= by_size
+    if enough or spark.conf.get(_INITIAL_PARTITIONS, None):
+        return False
+    spark.conf.set(_INITIAL_PARTITIONS, str(by_size))
+    return True
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """The same for the jobs of a block."""
+    changed = size_shuffles(spark, input_bytes)
     try:
         yield
     finally:
-        spark.conf.unset(_INITIAL_PARTITIONS)
+        if changed:
+            spark.conf.unset(_INITIAL_PARTITIONS)
 
 
 @cache
