@@ -80,13 +80,13 @@ def utc_time(seconds: Column) -> UtcTime:
     sentinel year and month.
     """
     epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-    wall = epoch + F.make_dt_interval(secs=seconds)
-    text = wall.cast("string")
+    wall = epoch + F.expr("INTERVAL '1' SECOND") * seconds
+    day = wall.cast("date")
     return UtcTime(
         instant=F.timestamp_seconds(seconds),
-        text=text,
-        year=F.coalesce(F.year(wall), F.lit(UNKNOWN_YEAR)),
-        month=F.coalesce(F.left(text, F.lit(7)), F.lit(UNKNOWN_MONTH)),
+        text=wall.cast("string"),
+        year=F.coalesce(F.year(day), F.lit(UNKNOWN_YEAR)),
+        month=F.coalesce(F.left(day.cast("string"), F.lit(7)), F.lit(UNKNOWN_MONTH)),
     )
 
 
