@@ -5,10 +5,9 @@ from __future__ import annotations
 import itertools
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
-from helpers import plan, products, reviews, rows
+from helpers import PRODUCT, REVIEW, plan, products, reviews, rows
 from reviewmill.operators import cleaning
 from reviewmill.schemas import TABLES
 
@@ -120,7 +119,13 @@ def test_product_rules_and_survivor(spark):
         {"rating_number": 9, "title": "many, cheap", "price": "1"},
         {"parent_asin": "  "},
         {"parent_asin": None},
-        {"parent_asin": "P2", "store": " ", "price": "?", "average_rating": 0.5, "rating_number": -1},
+        {
+            "parent_asin": "P2",
+            "store": " ",
+            "price": "?",
+            "average_rating": 0.5,
+            "rating_number": -1,
+        },
     )
     got = rows(cleaning.clean_products(raw), "product_asin", "product_title", "brand", "price")
     assert [r[:3] for r in got] == [("P1", "many, cheap", "b"), ("P2", "t", "Unknown")]
@@ -129,28 +134,41 @@ def test_product_rules_and_survivor(spark):
     assert unusable.metadata_review_count == 0
 
 
-@pytest.mark.parametrize("hot", ["id", "product"])
-def test_hot_group_is_cut_before_the_shuffle(spark, hot):
-    """A third of all rows share one id: every task passes on one row of it."""
-    raw = reviews(spark, {}).crossJoin(spark.range(0, 3000, 1, 6)).select(
-        F.when(F.col("id") < 1000, "same").otherwise(F.col("id").cast("string")).alias("text"),
-        *[c for c in reviews(spark, {}).columns if c != "text"],
-    ) if hot == "id" else None
-    if raw is None:
-        keyed = cleaning.keyed_products(
-            spark.range(0, 3000, 1, 6).select(
-                F.when(F.col("id") < 1000, "P").otherwise(F.col("id").cast("string")).alias("parent_asin"),
-                *[F.lit("1").alias(c) for c in ("title", "store", "main_category", "price", "average_rating")],
-                F.col("id").alias("rating_number"),
-            )
-        )
-        frame = cleaning.dedup_products(keyed)
-    else:
-        frame = cleaning.clean_reviews(raw)
-    assert frame.count() == 2001
-    text = plan(frame)
-    exchange = text.index("Exchange hashpartitioning")
-    assert "Final" in text[:exchange] and "Partial" in text[exchange:]
+def _third(hot, other):
+    """The hot value for a third of 3000 numbered rows, one value each for the rest."""
+    return F.when(F.col("id") < 1000, hot).otherwise(other)
+
+
+def _cut_before_the_shuffle(frame):
+    final, partial = plan(frame).split("Exchange hashpartitioning")
+    return "row_number(), 1, Final" in final and "row_number(), 1, Partial" in partial
+
+
+def test_a_third_of_all_reviews_are_copies(spark):
+    """Every task passes on one row of the hot id."""
+    number = F.col("id").cast("string")
+    raw = spark.range(0, 3000, 1, 6).select(
+        *[
+            _third("same", number).alias(name) if name == "text" else F.lit(value).alias(name)
+            for name, value in REVIEW.items()
+        ]
+    )
+    cleaned = cleaning.clean_reviews(raw)
+    assert cleaned.count() == 2001
+    assert _cut_before_the_shuffle(cleaned)
+
+
+def test_a_third_of_all_products_are_copies(spark):
+    number = F.col("id").cast("string")
+    raw = spark.range(0, 3000, 1, 6).select(
+        *[
+            _third("P", number).alias(name) if name == "parent_asin" else F.lit(value).alias(name)
+            for name, value in PRODUCT.items()
+        ]
+    )
+    cleaned = cleaning.clean_products(raw)
+    assert cleaned.count() == 2001
+    assert _cut_before_the_shuffle(cleaned)
 
 
 def test_texts_stay_out_of_the_shuffle_when_not_read(spark):

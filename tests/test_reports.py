@@ -105,8 +105,15 @@ def summary(spark):
         spark,
         "product_summary",
         *[
-            {"product_asin": f"P{i}", "review_count": n, "price": p and Decimal(p), "average_review_rating": a,
-             "metadata_review_count": m, "product_title": f"title {i}", "brand": "b"}
+            {
+                "product_asin": f"P{i}",
+                "review_count": n,
+                "price": p and Decimal(p),
+                "average_review_rating": a,
+                "metadata_review_count": m,
+                "product_title": f"title {i}",
+                "brand": "b",
+            }
             for i, (n, p, a, m) in enumerate(
                 [(9, 10, 4.0, None), (9, 30, 2.0, 7), (5, 20, 5.0, 9), (4, 20, 1.0, 8),
                  (0, 20, None, 1), (7, None, 3.0, 2)]
@@ -125,7 +132,8 @@ def test_top_products_breaks_ties_by_key(summary):
 
 
 def test_price_reports_need_price_rating_and_five_reviews(summary):
-    assert [r.product_asin for r in reports.price_vs_rating(summary).collect()] == ["P0", "P1", "P2"]
+    points = reports.price_vs_rating(summary).collect()
+    assert [r.product_asin for r in points] == ["P0", "P1", "P2"]
     got = [tuple(r) for r in reports.price_bands(summary).collect()]
     assert got == [("$0–24", 1, 2, 14, 4.5), ("$25–49", 2, 1, 9, 2.0)]
 
@@ -145,7 +153,8 @@ def test_brand_rankings(spark):
         {"brand": "x", "review_count": 10, "average_review_rating": 2.0},
         {"brand": "few", "review_count": 9, "average_review_rating": 5.0},
     )
-    assert [r.brand for r in reports.top_brands(brands).collect()] == ["Unknown", "unrated", "x", "y"]
+    top = reports.top_brands(brands).collect()
+    assert [r.brand for r in top] == ["Unknown", "unrated", "x", "y"]
     assert [r.brand for r in reports.brand_performance(brands).collect()] == ["x", "y"]
     assert "average_product_price" not in reports.brand_performance(brands).columns
 

@@ -67,7 +67,8 @@ def test_time_forms_do_not_depend_on_the_session_zone(spark, settings, zone):
 
 
 def test_content_id(spark):
-    frame = spark.createDataFrame([("a", None, "c"), ("a", "", "c")], "a STRING, b STRING, c STRING")
+    given = [("a", None, "c"), ("a", "", "c")]
+    frame = spark.createDataFrame(given, "a STRING, b STRING, c STRING")
     expected = hashlib.sha256(b"a||||c").hexdigest()
     ids = frame.select(rule.content_id(F.col("a"), F.col("b"), F.col("c"))).collect()
     assert [r[0] for r in ids] == [expected, expected]
@@ -135,7 +136,8 @@ def test_product_label(spark):
 
 
 def test_coerce_numeric(spark):
-    frame = spark.createDataFrame([("1.5", "x", "k"), (None, "2", "k")], "a STRING, b STRING, c STRING")
+    given = [("1.5", "x", "k"), (None, "2", "k")]
+    frame = spark.createDataFrame(given, "a STRING, b STRING, c STRING")
     got = display.coerce_numeric(frame, ["a", "b", "absent"])
     assert got.dtypes == [("a", "double"), ("b", "double"), ("c", "string")]
     assert rows(got) == [(1.5, None, "k"), (None, 2.0, "k")]

@@ -132,11 +132,12 @@ def test_hot_product_is_split_in_the_join(spark, settings, tmp_path):
         spark__sql__adaptive__coalescePartitions__enabled="false",
         spark__sql__shuffle__partitions="16",
     )
-    numbered = spark.range(0, 30000, 1, 8).withColumn("key", F.sha2(F.col("id").cast("string"), 256))
-    hot = numbered.select(
-        "key", F.when(F.col("id") % 3 > 0, "HOT").otherwise(F.left("key", F.lit(4))).alias("product_asin")
-    )
-    listed = hot.select("product_asin").distinct().withColumn("brand", F.left("product_asin", F.lit(1)))
+    key = F.sha2(F.col("id").cast("string"), 256)
+    numbered = spark.range(0, 30000, 1, 8).withColumn("key", key)
+    product = F.when(F.col("id") % 3 > 0, "HOT").otherwise(F.left("key", F.lit(4)))
+    hot = numbered.select("key", product.alias("product_asin"))
+    listed = hot.select("product_asin").distinct()
+    listed = listed.withColumn("brand", F.left("product_asin", F.lit(1)))
     for name, frame in (("hot", hot), ("listed", listed)):
         frame.write.parquet(f"{tmp_path}/{name}")
     joined = joins.enrich_reviews(
