@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, repetition
+from reviewmill.llm import chat, html, repetition
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = html.extract(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -33,6 +39,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_template_removal": op1_template_removal,
     "op4_repetition": op4_repetition,
     "op9_chat": op9_chat,
 }
