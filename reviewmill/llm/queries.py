@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, html, repetition
+from reviewmill.llm import chat, html, repetition, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,15 @@ def op1_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document, learnt from four fifths of the labels."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), learn=~held_out)
+    scored = toxicity.classify(docs, model).withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    return scored.select("doc_id", "held_out", "score", "predicted", "threshold", "flagged")
+
+
 def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,6 +49,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_removal": op1_template_removal,
+    "op3_toxicity": op3_toxicity,
     "op4_repetition": op4_repetition,
     "op9_chat": op9_chat,
 }
