@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, html, repetition, toxicity
+from reviewmill.llm import chat, html, line_runs, repetition, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,11 +47,18 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(rows.unionByName(hostile)))
 
 
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of later copies of repeated runs."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_runs.dedup_lines(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_removal": op1_template_removal,
     "op3_toxicity": op3_toxicity,
     "op4_repetition": op4_repetition,
     "op9_chat": op9_chat,
+    "op10_line_runs": op10_line_runs,
 }
 
 OP4_SQL = r"""
@@ -110,7 +117,34 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+OP10_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(l))) AS pos, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)
+),
+runs AS (
+  SELECT doc_id, pos, line, lead(line, 1) OVER w AS line2, lead(line, 2) OVER w AS line3
+  FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1 AS line_again,
+         line3 IS NOT NULL AND row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, pos) > 1 AS run_again
+  FROM runs
+),
+gone AS (
+  SELECT doc_id, pos FROM placed WHERE line_again AND length(line) >= 200
+  UNION
+  SELECT doc_id, pos + unnest([0, 1, 2]) FROM placed WHERE run_again
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE
+         coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL), '') END AS text,
+       count(l.pos) AS n_lines, count(g.pos) AS n_deleted
+FROM documents d LEFT JOIN lines l USING (doc_id) LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.pos = l.pos
+GROUP BY d.doc_id, d.text
+"""
+
 ORACLES: dict[str, str] = {
     "op4_repetition": OP4_SQL,
     "op9_chat": OP9_SQL,
+    "op10_line_runs": OP10_SQL,
 }
