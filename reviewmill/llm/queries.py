@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, html, line_runs, repetition, toxicity
+from reviewmill.llm import chat, html, line_runs, mixing, repetition, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,12 @@ def op1_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents the mix holds, and in which epochs."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "n_words", "block", "epoch")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score of every document, learnt from four fifths of the labels."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -55,12 +61,72 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_removal": op1_template_removal,
+    "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_repetition": op4_repetition,
     "op9_chat": op9_chat,
     "op10_line_runs": op10_line_runs,
 }
 
+OP2_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, coalesce(source, '') AS s,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_words,
+         ('0x' || substr(md5('0/' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS spot
+  FROM documents
+),
+totals AS (SELECT s, sum(n_words)::BIGINT AS words FROM docs GROUP BY s HAVING sum(n_words) > 0),
+shares AS (SELECT list(words / whole ORDER BY s) AS ps, count(*) AS n, any_value(whole) AS whole
+           FROM totals, (SELECT sum(words)::DOUBLE AS whole FROM totals)),
+flat(step, lo, hi) AS (  -- the largest exponent with the entropy
+  SELECT 0, 0::DOUBLE, 1::DOUBLE
+  UNION ALL
+  SELECT step + 1, CASE WHEN ok THEN (lo + hi) / 2 ELSE lo END, CASE WHEN ok THEN hi ELSE (lo + hi) / 2 END
+  FROM (
+    SELECT flat.*, ln(list_sum(list_transform(ps, lambda p: pow(p, (lo + hi) / 2))))
+           - (lo + hi) / 2 * list_sum(list_transform(ps, lambda p: pow(p, (lo + hi) / 2) * ln(p)))
+             / list_sum(list_transform(ps, lambda p: pow(p, (lo + hi) / 2)))
+           >= 0.95::DOUBLE * ln(n) - 1e-12 AS ok
+    FROM flat, shares WHERE step < 45
+  )
+),
+steep(step, lo, hi) AS (  -- the smallest from there that keeps the repetition limit
+  SELECT 0, (SELECT lo FROM flat WHERE step = 45), 1::DOUBLE
+  UNION ALL
+  SELECT step + 1, CASE WHEN ok THEN lo ELSE (lo + hi) / 2 END, CASE WHEN ok THEN (lo + hi) / 2 ELSE hi END
+  FROM (
+    SELECT steep.*, list_max(list_transform(ps, lambda p: pow(p, (lo + hi) / 2 - 1)))
+           / list_sum(list_transform(ps, lambda p: pow(p, (lo + hi) / 2))) <= 4 + 1e-12 AS ok
+    FROM steep, shares WHERE step < 45
+  )
+),
+chosen AS (
+  SELECT CASE WHEN list_max(list_transform(ps, lambda p: pow(p, f.lo - 1)))
+                   / list_sum(list_transform(ps, lambda p: pow(p, f.lo))) <= 4 + 1e-12 THEN f.lo ELSE t.hi END AS a
+  FROM shares, (SELECT lo FROM flat WHERE step = 45) f, (SELECT hi FROM steep WHERE step = 45) t
+),
+quotas AS (
+  SELECT s, words, ceil(words / 4096.0)::BIGINT AS blocks,
+         floor(pow(words / whole, a) / list_sum(list_transform(ps, lambda p: pow(p, a))) * whole + 1e-6)::BIGINT AS quota
+  FROM totals, shares, chosen
+),
+dealt AS (SELECT d.*, spot % blocks AS block, quota // words AS whole_epochs, quota % words AS rest, blocks
+          FROM docs d JOIN quotas USING (s)),
+blocks AS (
+  SELECT s, block, sum(n_words) AS words, any_value(whole_epochs) AS whole_epochs, any_value(rest) AS rest,
+         any_value(blocks) AS blocks,
+         ('0x' || substr(md5('0/' || any_value(whole_epochs) || '/' || s || '/' || block), 1, 15))::BIGINT AS turn
+  FROM dealt GROUP BY s, block
+),
+planned AS (
+  SELECT s, block, whole_epochs + (sum(words) OVER (
+           PARTITION BY s ORDER BY turn % ceil(sqrt(blocks))::BIGINT, turn, block ROWS UNBOUNDED PRECEDING
+         ) <= rest)::BIGINT AS times
+  FROM blocks
+)
+SELECT doc_id, source, n_words, d.block, unnest(range(times)) AS epoch FROM dealt d JOIN planned USING (s, block)
+"""
+
 OP4_SQL = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -144,6 +210,7 @@ GROUP BY d.doc_id, d.text
 """
 
 ORACLES: dict[str, str] = {
+    "op2_mixing": OP2_SQL,
     "op4_repetition": OP4_SQL,
     "op9_chat": OP9_SQL,
     "op10_line_runs": OP10_SQL,
