@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, html, line_runs, mixing, repetition, toxicity
+from reviewmill.llm import chat, html, line_runs, mixing, order_minhash, repetition, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,20 @@ def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(docs).select("doc_id", "repetition.*").drop("longest_repeat")
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    prints = order_minhash.with_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return prints.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.as_text(F.col("fingerprint")).alias("fingerprint"),
+        order_minhash.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        order_minhash.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and one of control strings, formatted and read back."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -64,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_repetition": op4_repetition,
+    "op7_order_minhash": op7_order_minhash,
     "op9_chat": op9_chat,
     "op10_line_runs": op10_line_runs,
 }
