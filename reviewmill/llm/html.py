@@ -8,8 +8,8 @@ article (``article``, ``main`` or the like), only text inside counts, and there
 paragraphs are never taken for template, since copies of one article may recur on a host.
 
 The tree is read twice, once for the counts and once for the text, rather than stored; both are narrow scans.
-Counts are combined before their shuffle, so a host with a third of all pages is no hot spot. Pages meet the
-recurring hashes by host and digest of the page, and large groups of equal pages are split by Spark's skew join.
+Counts are combined before their shuffle, so a host with a third of all pages is no hot spot. The recurring hashes
+of all hosts are broadcast while they are few by count; else pages meet them in a join that Spark splits by size.
 
 Null or empty html gives an empty text, a null address counts as one nameless host. Pages cut off anywhere are
 read as far as they go. Equal rows give equal results. All columns of the input are kept whatever their names.
@@ -25,10 +25,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.llm import shared
+
 #: A subtree is template if it is in this many pages of its host ...
 MIN_PAGES = 5
 #: ... and in this share of them.
 MIN_SHARE = 0.2
+#: Up to so many template hashes (8 bytes each) are sent to every executor; beyond, pages are shuffled by host.
+BROADCAST_HASHES = 1 << 20
 
 # Element names of HTML by their part in a page.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -225,37 +229,28 @@ def host(url: Column) -> Column:
 def templates(
     pages: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE
 ) -> DataFrame:
-    """(page digest, host, hashes): for each different page, its subtrees that recur on its host."""
-    seen = pages.select(
-        host(F.col(url)).alias("__host"),
-        F.sha2(F.coalesce(F.col(html), F.lit("")), 256).alias("__page"),
-        _read(F.col(html), "subtrees").alias("__subtrees"),
-    )
-    seen = seen.withColumn("__hash", F.explode("__subtrees")).drop("__subtrees")
-    counts = seen.groupBy("__host", "__hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
-    sizes = pages.groupBy(host(F.col(url)).alias("__host")).agg(F.count(F.lit(1)).alias("pages"))
-    frequent = counts.join(sizes, "__host").filter(F.col("n") >= F.lit(min_share) * F.col("pages"))
-    return (
-        seen.join(frequent.select("__host", "__hash"), ["__host", "__hash"])
-        .groupBy("__host", "__page")
-        .agg(F.collect_set("__hash").alias("__templates"))
-    )
+    """(__of, __templates): for each host (a hash of its name), the subtrees that recur on it.
 
+    A page has a bounded number of subtrees, so those in a share of a host's pages are bounded as well.
+    """
+    address = F.xxhash64(host(F.col(url))).alias("__of")
+    seen = pages.select(address, F.explode(_read(F.col(html), "subtrees")).alias("__hash"))
+    counts = seen.groupBy("__of", "__hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+    sizes = pages.groupBy(address).agg(F.count(F.lit(1)).alias("pages"))
+    frequent = counts.join(sizes, "__of").filter(F.col("n") >= F.lit(min_share) * F.col("pages"))
+    return shared.stored(frequent.groupBy("__of").agg(F.collect_set("__hash").alias("__templates")))
 
-def extract(
-    pages: DataFrame, html: str = "html", url: str = "url", into: str = "text", **limits: float
-) -> DataFrame:
+
+def extract(pages: DataFrame, html: str = "html", url: str = "url", into: str = "text", **limits: float) -> DataFrame:
     """All rows and columns of pages and ``into``, the main text."""
     found = templates(pages, html, url, **limits)
-    columns = [f"`{c.replace('`', '``')}`" for c in pages.columns if c != into]
+    if (found.agg(F.sum(F.size("__templates"))).first()[0] or 0) <= BROADCAST_HASHES:
+        found = F.broadcast(found)
+    columns = shared.names(pages, into)
     read = pages.select(
-        *columns,
-        host(F.col(url)).alias("__host"),
-        F.sha2(F.coalesce(F.col(html), F.lit("")), 256).alias("__page"),
-        _read(F.col(html), "blocks").alias("__blocks"),
-    )
-    kept = F.filter(
-        "__blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce("__templates", F.array().cast("array<long>")))
+        *columns, F.xxhash64(host(F.col(url))).alias("__host"), _read(F.col(html), "blocks").alias("__blocks")
     )
-    joined = read.join(found, ["__host", "__page"], "left")
+    none = F.array().cast("array<long>")
+    kept = F.filter("__blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce("__templates", none)))
+    joined = read.join(found, F.col("__host") == F.col("__of"), "left")
     return joined.select(*columns, F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias(into))
