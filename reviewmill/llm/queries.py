@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import chat, html, line_runs, mixing, order_minhash, repetition, toxicity
+from reviewmill.llm import bag_minhash, chat, html, line_runs, mixing, order_minhash, repetition, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,12 @@ def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(docs).select("doc_id", "repetition.*").drop("longest_repeat")
 
 
+def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near-duplicates of every document."""
+    docs = bag_minhash.classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "class_id")
+
+
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and their likeness."""
     prints = order_minhash.with_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_repetition": op4_repetition,
+    "op6_bag_minhash": op6_bag_minhash,
     "op7_order_minhash": op7_order_minhash,
     "op9_chat": op9_chat,
     "op10_line_runs": op10_line_runs,
