@@ -14,6 +14,8 @@ import pyarrow as pa
 #: Bytes of text handled at once.
 PIECE_BYTES = 2 << 20
 
+#: Bytes hashed at once.
+_STRETCH = 1 << 18
 _FACTOR = 0xD6E8FEB86659FD93
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 #: ASCII space and the control characters tab to carriage return.
@@ -65,23 +67,36 @@ def _table(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, PIECE_BYTES + 1)
+        size = max(n, _STRETCH + 1)
         have = np.ones(size, np.uint64)
         done = 1
         while done < size:
             step = min(done, size - done)
             have[done : done + step] = have[:step] * np.uint64(pow(base, done, 1 << 64))
             done += step
-        if size <= 2 * PIECE_BYTES:
+        if size <= 2 * _STRETCH:
             _powers[base] = have
     return have[:n]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each span; equal bytes have equal hashes wherever they stand."""
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _table(_FACTOR, len(data)), out=total[1:])
-    return mix((total[ends] - total[starts]) * _table(_INVERSE, len(data) + 1)[starts])
+    """A 64-bit hash of data[start:end] for each span; equal bytes have equal hashes wherever they stand.
+
+    Spans come in order of both their starts and their ends.
+    """
+    out = np.empty(len(starts), np.uint64)
+    low = 0
+    while low < len(starts):  # stretches of bounded length
+        begin = starts[low]
+        high = max(low + 1, int(np.searchsorted(ends, begin + _STRETCH, "right")))
+        part = data[begin : ends[high - 1]]
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.multiply(part.astype(np.uint64) + np.uint64(1), _table(_FACTOR, len(part)), out=total[1:])
+        np.cumsum(total, out=total)
+        at = starts[low:high] - begin
+        out[low:high] = (total[ends[low:high] - begin] - total[at]) * _table(_INVERSE, len(part) + 1)[at]
+        low = high
+    return mix(out)
 
 
 def code_points(data: np.ndarray) -> np.ndarray:

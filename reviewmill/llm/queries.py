@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bag_minhash, chat, html, line_runs, mixing, order_minhash, repetition, toxicity
+from reviewmill.llm import bag_minhash, chat, html, line_runs, mixing, order_minhash, pieces, repetition, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,20 @@ def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(docs).select("doc_id", "repetition.*").drop("longest_repeat")
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best segmentation of every document, the scores and edits of the next ones, and the decoded text's digest."""
+    model = pieces.load()
+    encoded = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model=model)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "ids",
+        "scores",
+        "edits",
+        F.sha2(pieces.decode(F.col("ids"), model), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near-duplicates of every document."""
     docs = bag_minhash.classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -84,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_repetition": op4_repetition,
+    "op5_pieces": op5_pieces,
     "op6_bag_minhash": op6_bag_minhash,
     "op7_order_minhash": op7_order_minhash,
     "op9_chat": op9_chat,
