@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bag_minhash, chat, html, line_runs, mixing, order_minhash, pieces, repetition, toxicity
+from reviewmill.llm import bag_minhash, chat, html, line_runs, mixing, order_minhash, pieces, repetition, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,12 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without bytes in 200-byte strings that occur elsewhere."""
+    cut = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and one of control strings, formatted and read back."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pieces": op5_pieces,
     "op6_bag_minhash": op6_bag_minhash,
     "op7_order_minhash": op7_order_minhash,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat": op9_chat,
     "op10_line_runs": op10_line_runs,
 }
