@@ -124,8 +124,8 @@ def mix(
     sources = sources.select(
         "__source",
         F.ceil(F.col("words") / block_words).alias("blocks"),
-        # Quotas in whole words; the small term keeps a quota of just one epoch from rounding down.
-        F.floor(F.lit(scale) * F.pow("p", F.lit(a)) * F.lit(float(whole)) + 1e-6).cast("long").alias("quota"),
+        # Quotas in whole words; the small terms keep a quota of just one epoch from rounding down.
+        F.floor(F.lit(scale) * F.pow("p", F.lit(a)) * F.lit(float(whole)) * (1 + 1e-12) + 1e-6).cast("long").alias("quota"),
         "words",
     ).withColumns({"whole": F.expr("quota div words"), "rest": F.expr("quota % words")})
     sources = _few(shared.stored(sources))

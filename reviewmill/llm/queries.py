@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from reviewmill.llm import bag_minhash, chat, html, line_runs, mixing, order_minhash, pieces, repetition, suffix_dedup, toxicity
 
 
@@ -110,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat": op9_chat,
     "op10_line_runs": op10_line_runs,
+    "pipeline": corpus_pipeline.run,
 }
 
 OP2_SQL = r"""
@@ -151,7 +153,7 @@ chosen AS (
 ),
 quotas AS (
   SELECT s, words, ceil(words / 4096.0)::BIGINT AS blocks,
-         floor(pow(words / whole, a) / list_sum(list_transform(ps, lambda p: pow(p, a))) * whole + 1e-6)::BIGINT AS quota
+         floor(pow(words / whole, a) / list_sum(list_transform(ps, lambda p: pow(p, a))) * whole * (1 + 1e-12) + 1e-6)::BIGINT AS quota
   FROM totals, shares, chosen
 ),
 dealt AS (SELECT d.*, spot % blocks AS block, quota // words AS whole_epochs, quota % words AS rest, blocks
@@ -259,3 +261,5 @@ ORACLES: dict[str, str] = {
     "op9_chat": OP9_SQL,
     "op10_line_runs": OP10_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
