@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 # Fixed values of the cleaning rules.
 RATING_RANGE = (1.0, 5.0)
-PRICE_PATTERN = r"^[0-9]+(\.[0-9]{1,2})?$"
+PRICE_PATTERN = r"^[0-9]+(\.[0-9]{1,2})?\z"
+NUMBER_PATTERN = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)? *\z"
 UNKNOWN_BRAND = "Unknown"
 UNKNOWN_YEAR = 0
 UNKNOWN_MONTH = "unknown"
@@ -30,18 +31,39 @@ def product_key(*candidates: Column) -> Column:
     return F.trim(F.coalesce(*candidates))
 
 
+def has_text(trimmed: Column) -> Column:
+    """True for a trimmed key that isn't empty; false for NULL."""
+    return F.coalesce(F.length(trimmed) > 0, F.lit(False))
+
+
 def is_present(key: Column) -> Column:
     """True for a key with at least one non-space character; false for NULL."""
-    return F.coalesce(F.length(F.trim(key)) > 0, F.lit(False))
+    return has_text(F.trim(key))
+
+
+def number(text: Column) -> Column:
+    """A text as a double: sign, digits, point and exponent, with spaces around; else NULL.
+
+    Type suffixes (``12d``), names of infinities and NaN are no numbers here.
+    """
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
-def valid_rating(column: Column) -> Column:
-    """The rating as a double when it lies in 1..5, else NULL (this covers NaN too)."""
+def valid_rating(stars: Column) -> Column:
+    """The rating, a double, when it lies in 1..5, else NULL (this covers NaN too)."""
     low, high = RATING_RANGE
-    stars = column.try_cast("double")
     return F.when((stars >= low) & (stars <= high), stars)
 
 
+def exact(rating: Column) -> Column:
+    """The rating as a decimal, so that sums don't depend on the order of their terms.
+
+    More than six decimal places are rounded half up. Sums have 18 digits, the widest that
+    Spark adds up as plain longs: enough for 200 billion ratings in a group.
+    """
+    return rating.cast("decimal(8,6)")
+
+
 def non_negative_long(column: Column, default: int = 0) -> Column:
     """The count as a long; NULL, negative and unreadable values become ``default``."""
     count = column.try_cast("long")
@@ -100,16 +122,16 @@ def price(column: Column) -> Column:
     """Price text as ``decimal(10,2)``: dollar signs and commas go, anything odd is NULL.
 
     Negative amounts, three decimals, exponents, ranges in words and amounts too large for
-    the type all become NULL.
+    the type all become NULL, and so does a price followed by a line break.
     """
-    digits = F.translate(F.trim(column.cast("string")), "$,", "")
+    digits = F.translate(F.trim(column), "$,", "")
     return F.when(digits.rlike(PRICE_PATTERN), digits.try_cast("decimal(10,2)"))
 
 
 def brand(column: Column) -> Column:
     """The trimmed brand name; NULL and blank become the unknown brand."""
-    name = F.trim(column.cast("string"))
-    return F.when(is_present(name), name).otherwise(UNKNOWN_BRAND)
+    name = F.trim(column)
+    return F.when(has_text(name), name).otherwise(UNKNOWN_BRAND)
 
 
 def known_brand(column: Column) -> Column:
@@ -118,6 +140,9 @@ def known_brand(column: Column) -> Column:
 
 
 def mean(total: Column, count: Column, digits: int | None = None) -> Column:
-    """Sum over count, NULL when there is nothing to divide by."""
+    """Sum over count as a double, NULL when there is nothing to divide by.
+
+    Decimal sums are divided and rounded as decimals.
+    """
     quotient = F.try_divide(total, count)
-    return quotient if digits is None else F.round(quotient, digits)
+    return (quotient if digits is None else F.round(quotient, digits)).cast("double")

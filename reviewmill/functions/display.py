@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.functions.cleaning import number
+
 # Lower edge (in dollars) and label of each price band.
 PRICE_BANDS = (
     (0, "$0–24"),
@@ -48,9 +50,15 @@ def product_label(title: Column, key: Column) -> Column:
 
 
 def coerce_numeric(frame: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Turn the named text columns into doubles, unreadable values into NULL.
+    """Turn the named columns into doubles, texts that are no plain number into NULL.
 
     Names the frame does not have are skipped.
     """
-    present = [name for name in columns if name in frame.columns]
-    return frame.withColumns({name: F.col(name).try_cast("double") for name in present})
+    kinds = dict(frame.dtypes)
+    present = [name for name in columns if name in kinds]
+    return frame.withColumns(
+        {
+            name: number(F.col(name)) if kinds[name] == "string" else F.col(name).cast("double")
+            for name in present
+        }
+    )

@@ -6,16 +6,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.functions import cleaning as rule
+from reviewmill.schemas import TABLES
 
 
-def keep_first(frame: DataFrame, key: str, order: list[Column]) -> DataFrame:
+def keep_first(frame: DataFrame, key: str, order: list[Column], salts: int = 1) -> DataFrame:
     """Keep the first row of every key under a total order.
 
     ``row_number() = 1`` plans a group limit below the shuffle, so each task sends at most one
     row per key: a key that holds a third of all rows costs one row per task, not one huge group.
+    With very many tasks that is still a large group for one reducer. ``salts`` above 1 puts a
+    level before it, where tasks are dealt to that many groups per key: no reducer then gets more
+    than tasks / salts rows of a key on the first level, or ``salts`` on the second. The price is
+    a second shuffle; the square root of the number of map tasks is a good choice.
     """
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return frame.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+
+    def first(rows: DataFrame, *group: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+
+    if salts > 1:
+        salted = frame.withColumn("_salt", F.spark_partition_id() % salts)
+        frame = first(salted, key, "_salt").drop("_salt")
+    return first(frame, key)
 
 
 def keyed_reviews(raw: DataFrame) -> DataFrame:
@@ -29,12 +41,12 @@ def keyed_reviews(raw: DataFrame) -> DataFrame:
         F.col("asin").alias("variant_asin"),
         "user_id",
         rule.valid_rating(F.col("rating")).alias("rating"),
-        F.col("title").cast("string").alias("review_title"),
-        F.col("text").cast("string").alias("review_text"),
+        F.col("title").alias("review_title"),
+        F.col("text").alias("review_text"),
         rule.epoch_seconds(F.col("timestamp")).alias("review_second"),
         rule.flag(F.col("verified_purchase")).alias("is_verified_purchase"),
         rule.non_negative_long(F.col("helpful_vote")).alias("helpful_vote_count"),
-    ).where(rule.is_present(F.col("product_asin")))
+    ).where(rule.has_text(F.col("product_asin")))
     review_id = rule.content_id(
         F.col("product_asin"),
         F.col("user_id"),
@@ -45,7 +57,7 @@ def keyed_reviews(raw: DataFrame) -> DataFrame:
     return typed.withColumn("review_id", review_id)
 
 
-def dedup_reviews(keyed: DataFrame) -> DataFrame:
+def dedup_reviews(keyed: DataFrame, salts: int = 1) -> DataFrame:
     """One row per review id: verified first, then most votes, best rating, then by content.
 
     Copies of one id have the same joined content, so where two of their key, user or title
@@ -66,44 +78,33 @@ def dedup_reviews(keyed: DataFrame) -> DataFrame:
             F.length("review_title").asc_nulls_last(),
             F.isnull("review_text").asc(),
         ],
+        salts,
     )
 
 
 def file_reviews(reviews: DataFrame) -> DataFrame:
     """Curated review layout: stored time, month and the year to partition by."""
     time = rule.utc_time(F.col("review_second"))
-    return reviews.select(
-        "review_id",
-        "product_asin",
-        "variant_asin",
-        "user_id",
-        "rating",
-        "review_title",
-        "review_text",
-        time.instant.alias("review_timestamp"),
-        time.month.alias("review_month"),
-        "is_verified_purchase",
-        "helpful_vote_count",
-        time.year.alias("review_year"),
-    )
+    timed = {"review_timestamp": time.instant, "review_month": time.month, "review_year": time.year}
+    return reviews.withColumns(timed).select(TABLES["reviews"].names)
 
 
-def clean_reviews(raw: DataFrame) -> DataFrame:
-    """Curated reviews from the raw feed: one shuffle, by review id."""
-    return file_reviews(dedup_reviews(keyed_reviews(raw)))
+def clean_reviews(raw: DataFrame, salts: int = 1) -> DataFrame:
+    """Curated reviews from the raw feed: one shuffle, by review id (two with salts)."""
+    return file_reviews(dedup_reviews(keyed_reviews(raw), salts))
 
 
 def keyed_products(raw: DataFrame) -> DataFrame:
     """Typed products that have a key; copies still included."""
     return raw.select(
         rule.product_key(F.col("parent_asin")).alias("product_asin"),
-        F.col("title").cast("string").alias("product_title"),
+        F.col("title").alias("product_title"),
         rule.brand(F.col("store")).alias("brand"),
-        F.col("main_category").cast("string").alias("main_category"),
+        "main_category",
         rule.price(F.col("price")).alias("price"),
         rule.valid_rating(F.col("average_rating")).alias("metadata_average_rating"),
         rule.non_negative_long(F.col("rating_number")).alias("metadata_review_count"),
-    ).where(rule.is_present(F.col("product_asin")))
+    ).where(rule.has_text(F.col("product_asin")))
 
 
 def dedup_products(keyed: DataFrame) -> DataFrame:

@@ -108,7 +108,10 @@ def _missing_key() -> Column:
 
 
 def _surplus(key: str) -> Column:
-    return F.count(F.lit(1)) - F.countDistinct(key)
+    """Rows beyond the first of each id; content ids travel as the bytes their hex text stands for."""
+    digest = F.col(key).rlike("^[0-9a-f]{64}$")
+    of = F.when(digest, F.unhex(key)).otherwise(F.encode(key, "utf-8"))
+    return F.count(F.lit(1)) - F.countDistinct(of)
 
 
 def _bad_rating() -> Column:
@@ -123,27 +126,45 @@ def _facts(frame: DataFrame, **measures: Column) -> DataFrame:
     return totals.unpivot([], names, "check_name", "observed")
 
 
+def _review_facts(reviews: DataFrame) -> DataFrame:
+    """The review table's measures per year, as facts to be added up; zero facts for an empty table."""
+    measures = {
+        "rows_reviews": F.count(F.lit(1)),
+        "missing_keys_reviews": _missing_key(),
+        "invalid_ratings": _bad_rating(),
+        "invalid_helpful_votes": F.count_if(F.col("helpful_vote_count") < 0),
+    }
+    by_year = reviews.groupBy("review_year").agg(*[m.alias(name) for name, m in measures.items()])
+
+    def fact(name: Column | str, value: Column) -> Column:
+        name = F.lit(name) if isinstance(name, str) else name
+        return F.struct(name.alias("check_name"), value.cast("double").alias("observed"))
+
+    rows = F.col("rows_reviews")
+    facts = [fact(name, F.col(name)) for name in measures]
+    facts.append(fact("monthly_total_difference", -rows))
+    facts.append(fact(F.concat(F.lit("rows_in_year_"), F.col("review_year").cast("string")), rows))
+    zeros = reviews.sparkSession.range(1, numPartitions=1)
+    return by_year.select(F.inline(F.array(*facts))).unionByName(
+        zeros.select(F.inline(F.array(*[fact(name, F.lit(0)) for name in measures])))
+    )
+
+
 def quality_report(
     reviews: DataFrame, products: DataFrame, review_product: DataFrame, monthly: DataFrame
 ) -> DataFrame:
     """All checks as (check_name, observed, expected, passed), one row per check.
 
     Checks without an expectation are informational and have NULL in the last two columns. Each
-    table is aggregated once for all its checks, but for the distinct ids: those need a shuffle,
-    which would have to carry the other measures along. The reconciliation row adds up the monthly
-    total and the negated review count, so it must be zero.
+    table is aggregated once for all its checks (reviews by year, so that the years' rows come from
+    the same pass), but for the distinct ids: those need a shuffle, which would have to carry the
+    other measures along. The reconciliation row adds up the monthly total and the negated review
+    count, so it must be zero.
     """
     rows = F.count(F.lit(1))
     no_title = F.count_if(F.isnull("product_title"))
     facts = [
-        _facts(
-            reviews,
-            rows_reviews=rows,
-            missing_keys_reviews=_missing_key(),
-            invalid_ratings=_bad_rating(),
-            invalid_helpful_votes=F.count_if(F.col("helpful_vote_count") < 0),
-            monthly_total_difference=-rows,
-        ),
+        _review_facts(reviews),
         _facts(
             products,
             rows_products=rows,
@@ -160,10 +181,6 @@ def quality_report(
         _facts(reviews, duplicate_review_ids=_surplus("review_id")),
         _facts(products, duplicate_product_ids=_surplus("product_asin")),
         _facts(monthly, monthly_total_difference=F.coalesce(F.sum("review_count"), F.lit(0))),
-        year_partitions(reviews).select(
-            F.concat(F.lit("rows_in_year_"), "review_year").alias("check_name"),
-            F.col("review_count").cast("double").alias("observed"),
-        ),
     ]
     informational = F.col("check_name").startswith("rows_") | F.col("check_name").startswith(
         "unmatched_"

@@ -24,7 +24,7 @@ def overall_metrics(monthly: DataFrame, digits: int | None = 2) -> DataFrame:
     totals = monthly.agg(
         F.coalesce(F.sum("review_count"), F.lit(0)).alias("total_reviews"),
         F.coalesce(F.sum("rated_review_count"), F.lit(0)).alias("rated_reviews"),
-        F.sum("rating_sum").alias("_rating_sum"),
+        F.sum(F.col("rating_sum").cast("decimal(18,3)")).alias("_rating_sum"),
     )
     average = rule.mean(F.col("_rating_sum"), F.col("rated_reviews"), digits)
     return totals.select("total_reviews", "rated_reviews", average.alias("average_rating"))

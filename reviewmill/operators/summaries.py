@@ -32,7 +32,7 @@ def _measures() -> list[Column]:
     return [
         F.count(F.lit(1)).alias("review_count"),
         F.count("rating").alias("rated_review_count"),
-        F.sum("rating").alias("rating_sum"),
+        F.sum(rule.exact(F.col("rating"))).alias("rating_sum"),
         F.count_if("is_verified_purchase").alias("verified_review_count"),
         F.sum("helpful_vote_count").alias("helpful_vote_count"),
         *[
@@ -186,7 +186,7 @@ def monthly_summary(grain: DataFrame) -> DataFrame:
         "review_month",
         "review_count",
         "rated_review_count",
-        F.round("rating_sum", 3).alias("rating_sum"),
+        F.round("rating_sum", 3).cast("double").alias("rating_sum"),
         rule.mean(F.col("rating_sum"), F.col("rated_review_count"), 3).alias("average_rating"),
         *STAR_MEASURES,
         "verified_review_count",

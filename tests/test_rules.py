@@ -38,7 +38,9 @@ def test_rating_range(spark):
     nan = float("nan")
     got = values(spark, "DOUBLE", [1.0, 5.0, 4.5, 0.99, 5.01, nan, None], rule.valid_rating)
     assert got == [1.0, 5.0, 4.5, None, None, None, None]
-    assert values(spark, "STRING", ["4", "x"], rule.valid_rating) == [4.0, None]
+    texts = ["4", "x", "4d", "4.0f", " 4.5 ", "1e0", "NaN", "Infinity", "+.5", "", "4\n"]
+    got = values(spark, "STRING", texts, lambda c: rule.valid_rating(rule.number(c)))
+    assert got == [4.0, None, None, None, 4.5, 1.0, None, None, None, None, None]
 
 
 def test_count_default(spark):
