@@ -16,13 +16,29 @@ def main() -> None:
     parser.add_argument("products", help="folder of the product feed")
     parser.add_argument("base", help="folder below which the six tables are written")
     parser.add_argument("--database", help="register the tables in this database, too")
+    parser.add_argument("--partitions", type=int, help="partitions that shuffles start with")
+    parser.add_argument("--spread", action="store_true", help="even out feeds in unsplittable files")
+    parser.add_argument("--salts", type=int, default=1, help="first-level groups of a hot review id")
     options = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
     spark = create_session()
-    run_batch(spark, options.reviews, options.products, options.base)
-    if options.database:
-        register_tables(spark, options.base, options.database)
-    spark.stop()
+    try:
+        run_batch(
+            spark,
+            options.reviews,
+            options.products,
+            options.base,
+            options.partitions,
+            options.spread,
+            options.salts,
+        )
+        if options.database:
+            register_tables(spark, options.base, options.database)
+    except Exception:
+        logging.exception("the batch job failed")
+        raise
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import threading
+import uuid
 from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -16,7 +17,7 @@ from reviewmill.functions import cleaning as rule
 from reviewmill.operators import cleaning, joins, summaries
 from reviewmill.schemas import TABLES
 from reviewmill.sources import feeds, tables
-from reviewmill.sources.session import scratch_folder, sized_shuffles
+from reviewmill.sources.session import own_session, remove_folder
 
 log = logging.getLogger(__name__)
 
@@ -27,8 +28,9 @@ class ReviewLake:
     Reading back is the stage barrier: the raw text is parsed, hashed and deduplicated once, and
     everything after that starts from column-pruned Parquet on shared storage, which also means
     that a lost executor never sends a later stage back to the raw feed. Two narrow intermediate
-    results are stored the same way in a scratch folder: the product-month grain and the product
-    roll-up, from which all three summaries come.
+    results are stored the same way, below the base folder: the product-month grain and the product
+    roll-up, from which all three summaries come. The feeds' session is the lake's: its number of
+    starting partitions holds for everything here.
     """
 
     def __init__(
@@ -37,17 +39,16 @@ class ReviewLake:
         raw_reviews: DataFrame,
         raw_products: DataFrame,
         base: str,
-        input_bytes: int = 0,
+        salts: int = 1,
     ):
         self.spark = spark
         self.base = base.rstrip("/")
         self.raw_reviews = raw_reviews
         self.raw_products = raw_products
-        self._scratch = scratch_folder(spark, "stages")
-        self._input_bytes = input_bytes
+        self._stages = f"{self.base}/_stages-{uuid.uuid4().hex}"
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "reviews": lambda: cleaning.clean_reviews(
-                self._observed("reviews", raw_reviews, "parent_asin", "asin")
+                self._observed("reviews", raw_reviews, "parent_asin", "asin"), salts
             ),
             "products": lambda: cleaning.clean_products(
                 self._observed("products", raw_products, "parent_asin")
@@ -65,7 +66,7 @@ class ReviewLake:
 
     def table(self, name: str) -> DataFrame:
         """A stored table, written now if this run has not done so yet."""
-        with self._writing[name], sized_shuffles(self.spark, self._input_bytes):
+        with self._writing[name]:
             if name not in self._stored:
                 frame = self._builders[name]()
                 log.info("writing %s", tables.table_path(self.base, name))
@@ -78,19 +79,26 @@ class ReviewLake:
 
         Tables that do not depend on each other are submitted together, so that the last tasks of
         one write do not leave the cluster idle. The caller's job group applies to all of them.
+        The stages go when this ends, also when a write fails.
         """
         write = inheritable_thread_target(self.spark)(self.table)
         cleaned = ["reviews", "products"]
         derived = [name for name in TABLES if name not in cleaned]
-        with (
-            sized_shuffles(self.spark, self._input_bytes),
-            ThreadPoolExecutor(len(derived)) as pool,
-        ):
-            for group in (cleaned, derived):
-                for written in [pool.submit(write, name) for name in group]:
-                    written.result()
+        try:
+            with ThreadPoolExecutor(len(derived)) as pool:
+                for group in (cleaned, derived):
+                    for written in [pool.submit(write, name) for name in group]:
+                        written.result()
+        finally:
+            self.drop_stages()
         return self
 
+    def drop_stages(self) -> None:
+        """Delete the intermediate results; they are made again if a table still needs them."""
+        for name in set(self._stored) - set(TABLES):
+            del self._stored[name]
+        remove_folder(self.spark, self._stages)
+
     def _grain(self) -> DataFrame:
         return self._stage(
             "product_month_stats", lambda: summaries.product_month_stats(self.table("reviews"))
@@ -107,7 +115,7 @@ class ReviewLake:
     def _stage(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         with self._writing[name]:
             if name not in self._stored:
-                path = f"{self._scratch}/{name}"
+                path = f"{self._stages}/{name}"
                 frame = make()
                 tables.write_parquet(frame, path)
                 self._stored[name] = self.spark.read.schema(frame.schema).parquet(path)
@@ -128,15 +136,27 @@ class ReviewLake:
         )
 
 
-def run_batch(spark: SparkSession, reviews_path: str, products_path: str, base: str) -> ReviewLake:
-    """Read both feeds and write the six tables below ``base``, replacing earlier ones."""
-    lake = ReviewLake(
-        spark,
-        feeds.spread(feeds.read_reviews(spark, reviews_path)),
-        feeds.spread(feeds.read_products(spark, products_path)),
-        base,
-        feeds.stored_bytes(spark, reviews_path, products_path),
-    ).build()
+def run_batch(
+    spark: SparkSession,
+    reviews_path: str,
+    products_path: str,
+    base: str,
+    partitions: int | None = None,
+    spread: bool = False,
+    salts: int = 1,
+) -> ReviewLake:
+    """Read both feeds and write the six tables below ``base``, replacing earlier ones.
+
+    Runs in a session of its own; the caller's keeps its settings.
+    partitions: how many partitions shuffles start with (see ``session.partitions_for``), the
+    session's number if not given.
+    spread: move parsed rows to even partitions, for feeds in few or uneven files that can't be split.
+    salts: see ``operators.cleaning.keep_first``.
+    """
+    own = own_session(spark, partitions)
+    raw = [feeds.read_reviews(own, reviews_path), feeds.read_products(own, products_path)]
+    reviews, products = map(feeds.spread, raw) if spread else raw
+    lake = ReviewLake(own, reviews, products, base, salts).build()
     for name, seen in lake.seen.items():
         log.info("%s: %s", name, seen.get)
     return lake

@@ -38,15 +38,10 @@ def write_feed(frame: DataFrame, path: str) -> None:
 
 
 def spread(feed: DataFrame) -> DataFrame:
-    """Spread a feed that comes in fewer gzip files than there are cores.
+    """Spread a feed that Spark can't split inside its files (.gz, .deflate, .lz4, .snappy ...).
 
-    A gzip file is read by one task, which would then also hash and sort everything in it. The
-    rebalance hint moves the parsed rows to partitions sized at run time. Feeds with enough
-    files, or with files Spark can split, are left alone: the extra shuffle would cost more than
-    it saves.
+    Such a file is read by one task, which would then also hash and sort everything in it. The
+    rebalance hint moves the parsed rows to partitions sized at run time, at the price of a shuffle:
+    worth it where files are fewer than cores or of very different sizes.
     """
-    files = feed.inputFiles()
-    unsplittable = any(name.endswith(".gz") for name in files)
-    if unsplittable and len(files) < feed.sparkSession.sparkContext.defaultParallelism:
-        return feed.hint("rebalance")
-    return feed
+    return feed.hint("rebalance")

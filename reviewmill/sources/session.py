@@ -5,8 +5,6 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -22,16 +20,48 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def create_session(
-    app_name: str = "reviewmill", settings: dict[str, str] | None = None
+    app_name: str = "reviewmill",
+    settings: dict[str, str] | None = None,
+    partitions: int | None = None,
 ) -> SparkSession:
-    """Session with the settings above, and with the given ones on top."""
-    merged = {**SETTINGS, **(settings or {})}
+    """Session with the settings above, and with the given ones on top.
+
+    partitions: how many partitions shuffles start with, see :func:`partitions_for`.
+    """
+    started = {INITIAL_PARTITIONS: str(partitions)} if partitions else {}
+    merged = {**SETTINGS, **started, **(settings or {})}
     return SparkSession.builder.appName(app_name).config(map=merged).getOrCreate()
 
 
+def own_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session of its own on the same application: the caller's settings, those above, and its
+    own starting number of partitions. The caller's session stays as it is.
+    """
+    session = spark.newSession()
+    kept = {**spark.conf.getAll, **SETTINGS}
+    if partitions:
+        kept[INITIAL_PARTITIONS] = str(partitions)
+    for name, value in kept.items():
+        if name.startswith("spark.sql.") and session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return session
+
+
+def partitions_for(input_bytes: int, growth: float = 1.0, partition_bytes: int = PARTITION_BYTES) -> int:
+    """How many partitions shuffles of this much input should start with.
+
+    Adaptive execution merges partitions that turn out small but can't split those of an aggregation
+    or a window, so the number has to grow with the input. growth: bytes in a shuffle for
+    each stored byte, above 1 for compressed feeds (about 6 for gzip'd review text).
+    """
+    return max(1, math.ceil(input_bytes * growth / partition_bytes))
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach.
 
@@ -46,37 +76,10 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/reviewmill/{purpose}-{uuid.uuid4().hex}"
 
 
-PARTITION_BYTES = 128 * 1024 * 1024
-MOST_PARTITIONS = 32_768
-_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int) -> bool:
-    """Start shuffles with enough partitions for this much input; tells whether it had to.
-
-    The session's fixed partition number suits one size of data. Adaptive execution merges
-    partitions that turn out small but cannot split those of an aggregation or a window, so the
-    starting number has to grow with the input. It stops growing where the driver's table of map
-    output sizes would become the bottleneck; beyond that, partitions get larger and spill. A
-    starting number set by the user is kept.
-    """
-    by_size = min(math.ceil(input_bytes / PARTITION_BYTES), MOST_PARTITIONS)
-    enough = int(spark.conf.get("spark.sql.shuffle.partitions")) >= by_size
-    if enough or spark.conf.get(_INITIAL_PARTITIONS, None):
-        return False
-    spark.conf.set(_INITIAL_PARTITIONS, str(by_size))
-    return True
-
-
-@contextmanager
-def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """The same for the jobs of a block."""
-    changed = size_shuffles(spark, input_bytes)
-    try:
-        yield
-    finally:
-        if changed:
-            spark.conf.unset(_INITIAL_PARTITIONS)
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written, through the file system it lies on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @cache

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reviewmill.schemas import TABLES
 
@@ -50,14 +51,15 @@ def register_tables(spark: SparkSession, base: str, database: str) -> None:
     Entries are external: replacing them leaves the files alone. Partitions are discovered from
     the folders, so this is to be repeated after a run that adds a year.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base.rstrip('/')}/catalog'")
+    named = _quoted(database)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {named} LOCATION {_literal(base.rstrip('/') + '/catalog')}")
     for name, table in TABLES.items():
-        entry = f"{database}.{name}"
+        entry = f"{named}.{name}"
         layout = f"PARTITIONED BY ({', '.join(table.partition)})" if table.partition else ""
         spark.sql(f"DROP TABLE IF EXISTS {entry}")
         spark.sql(
             f"CREATE TABLE {entry} ({table.columns}) USING parquet {layout} "
-            f"LOCATION '{table_path(base, name)}'"
+            f"LOCATION {_literal(table_path(base, name))}"
         )
         if table.partition:
             spark.catalog.recoverPartitions(entry)
@@ -65,12 +67,20 @@ def register_tables(spark: SparkSession, base: str, database: str) -> None:
 
 def use_database(spark: SparkSession, database: str) -> None:
     """Resolve plain table names in this database from now on."""
-    spark.catalog.setCurrentDatabase(database)
+    spark.sql(f"USE {_quoted(database)}")
 
 
 def tables_present(spark: SparkSession, database: str) -> DataFrame:
     """The six expected table names and whether the database lists them."""
-    listed = {table.name for table in spark.catalog.listTables(database)}
-    return spark.createDataFrame(
-        [(name, name in listed) for name in TABLES], "table_name STRING, is_present BOOLEAN"
-    )
+    found = [(name, spark.catalog.tableExists(f"{_quoted(database)}.{name}")) for name in TABLES]
+    rows = [F.struct(F.lit(n).alias("table_name"), F.lit(p).alias("is_present")) for n, p in found]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    """A SQL string with quotes and backslashes escaped."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
