@@ -11,23 +11,22 @@ import json
 import os
 import time
 
-from pyspark.sql import SparkSession
-
 from reviewmill.plans import registry
+from reviewmill.sources.session import create_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
 
 def main() -> None:
-    spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
-        .appName("bench")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
+    spark = create_session(
+        "bench",
+        {
+            "spark.master": f"local[{CPUS}]",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.sql.shuffle.partitions": CPUS,
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()

@@ -9,7 +9,10 @@ from __future__ import annotations
 # The feeds, as described in FIXTURES.md.
 _FEEDS = """
 raw_reviews AS (
-    SELECT CASE WHEN l_discount = 0.05 THEN l_linenumber + 0.5::DOUBLE
+    SELECT CASE WHEN l_discount = 0.06 THEN 4.1::DOUBLE
+                WHEN l_discount = 0.07 THEN 3.9::DOUBLE
+                WHEN l_discount = 0.08 AND l_linenumber = 4 THEN 4.0005::DOUBLE
+                WHEN l_discount = 0.05 THEN l_linenumber + 0.5::DOUBLE
                 ELSE l_linenumber::DOUBLE END AS rating,
            CASE WHEN l_tax > 0 THEN 'order ' || l_orderkey END AS title,
            l_returnflag || l_linestatus AS text,
@@ -47,7 +50,9 @@ raw_products AS (
            CASE p_size WHEN 7 THEN NULL WHEN 8 THEN '   ' ELSE ' ' || p_brand END AS store,
            p_type AS main_category,
            CASE p_size WHEN 9 THEN 'from 12.99' WHEN 10 THEN NULL WHEN 11 THEN '999999999.00'
-                WHEN 12 THEN '-3.00' WHEN 49 THEN '$1,225.00'
+                WHEN 12 THEN '-3.00' WHEN 13 THEN '12d' WHEN 14 THEN '1.0f' WHEN 15 THEN '1e3'
+                WHEN 16 THEN ' 7.5 ' WHEN 17 THEN 'NaN' WHEN 18 THEN 'Infinity'
+                WHEN 19 THEN '12.999' WHEN 21 THEN '' WHEN 22 THEN '12.99' || chr(10) WHEN 49 THEN '$1,225.00'
                 ELSE '$' || (p_size * p_size * 0.5)::DECIMAL(10,2) END AS price,
            p_size / 10.0::DOUBLE AS average_rating,
            (p_size - 5)::BIGINT AS rating_number
@@ -115,10 +120,14 @@ products AS (
 ),
 review_product AS (SELECT * FROM reviews LEFT JOIN products USING (product_asin))"""
 
-_SUMMARIES = """
+# The mean rating to three places, rounded half up in whole numbers.
+_MEAN = """((2 * sum((rating::DECIMAL(8,6) * 1000000)::BIGINT) + 1000 * count(rating))
+            // (2000 * count(rating)))::DOUBLE / 1000"""
+
+_SUMMARIES = f"""
 product_stats AS (
     SELECT product_asin, count(*) AS review_count, count(rating) AS rated_review_count,
-           round(avg(rating), 3) AS average_review_rating,
+           {_MEAN} AS average_review_rating,
            count(*) FILTER (is_verified_purchase) AS verified_review_count,
            count(*) FILTER (NOT is_verified_purchase) AS non_verified_review_count,
            sum(helpful_vote_count)::BIGINT AS helpful_vote_count
@@ -142,7 +151,7 @@ brand_products AS (
 ),
 brand_reviews AS (
     SELECT coalesce(brand, 'Unknown') AS brand, count(*) AS review_count,
-           count(rating) AS rated_review_count, round(avg(rating), 3) AS average_review_rating,
+           count(rating) AS rated_review_count, {_MEAN} AS average_review_rating,
            count(*) FILTER (is_verified_purchase) AS verified_review_count
     FROM review_product GROUP BY 1
 ),
@@ -155,8 +164,8 @@ brand_summary AS (
 ),
 monthly_review_summary AS (
     SELECT review_year, review_month, count(*) AS review_count,
-           count(rating) AS rated_review_count, round(sum(rating), 3) AS rating_sum,
-           round(avg(rating), 3) AS average_rating,
+           count(rating) AS rated_review_count, round(sum(rating::DECIMAL(8,6)), 3)::DOUBLE AS rating_sum,
+           {_MEAN} AS average_rating,
            count(*) FILTER (rating = 1) AS rating_1_count,
            count(*) FILTER (rating = 2) AS rating_2_count,
            count(*) FILTER (rating = 3) AS rating_3_count,
@@ -241,7 +250,10 @@ _SELECTS = {
     "normalize_brand": f"""
         SELECT store, {_BRAND} AS brand, count(*) AS n FROM raw_products GROUP BY ALL""",
     "coerce_numeric": """
-        SELECT TRY_CAST(trim(price) AS DOUBLE) AS price, rating_number::DOUBLE AS rating_number,
+        SELECT CASE WHEN regexp_full_match(
+                   price, ' *[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)? *'
+               ) THEN TRY_CAST(trim(price) AS DOUBLE) END AS price,
+               rating_number::DOUBLE AS rating_number,
                count(*) AS n
         FROM raw_products GROUP BY ALL""",
     "clean_reviews": "SELECT * FROM reviews",
@@ -263,11 +275,27 @@ _SELECTS = {
     "sink_partitioned_roundtrip": "SELECT * FROM reviews",
     "batch_row_counts": _ROW_COUNTS,
     "catalog_register": _ROW_COUNTS,
+    "use_database": """
+        SELECT review_year, count(*) AS months, sum(review_count)::BIGINT AS review_count
+        FROM monthly_review_summary WHERE review_year <> 0 GROUP BY review_year""",
+    "utc_session": """
+        SELECT CASE WHEN review_month <> 'unknown' THEN review_month END AS review_month,
+               count(*) AS review_count
+        FROM reviews GROUP BY ALL""",
+    "detail_unordered": """
+        SELECT '1998' AS review_year, least(100, count(*)) AS n
+        FROM review_product WHERE review_year = 1998""",
+    "batch_product_summary": "SELECT * REPLACE (price::DOUBLE AS price) FROM product_summary",
+    "batch_brand_summary": "SELECT * FROM brand_summary",
+    "batch_monthly_summary": "SELECT * FROM monthly_review_summary",
+    "batch_review_product": "SELECT * REPLACE (price::DOUBLE AS price) FROM review_product",
     "check_tables_present": f"SELECT *, TRUE AS is_present FROM ({_ROW_COUNTS})",
     "overall_metrics": """
         SELECT sum(review_count)::BIGINT AS total_reviews,
                sum(rated_review_count)::BIGINT AS rated_reviews,
-               round(sum(rating_sum) / nullif(sum(rated_review_count), 0), 2) AS average_rating
+               ((2 * sum((rating_sum::DECIMAL(18,3) * 1000)::BIGINT)
+                 + 10 * sum(rated_review_count)) // (20 * sum(rated_review_count)))::DOUBLE / 100
+                   AS average_rating
         FROM monthly_review_summary""",
     "total_products": "SELECT count(*) AS total_products FROM products",
     "rating_distribution": _STARS,
@@ -401,13 +429,25 @@ _SELECTS = {
 }
 
 
+# What the batch job's review feed holds besides: the readable part of lines with wrong types.
+_ODD_LINES = """
+    FROM documents
+    UNION ALL
+    SELECT NULL, NULL, 'typed', '7', 'S' || s_suppkey, 'U' || s_suppkey, NULL, NULL, NULL
+    FROM supplier
+),
+raw_products"""
+
+#: Queries over the tables of the batch job itself.
+_OF_JOB = ("batch_product_summary", "batch_brand_summary", "batch_monthly_summary", "batch_review_product")
+
+
 def statements() -> dict[str, str]:
     """One complete statement per registered query."""
-    return {
-        name: (
-            f"{_WITH}, {select.strip()[5:]}"
-            if select.strip().startswith("WITH ")
-            else f"{_WITH} {select.strip()}"
-        )
-        for name, select in _SELECTS.items()
-    }
+    job = _WITH.replace("\n    FROM documents\n),\nraw_products", _ODD_LINES)
+    made = {}
+    for name, select in _SELECTS.items():
+        before = job if name in _OF_JOB else _WITH
+        select = select.strip()
+        made[name] = f"{before}, {select[5:]}" if select.startswith("WITH ") else f"{before} {select}"
+    return made

@@ -16,38 +16,79 @@ from pyspark.sql import functions as F
 from reviewmill.functions import cleaning as rule
 from reviewmill.functions import display
 from reviewmill.operators import cleaning, joins, quality, reports, summaries
-from reviewmill.plans.batch import ReviewLake
-from reviewmill.plans.supplied import SUPPLIED, raw_products, raw_reviews, supplied_path
+from reviewmill.plans.batch import ReviewLake, run_batch
+from reviewmill.plans.supplied import (
+    SUPPLIED,
+    odd_lines,
+    raw_products,
+    raw_reviews,
+    supplied_path,
+)
 from reviewmill.schemas import TABLES
 from reviewmill.sources import feeds, tables
-from reviewmill.sources.session import scratch_folder, size_shuffles
+from reviewmill.sources.session import own_session, partitions_for, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Bytes of the feeds for each stored byte of the supplied tables, at most.
+GROWTH = 6.0
+
 _lakes: dict[tuple[str, str], ReviewLake] = {}
+_jobs: dict[tuple[str, str], ReviewLake] = {}
+_written: set[str] = set()
 _lakes_lock = threading.Lock()
+_written_lock = threading.Lock()
 
 
 def lake(spark: SparkSession, sf_dir: str) -> ReviewLake:
     """Stored tables of an input folder, shared by all queries of this application.
 
-    Queries run after they have been returned, so the size of their shuffles, too, is settled here,
-    for the session. Nothing is written before a query asks for a table.
+    Each lake has a session of its own, whose shuffles start with partitions for this folder's size;
+    the caller's session stays as it is. Nothing is written before a query asks for a table.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     with _lakes_lock:
         if key not in _lakes:
             paths = [supplied_path(sf_dir, name) for name in SUPPLIED]
-            size_shuffles(spark, feeds.stored_bytes(spark, *paths))
+            needed = partitions_for(feeds.stored_bytes(spark, *paths), GROWTH)
+            least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            own = own_session(spark, max(needed, least))
             _lakes[key] = ReviewLake(
-                spark,
-                raw_reviews(spark, sf_dir),
-                raw_products(spark, sf_dir),
+                own,
+                raw_reviews(own, sf_dir),
+                raw_products(own, sf_dir),
                 scratch_folder(spark, "lake"),
             )
         return _lakes[key]
 
 
+def _once(path: str, write: Callable[[str], None]) -> str:
+    """The folder, written by the first call."""
+    with _written_lock:
+        if path not in _written:
+            write(path)
+            _written.add(path)
+    return path
+
+
+def job(spark: SparkSession, sf_dir: str) -> ReviewLake:
+    """The six tables of the batch job itself, run on the feeds as gzip'd JSON Lines.
+
+    The review feed also holds lines that break off, and values of wrong types.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    source = lake(spark, sf_dir)
+    with _lakes_lock:
+        if key not in _jobs:
+            reviews, products = f"{source.base}/job/reviews", f"{source.base}/job/products"
+            feeds.write_feed(source.raw_reviews, reviews)
+            odd_lines(source.spark, sf_dir).write.text(reviews + "-odd", compression="gzip")
+            feeds.write_feed(source.raw_products, products)
+            both = f"{source.base}/job/{{reviews,reviews-odd}}"
+            _jobs[key] = run_batch(source.spark, both, products, f"{source.base}/job/lake", spread=True)
+        return _jobs[key]
+
+
 def _plain(frame: DataFrame) -> DataFrame:
     """Instants and dates as text, decimals as doubles: forms every engine prints alike."""
     plain: dict[str, Column] = {}
@@ -264,20 +305,21 @@ def _scan(feed: Feed, read: Callable[[SparkSession, str], DataFrame]) -> Query:
     """A feed written as gzip'd JSON Lines and read back under its schema."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        path = scratch_folder(spark, "feed")
-        feeds.write_feed(feed(lake(spark, sf_dir)), path)
-        return read(spark, path)
+        source = lake(spark, sf_dir)
+        path = f"{source.base}/feeds/{feed.__name__}"
+        return read(source.spark, _once(path, lambda path: feeds.write_feed(feed(source), path)))
 
     return query
 
 
 def _sink(name: str, build: Feed) -> Query:
-    """A stored table written to a new folder and read back."""
+    """A stored table written to a folder of its own and read back."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = scratch_folder(spark, "sink")
-        tables.write_table(build(lake(spark, sf_dir)), base, name)
-        return _plain(tables.read_table(spark, base, name))
+        source = lake(spark, sf_dir)
+        path = f"{source.base}/sinks/{name}"
+        base = _once(path, lambda path: tables.write_table(build(source), path, name))
+        return _plain(tables.read_table(source.spark, base, name))
 
     return query
 
@@ -290,23 +332,51 @@ def _batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _registered(spark: SparkSession, sf_dir: str) -> str:
     """Database with the six tables of an input folder."""
-    base = lake(spark, sf_dir).build().base
-    database = "reviewmill_" + base.rsplit("-", 1)[-1]
-    tables.register_tables(spark, base, database)
+    source = lake(spark, sf_dir).build()
+    database = "reviewmill_" + source.base.rsplit("-", 1)[-1]
+    _once(f"catalog {database}", lambda _: tables.register_tables(source.spark, source.base, database))
     return database
 
 
 def _catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every table when read by its registered name."""
-    database = _registered(spark, sf_dir)
-    return quality.row_counts({name: spark.table(f"{database}.{name}") for name in TABLES})
+    database, own = _registered(spark, sf_dir), lake(spark, sf_dir).spark
+    return quality.row_counts({name: own.table(f"{database}.{name}") for name in TABLES})
 
 
 def _check_tables_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Presence and size of every expected table."""
-    database = _registered(spark, sf_dir)
-    sizes = quality.row_counts({name: spark.table(f"{database}.{name}") for name in TABLES})
-    return tables.tables_present(spark, database).join(sizes, "table_name", "left")
+    database, own = _registered(spark, sf_dir), lake(spark, sf_dir).spark
+    sizes = quality.row_counts({name: own.table(f"{database}.{name}") for name in TABLES})
+    return tables.tables_present(own, database).join(sizes, "table_name", "left")
+
+
+def _use_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months and reviews of each known year, by plain table name after the database was chosen."""
+    own = own_session(spark)
+    tables.use_database(own, _registered(spark, sf_dir))
+    return own.sql(
+        "SELECT review_year, count(*) AS months, sum(review_count) AS review_count "
+        "FROM monthly_review_summary WHERE review_year <> '0' GROUP BY review_year"
+    )
+
+
+def _utc_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews of each month by the stored instants, in a session under the library's settings."""
+    reviews = lake(spark, sf_dir).table("reviews")
+    month = F.date_format("review_timestamp", "yyyy-MM").alias("review_month")
+    return reviews.groupBy(month).agg(F.count(F.lit(1)).alias("review_count"))
+
+
+def _detail_unordered(frame: DataFrame) -> DataFrame:
+    """Rows of each year in an unordered detail report."""
+    year = F.left("review_month", F.lit(4)).alias("review_year")
+    return reports.detail_by_year(frame, 1998).groupBy(year).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _batch(name: str) -> Query:
+    """A whole table of the batch job."""
+    return lambda spark, sf_dir: _plain(job(spark, sf_dir).table(name))
 
 
 STORAGE: dict[str, Query] = {
@@ -321,6 +391,13 @@ STORAGE: dict[str, Query] = {
     "batch_row_counts": _batch_row_counts,
     "catalog_register": _catalog_register,
     "check_tables_present": _check_tables_present,
+    "use_database": _use_database,
+    "utc_session": _utc_session,
+    "detail_unordered": _stored(_detail_unordered, "review_product"),
+    "batch_product_summary": _batch("product_summary"),
+    "batch_brand_summary": _batch("brand_summary"),
+    "batch_monthly_summary": _batch("monthly_review_summary"),
+    "batch_review_product": _batch("review_product"),
 }
 
 QUERIES: dict[str, Query] = {**RULES, **OPERATORS, **REPORTS, **CHECKS, **STORAGE}

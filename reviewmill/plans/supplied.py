@@ -51,6 +51,9 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         supplied(spark, sf_dir, "lineitem"), (F.col("l_quantity") == 50) & (line == 1)
     ).select(
         F.when(copy, 5.0)
+        .when(F.col("l_discount") == 0.06, 4.1)
+        .when(F.col("l_discount") == 0.07, 3.9)
+        .when((F.col("l_discount") == 0.08) & (line == 4), 4.0005)
         .otherwise(line + F.when(F.col("l_discount") == 0.05, 0.5).otherwise(0.0))
         .alias("rating"),
         F.when(F.col("l_tax") > 0, _text("order ", F.col("l_orderkey")))
@@ -109,6 +112,15 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(size == 10, None)
         .when(size == 11, "999999999.00")
         .when(size == 12, "-3.00")
+        .when(size == 13, "12d")
+        .when(size == 14, "1.0f")
+        .when(size == 15, "1e3")
+        .when(size == 16, " 7.5 ")
+        .when(size == 17, "NaN")
+        .when(size == 18, "Infinity")
+        .when(size == 19, "12.999")
+        .when(size == 21, "")
+        .when(size == 22, "12.99\n")
         .when(size == 49, "$1,225.00")
         .otherwise(_text("$", (size * size * 0.5).cast("decimal(10,2)")))
         .alias("price"),
@@ -127,3 +139,18 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_nationkey").cast("long").alias("rating_number"),
     )
     return parts.unionByName(suppliers)
+
+
+def odd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that don't fit the review feed's schema: for each supplier one that breaks off, and one
+    with values of wrong types and an undeclared field."""
+    key = _text(F.col("s_suppkey"))
+    broken = F.concat(F.lit('{"rating": 5.0, "parent_asin": "S'), key)
+    typed = F.concat(
+        F.lit('{"rating": "5.0", "parent_asin": "S'),
+        key,
+        F.lit('", "asin": 7, "text": "typed", "user_id": "U'),
+        key,
+        F.lit('", "helpful_vote": "3", "verified_purchase": "true", "timestamp": 1.7e12, "more": {"a": [1]}}'),
+    )
+    return supplied(spark, sf_dir, "supplier").select(F.explode(F.array(broken, typed)).alias("value"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_points
+from reviewmill.plans.oracles import statements
+from reviewmill.plans.registry import QUERIES
 from compare import connect, oracle_rows, spark_rows
 from conftest import MEDIUM
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+ORACLES = statements()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,8 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

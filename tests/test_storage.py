@@ -6,13 +6,14 @@ import gzip
 import json
 import logging
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from conftest import MEDIUM, SMALL
 from helpers import PRODUCT, REVIEW, plan, rows
-from reviewmill.operators import cleaning
+from reviewmill.operators import cleaning, summaries
 from reviewmill import __main__ as command
 from reviewmill.plans import batch, registry
 from reviewmill.plans.supplied import raw_products, raw_reviews
@@ -57,13 +58,19 @@ def test_number_prices_stay_readable(spark, tmp_path):
     ]
 
 
-def test_few_gzip_files_are_spread_and_splittable_ones_are_not(spark, tmp_path):
-    path = write_lines(tmp_path / "r", REVIEW)
-    assert "REBALANCE_PARTITIONS" in plan(feeds.spread(feeds.read_reviews(spark, path)))
-    plain = tmp_path / "plain"
-    plain.mkdir()
-    (plain / "a.json").write_text(json.dumps(REVIEW) + "\n")
-    assert "REBALANCE" not in plan(feeds.spread(feeds.read_reviews(spark, str(plain))))
+@pytest.mark.parametrize("codec", ["gzip", "deflate", "lz4", "snappy", "none"])
+def test_feeds_are_spread_on_request_whatever_their_codec(spark, tmp_path, codec):
+    path = str(tmp_path / "r")
+    try:
+        spark.createDataFrame([(json.dumps(REVIEW),)], "value STRING").write.text(path, compression=codec)
+    except Exception as error:  # some builds lack native codecs
+        if "native" not in str(error).lower():
+            raise
+        pytest.skip(f"no native {codec} here")
+    raw = feeds.read_reviews(spark, path)
+    assert "REBALANCE" not in plan(raw)
+    assert "REBALANCE_PARTITIONS" in plan(feeds.spread(raw))
+    assert feeds.spread(raw).count() == 1
 
 
 def test_partitioned_write_merges_small_tasks(spark, tmp_path):
@@ -116,13 +123,29 @@ def test_batch_counts_lines_without_an_extra_pass(lake, spark, feed_paths):
     assert 0 < seen["without_key"] < seen["lines"]
 
 
-def test_batch_repeats_exactly(spark, settings, lake, feed_paths, tmp_path):
-    settings(spark__sql__shuffle__partitions="3", spark__sql__session__timeZone="Asia/Tokyo")
-    again = batch.run_batch(spark, *feed_paths, str(tmp_path))
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_batch_repeats_exactly(spark, settings, lake, feed_paths, tmp_path, partitions):
+    settings(
+        spark__sql__shuffle__partitions=str(partitions), spark__sql__session__timeZone="Asia/Tokyo"
+    )
+    again = batch.run_batch(spark, *feed_paths, str(tmp_path), partitions, spread=partitions > 1)
     for name in TABLES:
         assert rows(again.table(name)) == rows(lake.table(name))
 
 
+def test_averages_of_awkward_ratings_do_not_depend_on_partitions(spark):
+    ratings = spark.range(2000).select(
+        F.lit("p").alias("product_asin"), F.lit(2020).alias("review_year"), F.lit("m").alias("review_month"),
+        F.when(F.col("id") < 1000, 4.1).when(F.col("id") < 1990, 3.9).otherwise(4.0).alias("rating"),
+        F.lit(True).alias("is_verified_purchase"), F.lit(0).alias("helpful_vote_count"),
+    )
+    for n in range(1, 7):
+        grain = summaries.product_month_stats(ratings.repartition(n))
+        assert [r.average_rating for r in summaries.monthly_summary(grain).collect()] == [4.001]
+        stats = summaries.product_review_stats(summaries.product_stats_from(grain))
+        assert [r.average_review_rating for r in stats.collect()] == [4.001]
+
+
 def test_a_second_run_replaces_the_first(spark, lake, feed_paths, tmp_path):
     few = write_lines(tmp_path / "few", REVIEW)
     base = str(tmp_path / "base")
@@ -180,17 +203,83 @@ def test_scratch_lies_in_the_shared_folder(spark, settings):
     assert first.startswith(shared) and first != second
 
 
-def test_shuffles_grow_with_the_input(spark):
-    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    with session.sized_shuffles(spark, 100 * session.PARTITION_BYTES):
-        assert spark.conf.get(name) == "100"
-        with session.sized_shuffles(spark, 1):
-            assert spark.conf.get(name) == "100"
-    with session.sized_shuffles(spark, 10**14):
-        assert spark.conf.get(name) == str(session.MOST_PARTITIONS)
-    with session.sized_shuffles(spark, 1):
-        assert spark.conf.get(name, None) is None
-    assert spark.conf.get(name, None) is None
+def test_shuffles_grow_with_the_input():
+    assert session.partitions_for(1) == 1
+    assert session.partitions_for(100 * session.PARTITION_BYTES) == 100
+    assert session.partitions_for(100 * session.PARTITION_BYTES, growth=6) == 600
+    assert session.partitions_for(10**16) > 70_000_000
+
+
+def test_each_lake_has_partitions_of_its_own_and_the_callers_stay(spark, tmp_path):
+    before = dict(spark.conf.getAll)
+    small, large = (session.own_session(spark, n) for n in (3, 7))
+    seen = {}
+
+    def build(name, own):
+        lake = batch.ReviewLake(own, raw_reviews(own, SMALL), raw_products(own, SMALL), f"{tmp_path}/{name}")
+        lake.build()
+        seen[name] = lake.spark.conf.get(session.INITIAL_PARTITIONS)
+
+    threads = [threading.Thread(target=build, args=a) for a in (("small", small), ("large", large))]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert seen == {"small": "3", "large": "7"}
+    registry.QUERIES["total_products"](spark, SMALL).collect()
+    assert dict(spark.conf.getAll) == before
+
+
+def test_a_larger_folder_gets_its_own_number(spark, monkeypatch, settings):
+    settings(spark__sql__shuffle__partitions="1")
+    monkeypatch.setattr(registry, "GROWTH", 6e4)
+    monkeypatch.setattr(registry, "_lakes", {})
+    first, second = (registry.lake(spark, d) for d in (SMALL, MEDIUM))
+    numbers = [int(lake.spark.conf.get(session.INITIAL_PARTITIONS)) for lake in (first, second)]
+    assert 1 < numbers[0] < numbers[1]
+
+
+def folders(base):
+    return {d for d in os.listdir(base) if not d.startswith(".")}
+
+
+def test_stages_go_after_success_and_failure(spark, feed_paths, tmp_path, monkeypatch):
+    batch.run_batch(spark, *feed_paths, f"{tmp_path}/good")
+    assert folders(f"{tmp_path}/good") == {"curated", "analytics"}
+    write = tables.write_table
+
+    def failing(frame, base, name):
+        if name == "brand_summary":
+            raise RuntimeError("disk full")
+        write(frame, base, name)
+
+    monkeypatch.setattr(tables, "write_table", failing)
+    with pytest.raises(RuntimeError, match="disk full"):
+        batch.run_batch(spark, *feed_paths, f"{tmp_path}/bad")
+    assert folders(f"{tmp_path}/bad") == {"curated", "analytics"}
+
+
+def test_a_hot_id_in_many_tasks_reaches_no_reducer_whole(spark, settings):
+    settings(spark__sql__shuffle__partitions="64", spark__sql__adaptive__enabled="false")
+    hot = spark.range(0, 6400, 1, 400).select(
+        F.when(F.col("id") % 7 < 7, "x").otherwise("y").alias("id"), F.col("id").alias("n"), F.lit("text").alias("text")
+    )
+    found = cleaning.keep_first(hot, "id", [F.desc("n")], salts=20)
+    assert [tuple(r) for r in found.collect()] == [("x", 6399, "text")]
+    assert plan(found).count("Exchange") == 2
+    # On the first level a group holds the tasks of one salt, on the second the salts of one id.
+    dealt = hot.select(F.spark_partition_id().alias("task")).distinct()
+    per_salt = dealt.groupBy((F.col("task") % 20).alias("salt")).count()
+    assert {r["count"] for r in per_salt.collect()} == {20} and per_salt.count() == 20
+
+
+def test_names_and_paths_with_quotes(spark, lake, tmp_path):
+    base = f"{tmp_path}/it's a `lake`"
+    for name in TABLES:
+        tables.write_table(lake.table(name), base, name)
+    tables.register_tables(spark, base, "order")
+    assert tables.tables_present(spark, "order").where("is_present").count() == 6
+    assert spark.table("`order`.reviews").count() == lake.table("reviews").count()
 
 
 def test_stored_bytes(spark, tmp_path):
