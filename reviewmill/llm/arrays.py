@@ -29,9 +29,14 @@ def pieces(column: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int
     """(first row, end row, bytes, offsets from 0) of consecutive rows; a null text is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_string())
+    if not len(column):
+        return
+    if column.null_count:
+        column = column.fill_null("")
+    wide = pa.types.is_large_string(column.type)
     _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1]
+    offsets = offsets.astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
@@ -99,6 +104,15 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
+def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of the ``size`` bytes from each place on; equal bytes have equal hashes wherever they stand."""
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.multiply(data.astype(np.uint64) + np.uint64(1), _table(_FACTOR, len(data)), out=total[1:])
+    np.cumsum(total, out=total)
+    places = len(data) - size + 1
+    return mix((total[size:] - total[:places]) * _table(_INVERSE, places))
+
+
 def code_points(data: np.ndarray) -> np.ndarray:
     """Running count of code points: entry i is the number that begin before byte i."""
     out = np.zeros(len(data) + 1, np.int64)

@@ -40,40 +40,19 @@ from reviewmill.llm import arrays, shared
 
 WIDTH, GRAM = 200, 32
 #: Bytes scanned at once.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: Up to so many grams or ids (8 bytes each) are sent to every executor; beyond, rows are shuffled to meet them.
 BROADCAST_ROWS = 1 << 22
 #: Sampled grams for each range border; a range holds about RANGE_SUFFIXES suffixes.
 SAMPLES, RANGE_SUFFIXES = 32, 20_000
 
 
-def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
-    """A hash of the bytes from each place on, for every place with ``width`` bytes after it."""
-    out, have = None, 0
-    part, size = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93), 1
-    while True:
-        if width & size:
-            out = part if out is None else _joined(out, have, part)
-            have += size
-        if have == width:
-            return out[: len(data) - width + 1]
-        part, size = _joined(part, size, part), size * 2
-
-
-def _joined(left: np.ndarray, size: int, right: np.ndarray) -> np.ndarray:
-    n = max(0, len(right) - size)
-    right = right[size : size + n]
-    return left[:n] * np.uint64(pow(0x9E3779B97F4A7C15, size + 7, 1 << 64)) + (
-        right ^ (right >> np.uint64(29))
-    ) * np.uint64(0xBF58476D1CE4E5B9)
-
-
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """(text, first window, windows, anchor, gram, digest) of each anchor; places count from their text's start."""
     none = tuple(np.zeros(0, np.int64) for _ in range(6))
     if len(data) < WIDTH:
         return none
-    grams = arrays.mix(window_hashes(data, GRAM))
+    grams = arrays.gram_hashes(data, GRAM)
     low, span = np.uint64((1 << 32) - 1), WIDTH - GRAM + 1
     keyed = (grams & ~low) | (low - np.arange(len(grams), dtype=np.uint64))
     blocks = np.concatenate([keyed, np.full(-len(keyed) % span, ~np.uint64(0))]).reshape(-1, span)
@@ -105,9 +84,9 @@ def _scan(batches: Iterator[pa.RecordBatch], only_grams: bool) -> Iterator[pa.Re
             if only_grams:
                 yield pa.RecordBatch.from_arrays([pa.array(gram)], ["gram"])
                 continue
-            rows = batch.slice(first, end - first).take(pa.array(text))
+            ids = [batch[c].slice(first, end - first).take(pa.array(text)) for c in ("doc", "copy")]
             yield pa.RecordBatch.from_arrays(
-                [rows["doc"], rows["copy"], *map(pa.array, (begin, count, place, gram, digest))],
+                [*ids, *map(pa.array, (begin, count, place, gram, digest))],
                 ["doc", "copy", "begin", "count", "place", "gram", "digest"],
             )
 
@@ -205,6 +184,16 @@ def agreements(lefts: list[bytes], lcps: list[int]) -> list[tuple[int, int]]:
     """
     n = len(lefts)
     best = [(0, 0)] * n
+    if n <= 6:
+        for i in range(n):
+            right = WIDTH
+            for j in range(i + 1, n):
+                right = min(right, lcps[j])
+                left = common(lefts[i], lefts[j], 0)
+                if left + right >= WIDTH:
+                    for k in (i, j):
+                        best[k] = max(best[k][0], left), max(best[k][1], right)
+        return best
     order = sorted(range(n), key=lefts.__getitem__)
     rank = [0] * n
     for r, i in enumerate(order):
