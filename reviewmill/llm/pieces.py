@@ -36,7 +36,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 #: Units up to so many bytes are solved together, longer ones one by one.
 WIDE = 40
-PIECE_BYTES = 12 << 20
+PIECE_BYTES = 5 << 20
 
 _SPACE = "▁"
 _NONE = -np.inf
