@@ -50,9 +50,9 @@ raw_products AS (
            CASE p_size WHEN 7 THEN NULL WHEN 8 THEN '   ' ELSE ' ' || p_brand END AS store,
            p_type AS main_category,
            CASE p_size WHEN 9 THEN 'from 12.99' WHEN 10 THEN NULL WHEN 11 THEN '999999999.00'
-                WHEN 12 THEN '-3.00' WHEN 13 THEN '12d' WHEN 14 THEN '1.0f' WHEN 15 THEN '1e3'
-                WHEN 16 THEN ' 7.5 ' WHEN 17 THEN 'NaN' WHEN 18 THEN 'Infinity'
-                WHEN 19 THEN '12.999' WHEN 21 THEN '' WHEN 22 THEN '12.99' || chr(10) WHEN 49 THEN '$1,225.00'
+                WHEN 12 THEN '-3.00' WHEN 24 THEN '12d' WHEN 26 THEN '1.0f' WHEN 28 THEN '1e3'
+                WHEN 30 THEN ' 7.5 ' WHEN 33 THEN 'NaN' WHEN 35 THEN 'Infinity'
+                WHEN 37 THEN '12.999' WHEN 39 THEN '' WHEN 41 THEN '12.99' || chr(10) WHEN 49 THEN '$1,225.00'
                 ELSE '$' || (p_size * p_size * 0.5)::DECIMAL(10,2) END AS price,
            p_size / 10.0::DOUBLE AS average_rating,
            (p_size - 5)::BIGINT AS rating_number

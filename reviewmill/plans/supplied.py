@@ -112,15 +112,15 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(size == 10, None)
         .when(size == 11, "999999999.00")
         .when(size == 12, "-3.00")
-        .when(size == 13, "12d")
-        .when(size == 14, "1.0f")
-        .when(size == 15, "1e3")
-        .when(size == 16, " 7.5 ")
-        .when(size == 17, "NaN")
-        .when(size == 18, "Infinity")
-        .when(size == 19, "12.999")
-        .when(size == 21, "")
-        .when(size == 22, "12.99\n")
+        .when(size == 24, "12d")
+        .when(size == 26, "1.0f")
+        .when(size == 28, "1e3")
+        .when(size == 30, " 7.5 ")
+        .when(size == 33, "NaN")
+        .when(size == 35, "Infinity")
+        .when(size == 37, "12.999")
+        .when(size == 39, "")
+        .when(size == 41, "12.99\n")
         .when(size == 49, "$1,225.00")
         .otherwise(_text("$", (size * size * 0.5).cast("decimal(10,2)")))
         .alias("price"),
