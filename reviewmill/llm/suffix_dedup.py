@@ -361,7 +361,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     grams = _few(shared.stored(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")))
     kind = "doc long, copy long, begin long, count long, place long, gram long, digest long"
     found = docs.select("doc", "copy", "text").mapInArrow(lambda b: _scan(b, False), kind)
-    found = shared.stored(found.join(grams, "gram", "left_semi"))
+    # Read twice from the texts rather than stored: it would take as much disk as they do.
+    found = found.join(grams, "gram", "left_semi")
 
     # Whole runs of windows that recur, and one representative of each for grams that have other anchors.
     place = F.struct("doc", "copy", "place")
@@ -377,7 +378,9 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     lists = wanted.groupBy("doc", "copy").agg(F.collect_list(F.struct("place", "only")).alias("wanted"))
     lists = lists.withColumnsRenamed({"doc": "of", "copy": "of_copy"})
     same = F.col("doc").eqNullSafe(F.col("of")) & (F.col("copy") == F.col("of_copy"))
-    holding = docs.join(lists, same).dropDuplicates(["doc", "copy"]).select("doc", "copy", "text", "wanted")
+    ids = shared.stored(lists.select("of", "of_copy"))
+    holding = docs.join(F.broadcast(ids), same, "left_semi") if ids.count() <= BROADCAST_ROWS else docs
+    holding = holding.join(lists, same).dropDuplicates(["doc", "copy"]).select("doc", "copy", "text", "wanted")
     total = wanted.count()
     parts = max(1, total // RANGE_SUFFIXES)
     borders: list[bytes] = []
