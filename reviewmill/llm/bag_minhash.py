@@ -9,11 +9,12 @@ which all slots are expected to be filled, and on for texts where some aren't, s
 
 Then signatures are cut into bands. Texts with equal words are one class first, and only its first document goes
 on. Texts that share a band meet in its bucket: every member is compared with the bucket's first one, by exact
-bag overlap of the whole texts. Members of a bucket that still lie in different components afterwards are compared with
-each other unless their distances to the first rule a link out (weighted Jaccard distance is a metric: pairs whose distances
-differ by more than the limit can't be near). So no link between bucket members is lost, and a group of thousands
-of copies costs a comparison each, not one for each pair. With 32 bands of 5 rows, texts of similarity 0.8 share a bucket
-with probability 0.999997.
+bag overlap of the whole texts. Members of a bucket that lie in different components afterwards may still be linked: in
+a small bucket they are compared with each other, unless their distances to the first rule a link out (weighted
+Jaccard distance is a metric: distances of near texts differ by less than the limit); in a larger one, members
+are dealt to blocks, every two blocks are compared exactly in one task, and only links that connect components leave it. So
+no link between bucket members is lost, and a group of thousands of copies puts out one pair each, not one for each two. With
+32 bands of 5 rows, texts of similarity 0.8 share a bucket with probability 0.999997.
 
 Buckets, links and components stay in Spark tables; counts combine before shuffles, and joins run between stored
 tables, so that hot buckets are split. Only texts that have a candidate travel.
@@ -37,6 +38,9 @@ BANDS, ROWS = 32, 5
 #: Up to so many ids (8 bytes each) are sent to every executor to pick the texts that have candidates.
 BROADCAST_IDS = 1 << 20
 
+#: Buckets up to so many members are compared in pairs; larger ones in blocks of about BLOCK members.
+SMALL_BUCKET, BLOCK = 12, 1024
+
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -199,6 +203,78 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return shared.stored(both.select("a", "b", _likeness(F.col("__left"), F.col("__right")).alias("likeness")))
 
 
+def _occurrences(column: pa.Array) -> pa.Array:
+    """Each text's bag as a set: hashes of shingles with the number of their occurrence, sorted."""
+    parts = []
+    for low in range(0, len(column), 256):
+        own = column.slice(low, 256)
+        text, shingle = _bag(own)
+        by = np.lexsort((shingle, text))
+        text, shingle = text[by], shingle[by]
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (shingle[1:] != shingle[:-1])
+        at = np.arange(len(text))
+        number = at - np.maximum.accumulate(np.where(new, at, 0))
+        named = np.where(number > 0, arrays.mix(shingle + arrays.mix(number.astype(np.uint64))), shingle)
+        cut = np.searchsorted(text, np.arange(len(own) + 1)).astype(np.int32)
+        parts.append(pa.ListArray.from_arrays(pa.array(cut), pa.array(named.view(np.int64))))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+
+
+def _bridges(table: pa.Table, similarity: float) -> pa.Table:
+    """(a, b): links between different parts of a block's members, enough to connect what they connect."""
+    member = table["member"].to_numpy()
+    bags_ = table["bag"].combine_chunks()
+    size = bags_.value_lengths().to_numpy(zero_copy_only=False).astype(np.float32)
+    row = np.repeat(np.arange(len(member)), size.astype(np.int64))
+    _, shingle, count = np.unique(bags_.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    shingle = shingle.ravel()
+    common = count[shingle] > 1
+    row, shingle = row[common], np.unique(shingle[common], return_inverse=True)[1].ravel()
+    overlap = np.zeros((len(member), len(member)), np.float32)
+    by = np.argsort(shingle, kind="stable")
+    row, shingle = row[by], shingle[by]
+    for low in range(0, int(shingle.max(initial=-1)) + 1, 4096):
+        first, end = np.searchsorted(shingle, [low, low + 4096])
+        holds = np.zeros((len(member), 4096), np.float32)
+        holds[row[first:end], shingle[first:end] - low] = 1
+        overlap += holds @ holds.T
+    union = size[:, None] + size[None, :] - overlap
+    _, part = np.unique(table["part"].to_numpy(), return_inverse=True)
+    part = part.ravel()
+    linked = (overlap >= similarity * union - 1e-4) & (part[:, None] < part[None, :])
+    root = list(range(len(member)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    found = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+        a, b = find(int(part[i])), find(int(part[j]))
+        if a != b and overlap[i, j] / union[i, j] >= similarity - 1e-6:
+            root[a] = b
+            found.append((int(member[i]), int(member[j])))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def _block_links(placed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links across parts inside large buckets: members are dealt to blocks, and every two blocks of a bucket
+    are compared in one task by products of their incidence matrices."""
+    ids = shared.stored(placed.select(F.col("member").alias("id")).distinct())
+    needed = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+    bag = F.arrow_udf(_occurrences, "array<long>").asNondeterministic()
+    held = shared.stored(needed.select(F.col("id").alias("member"), bag("text").alias("bag")))
+    own = F.pmod(F.xxhash64("member"), F.col("blocks"))
+    dealt = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "bucket", "member", "part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    ).join(held, "member")
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(lambda table: _bridges(table, similarity), "a long, b long")
+
+
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """All rows and columns of docs, and class_id."""
     sign = F.arrow_udf(_sign, "a long, b long, bands array<long>").asNondeterministic()
@@ -231,13 +307,17 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity
     placed = placed.join(parts.withColumnRenamed("node", "member"), "member", "left").select("bucket", "member", part, away)
     mixed = placed.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y")
     placed = shared.stored(placed.join(shared.stored(mixed.select("bucket")), "bucket", "left_semi"))
-    other = placed.withColumnsRenamed({"member": "b", "part": "part_b", "away": "away_b"})
+    sizes = placed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.count(F.lit(1)).alias("n"))
+    placed = shared.stored(placed.join(shared.stored(sizes), "bucket"))
+    small = placed.filter(F.col("n") <= SMALL_BUCKET)
+    other = small.select("bucket", F.col("member").alias("b"), F.col("part").alias("part_b"), F.col("away").alias("away_b"))
     near = F.abs(F.col("away") - F.col("away_b")) <= 1 - similarity + 1e-9
     first = (F.col("away") == 0) | (F.col("away_b") == 0)  # compared already
-    pairs = placed.withColumnRenamed("member", "a").join(other, "bucket").filter((F.col("part") < F.col("part_b")) & near & ~first)
+    pairs = small.withColumnRenamed("member", "a").join(other, "bucket").filter((F.col("part") < F.col("part_b")) & near & ~first)
     more = _compared(shared.stored(pairs.select("a", "b").distinct()), texts)
     bridges = more.filter(F.col("likeness") >= similarity).select("a", "b")
-    parts = shared.stored(graphs.components(links.unionByName(bridges)))
+    bridges = bridges.unionByName(_block_links(placed.filter(F.col("n") > SMALL_BUCKET), texts, similarity))
+    parts = shared.stored(graphs.components(links.unionByName(shared.stored(bridges))))
 
     classed = copies.select("a", "b", "class").join(parts.withColumnRenamed("node", "class"), "class", "left")
     classed = classed.select("a", "b", F.coalesce("component", "class").alias("class_id"))
