@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without later copies of repeated line runs, and without documents of which nothing is left (operator 10)."""
-    left = line_runs.dedup_lines(docs).filter("n_lines = 0 OR n_deleted < n_lines")
+    left = line_runs.dedup_lines(docs, min_words=line_runs.MIN_WORDS).filter("n_lines = 0 OR n_deleted < n_lines")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         left = left.withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))

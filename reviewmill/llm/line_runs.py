@@ -7,7 +7,8 @@ stand for ranks and no global numbering is needed). Suffixes with one name of ``
 the suffix array whose common prefix has at least that length; its earliest member (by document id, digest of
 the text, and line number) is the original, the others begin later copies. Doubling stops at ``min_lines``,
 since maximal repeated runs are the unions of such neighbours. A line of ``long_line`` characters or more is a
-run by itself. Lines of later copies are deleted, the others keep their order and stay joined by line breaks.
+run by itself. With ``min_words``, so is a run of fewer lines that has so many words together; names then grow
+line by line, and each suffix carries the words of its run. Lines of later copies are deleted, the others keep their order and stay joined by line breaks.
 
 Counts are combined before each shuffle. Names meet their counts through stored small tables, so Spark can split the
 rows of a very frequent line. Only names travel, texts are shuffled once, at the end.
@@ -21,10 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm import shared
+from reviewmill.llm import mixing, shared
 
 MIN_LINES = 3
 LONG_LINE = 200
+#: A passage of so many words is worth deleting whatever its lines; OP10_SQL has no such rule, so it is off unless asked for.
+MIN_WORDS = 50
 
 _PLACE = ("__doc", "__digest", "__pos")
 
@@ -50,40 +53,57 @@ def _pairs(suffixes: DataFrame, step: int) -> DataFrame:
         (F.col("__pos") - step).alias("__before"),
         F.col("__a").alias("__c"),
         F.col("__b").alias("__d"),
+        *([F.col("__tail").alias("__next")] if "__tail" in suffixes.columns else []),
     )
     same = F.col("__doc").eqNullSafe(F.col("__of")) & (F.col("__digest") == F.col("__of_digest"))
-    joined = suffixes.select(*_PLACE, "__a", "__b").join(after, same & (F.col("__pos") == F.col("__before")))
-    return joined.select(*_PLACE, *_name(*map(F.col, ("__a", "__b", "__c", "__d"))))
+    joined = suffixes.drop("__first").join(after, same & (F.col("__pos") == F.col("__before")))
+    words = [(F.col("__words") + F.col("__next")).alias("__words"), F.col("__next").alias("__tail")]
+    return joined.select(
+        *_PLACE, *_name(*map(F.col, ("__a", "__b", "__c", "__d"))), *(words if "__tail" in suffixes.columns else [])
+    )
 
 
 def later_copies(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", min_lines: int = MIN_LINES, long_line: int = LONG_LINE
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    min_lines: int = MIN_LINES,
+    long_line: int = LONG_LINE,
+    min_words: int | None = None,
 ) -> DataFrame:
     """(__doc, __digest, __lines): for each document that has some, the numbers of its lines in later copies."""
     lines = docs.select(
         F.col(key).alias("__doc"), F.xxhash64(text).alias("__digest"), F.posexplode(F.split(text, "\n")).alias("__pos", "__line")
     )
-    suffixes = lines.select(*_PLACE, *_name(F.col("__line")), (F.char_length("__line") >= long_line).alias("__long"))
+    words = mixing.words_in("__line").cast("int")
+    sizes = [words.alias("__words"), words.alias("__tail")] if min_words is not None else []
+    suffixes = lines.select(*_PLACE, *_name(F.col("__line")), (F.char_length("__line") >= long_line).alias("__long"), *sizes)
     known = repeated(suffixes).dropDuplicates(list(_PLACE))
     later = ~F.struct(*_PLACE).eqNullSafe(F.col("__first"))
-    found = known.filter(later & (F.col("__long") if min_lines > 1 else F.lit(True))).select(*_PLACE)
-    width = 1
+    wordy = F.lit(False) if min_words is None else F.col("__words") >= min_words
+    found = known.filter(later & (F.col("__long") | wordy if min_lines > 1 else F.lit(True))).select(*_PLACE)
+    known, width = known.drop("__long"), 1
     while width < min_lines:
-        step = min(width, min_lines - width)
+        step = min(width, min_lines - width) if min_words is None else 1
         known, width = repeated(_pairs(known, step)), width + step
-        if width == min_lines:
-            runs = known.filter(later).select(
-                "__doc", "__digest", F.explode(F.sequence(F.col("__pos"), F.col("__pos") + min_lines - 1)).alias("__pos")
+        if width == min_lines or min_words is not None:
+            runs = known.filter(later & (F.lit(True) if width == min_lines else wordy)).select(
+                "__doc", "__digest", F.explode(F.sequence(F.col("__pos"), F.col("__pos") + width - 1)).alias("__pos")
             )
             found = found.unionByName(runs)
     return found.groupBy("__doc", "__digest").agg(F.collect_set("__pos").alias("__lines"))
 
 
 def dedup_lines(
-    docs: DataFrame, text: str = "text", key: str = "doc_id", min_lines: int = MIN_LINES, long_line: int = LONG_LINE
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    min_lines: int = MIN_LINES,
+    long_line: int = LONG_LINE,
+    min_words: int | None = None,
 ) -> DataFrame:
     """All rows and columns of docs with the text without later copies, and n_lines and n_deleted."""
-    found = later_copies(docs, text, key, min_lines, long_line)
+    found = later_copies(docs, text, key, min_lines, long_line, min_words)
     found = found.withColumnsRenamed({"__doc": "__of", "__digest": "__of_digest"})
     added = ("n_lines", "n_deleted")
     split = F.split(text, "\n")

@@ -179,6 +179,39 @@ def test_lines_against_brute_force(spark):
         assert got[d] == "\n".join(x for p, x in enumerate(text.split("\n")) if (d, p) not in gone)
 
 
+def test_lines_of_many_words(spark):
+    two = f"{prose(30, 1)[:190]}\n{prose(30, 2)[:190]}"
+    few = "one two three\nfour five"
+    short = " ".join("a" * 50)  # 50 words, 99 characters
+    given = docs(
+        spark, (1, f"x\n{two}\ny"), (2, f"z\n{two}\nw"), (3, f"{few}\nv"), (4, f"{few}\nu"), (5, short), (6, f"t\n{short}\ns")
+    )
+    assert min(len(x.split()) for x in two.split("\n")) >= 25 and max(map(len, two.split("\n"))) < 200
+    for lines in (3, 4):
+        got = {r.doc_id: r.text for r in line_runs.dedup_lines(given, min_lines=lines, min_words=50).collect()}
+        assert got == {1: f"x\n{two}\ny", 2: "z\nw", 3: f"{few}\nv", 4: f"{few}\nu", 5: short, 6: "t\ns"}
+
+
+@pytest.mark.parametrize("min_lines, min_words", [(3, 4), (5, 6), (2, 3)])
+def test_lines_of_many_words_against_brute_force(spark, min_lines, min_words):
+    own = random.Random(12)
+    some = ["a", "b b", "c c c", "", "d d d d d d"]
+    texts = ["\n".join(own.choice(some) for _ in range(own.randrange(1, 9))) for _ in range(40)]
+    given = docs(spark, *enumerate(texts))
+    got = {r.doc_id: r.text for r in line_runs.dedup_lines(given, min_lines=min_lines, min_words=min_words).collect()}
+    first, gone = {}, set()
+    for d, text in enumerate(texts):
+        lines = text.split("\n")
+        for width in range(1, min_lines + 1):
+            for p in range(len(lines) - width + 1):
+                run = tuple(lines[p : p + width])
+                counts = width == min_lines or len(" ".join(run).split()) >= min_words
+                if first.setdefault(run, (d, p)) != (d, p) and counts:
+                    gone |= {(d, p + k) for k in range(width)}
+    for d, text in enumerate(texts):
+        assert got[d] == "\n".join(x for p, x in enumerate(text.split("\n")) if (d, p) not in gone)
+
+
 def test_mixing(spark):
     rows = [(i, (i, prose(50, i), "big" if i < 60 else "small" if i < 75 else None, "en", "clash")) for i in range(90)]
     rows += [(200, (200, None, "big", "en", "")), (201, (201, "", "empty", "en", "")), (None, (None, prose(50, 1), "small", "en", ""))]

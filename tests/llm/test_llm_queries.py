@@ -12,6 +12,8 @@ from reviewmill.llm import queries, shared
 
 MEDIUM = "/root/testdata/sf0.01"
 SMALL = "/root/testdata/sf0.001"
+#: Two lines of 25 words and 149 characters.
+TWO = [" ".join([word] * 25) for word in ("alpha", "gamma")]
 
 
 def test_every_operator_has_a_query():
@@ -63,3 +65,10 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = shared.stored(stage(spark, docs, SMALL))
     assert docs.count() == 0
+
+
+def test_pipeline_deletes_wordy_runs_of_two_lines(spark):
+    rows = [(495, "top\n" + "\n".join(TWO), "en", "s", 0), (2855, "other\n" + "\n".join(TWO) + "\nend", "en", "s", 0)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, given, SMALL).collect()}
+    assert got == {495: "top\n" + "\n".join(TWO), 2855: "other\nend"}
