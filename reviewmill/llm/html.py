@@ -2,13 +2,15 @@
 
 Every page is read into an element tree. Each element subtree is hashed (names, texts and child hashes, not
 attributes), Spark counts in how many pages of a host each hash occurs, and subtrees that recur across many
-pages of their host are deleted. Fixed rules on element names and class words take what differs from page to
+pages of their host are deleted. Pages of one host with the same text (of the article if it is marked) count as one
+page, so a page that stands at many addresses isn't its own template. Fixed rules on element names and class words take what differs from page to
 page but is never article text (menus, adverts, notices, forms, reader comments, scripts). If a page marks its
-article (``article``, ``main`` or the like), only text inside counts, and there plain text elements such as
-paragraphs are never taken for template, since copies of one article may recur on a host.
+article (``article``, ``main`` or the like), only text inside counts, and no element there is taken for template,
+since near copies of one article may recur on a host.
 
 The tree is read twice, once for the counts and once for the text, rather than stored; both are narrow scans.
-Counts are combined before their shuffle, so a host with a third of all pages is no hot spot. The recurring hashes
+Subtrees meet their copies by host, hash and text, and the counts of what is left are combined before their shuffle, so a
+host with a third of all pages is no hot spot. The recurring hashes
 of all hosts are broadcast while they are few by count; else pages meet them in a join that Spark splits by size.
 
 Null or empty html gives an empty text, a null address counts as one nameless host. Pages cut off anywhere are
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import shared
 
-#: A subtree is template if it is in this many pages of its host ...
+#: A subtree is template if it is in this many pages of its host that differ in text ...
 MIN_PAGES = 5
 #: ... and in this share of them.
 MIN_SHARE = 0.2
@@ -47,7 +49,6 @@ _DROPPED = frozenset(
     "canvas audio video dialog menu title xmp noembed noframes math label datalist".split()
 )
 _REGION = frozenset(("article", "main"))
-_PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th tr figcaption br".split())
 _CLOSES_P = _BLOCK - frozenset("body head html td th tr tbody thead tfoot li dd dt option caption summary legend".split())
 #: An opening tag ends an open element of these names.
 _ENDS = {
@@ -181,8 +182,8 @@ def _walk(root: _Element) -> tuple[list[int], list[tuple[str, list[int], bool]]]
                     around = (chain, region)
                 pieces.append(part)
         else:
-            # Paragraphs of the article, and what holds the whole page or article, are no candidates.
-            if not (part.region or part.name in ("#page", "html", "body") or (region and part.name in _PLAIN)):
+            # The article with all that it holds, and what holds the whole page, are no candidates.
+            if not (region or part.region or part.name in ("#page", "html", "body")):
                 subtrees.add(part.hash)
                 if part.name in _BLOCK:
                     chain = (*chain, part.hash)
@@ -199,24 +200,31 @@ def _walk(root: _Element) -> tuple[list[int], list[tuple[str, list[int], bool]]]
 
 
 def read_page(html: str | None) -> dict:
-    """blocks: the texts that the fixed rules leave, with the hashes of the elements around; subtrees: all hashes."""
+    """blocks: the texts that the fixed rules leave, with the hashes of the elements around; seen: a hash of these texts and
+    the hashes of all subtrees."""
     if not html:
-        return {"blocks": [], "subtrees": []}
+        return {"blocks": [], "seen": {"content": 0, "subtrees": []}}
     root = read_tree(html)
     _hash(root)
     subtrees, blocks = _walk(root)
     if any(region for _, _, region in blocks):
         blocks = [b for b in blocks if b[2]]
-    return {"blocks": [{"text": text, "around": chain} for text, chain, _ in blocks], "subtrees": subtrees}
+    texts = "\n".join(text for text, _, _ in blocks).encode("utf-8", "surrogatepass")
+    return {
+        "blocks": [{"text": text, "around": chain} for text, chain, _ in blocks],
+        "seen": {"content": xxhash.xxh3_64_intdigest(texts) - (1 << 63), "subtrees": subtrees},
+    }
 
 
 def _read(html: Column, part: str) -> Column:
-    kind = "array<struct<text:string,around:array<long>>>" if part == "blocks" else "array<long>"
-    item = (
-        pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
-        if part == "blocks"
-        else pa.list_(pa.int64())
-    )
+    hashes = pa.list_(pa.int64())
+    kind, item = {
+        "blocks": (
+            "array<struct<text:string,around:array<long>>>",
+            pa.list_(pa.struct([("text", pa.string()), ("around", hashes)])),
+        ),
+        "seen": ("struct<content:long,subtrees:array<long>>", pa.struct([("content", pa.int64()), ("subtrees", hashes)])),
+    }[part]
     read = F.arrow_udf(lambda pages: pa.array([read_page(x)[part] for x in pages.to_pylist()], item), kind)
     return read.asNondeterministic()(html)
 
@@ -234,9 +242,14 @@ def templates(
     A page has a bounded number of subtrees, so those in a share of a host's pages are bounded as well.
     """
     address = F.xxhash64(host(F.col(url))).alias("__of")
-    seen = pages.select(address, F.explode(_read(F.col(html), "subtrees")).alias("__hash"))
-    counts = seen.groupBy("__of", "__hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
-    sizes = pages.groupBy(address).agg(F.count(F.lit(1)).alias("pages"))
+    seen = pages.select(address, _read(F.col(html), "seen").alias("__seen"))
+    # A null among a page's hashes counts the page itself.
+    hashes = F.array_append("__seen.subtrees", F.lit(None).cast("long"))
+    apart = seen.select("__of", F.col("__seen.content").alias("__content"), F.explode(hashes).alias("__hash")).distinct()
+    counts = apart.groupBy("__of", "__hash").agg(F.count(F.lit(1)).alias("n"))
+    counts = shared.stored(counts.filter((F.col("n") >= min_pages) | F.col("__hash").isNull()))
+    sizes = counts.filter("__hash IS NULL").select("__of", F.col("n").alias("pages"))
+    counts = counts.filter("__hash IS NOT NULL")
     frequent = counts.join(sizes, "__of").filter(F.col("n") >= F.lit(min_share) * F.col("pages"))
     return shared.stored(frequent.groupBy("__of").agg(F.collect_set("__hash").alias("__templates")))
 

@@ -118,6 +118,24 @@ def test_template_needs_many_pages_of_one_host(spark):
     assert {r.text for r in html.extract(given).collect()} == {"Same everywhere\nown"}
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    menu = "<div><span>Home and all that</span></div>"
+    own = "<p>First words</p><p>Second words</p><ul><li>item</li></ul><table><tr><td>cell</td></tr></table>"
+    held = f"<div class=content>{own}</div><section><div>part</div></section><figure><figcaption>fig</figcaption></figure>"
+    rows = [(i, f"http://a.example/{i}", f"<body>{menu}<div>{own}</div></body>") for i in range(6)]
+    rows += [(10 + i, f"http://a.example/{i}", f"<body>{menu}<p>Story {i}</p></body>") for i in range(6)]
+    # Copies and near copies of an article; the adverts differ.
+    rows += [(20 + i, "http://b.example/", f"<div class=ad>{i}</div><div><article>{held}</article></div>") for i in range(6)]
+    rows += [(30 + i, "http://c.example/", f"<article>{held}<p>Near {i}</p></article>") for i in range(6)]
+    given = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract(given).collect()}
+    text = "First words\nSecond words\nitem\ncell"
+    assert [got[i] for i in range(6)] == [text] * 6
+    assert [got[10 + i] for i in range(6)] == [f"Story {i}" for i in range(6)]
+    assert [got[20 + i] for i in range(6)] == [f"{text}\npart\nfig"] * 6
+    assert [got[30 + i] for i in range(6)] == [f"{text}\npart\nfig\nNear {i}" for i in range(6)]
+
+
 def test_toxicity_learns_words_and_stems(spark):
     rows, marks = [], []
     for i in range(240):
