@@ -8,6 +8,10 @@ page but is never article text (menus, adverts, notices, forms, reader comments,
 article (``article``, ``main`` or the like), only text inside counts, and no element there is taken for template,
 since near copies of one article may recur on a host.
 
+Class words never take the element that holds the page's article: around ``main`` they don't count, around other
+articles only if some article stands outside all such elements, if more text does, or if they mark reader comments and
+lists of other articles; and not even then if nothing else would be left. In an article, words for headers don't count.
+
 The tree is read twice, once for the counts and once for the text, rather than stored; both are narrow scans.
 Subtrees meet their copies by host, hash and text, and the counts of what is left are combined before their shuffle, so a
 host with a third of all pages is no hot spot. The recurring hashes
@@ -65,6 +69,21 @@ _MARKS = frozenset(
     "comment comments reply replies respond discussion disqus share sharing social newsletter subscribe signup login "
     "search related recommended recommendations trending teaser teasers skip contentinfo complementary".split()
 )
+#: Of these, what may hold articles that are not the page's own.
+_OTHERS = frozenset(
+    "comment comments reply replies respond discussion disqus related recommended recommendations trending teaser teasers".split()
+)
+#: Of these, what an article may have for itself.
+_HEADERS = frozenset(("header", "masthead"))
+#: A word after one of these marks nothing: has-sidebar, no-sidebar, side-by-side.
+_QUALIFIERS = frozenset("has no non not with without by".split())
+#: A first word marks its token if the last only says what kind of box or part it is: sidebar-left, but not sidebar-layout.
+_BOXES = frozenset(
+    "container wrap wrapper box area item items list lists group block blocks section inner outer left right top bottom "
+    "primary secondary main button buttons btn icon icons link links label form input field bar row slot unit zone panel pane "
+    "column col posts post articles stories news content body text title heading author avatar meta date count counter "
+    "toggle trigger message messages dialog policy settings logo image img holder bottombar header footer nav now tools".split()
+)
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S
@@ -75,34 +94,50 @@ _NAMED = re.compile(r"class|id|role|itemprop|hidden", re.I)
 
 
 class _Element:
-    __slots__ = ("name", "texts", "children", "dropped", "region", "parts", "hash")
+    __slots__ = ("name", "dropped", "marks", "region", "parts", "hash")
 
-    def __init__(self, name: str, dropped: bool, region: bool):
-        self.name, self.dropped, self.region = name, dropped, region
+    def __init__(self, name: str, dropped: bool, marks: frozenset[str], region: str):
+        self.name, self.dropped, self.marks, self.region = name, dropped, marks, region
         self.parts: list = []  # texts and elements, in page order
 
 
-def _flags(name: str, attributes: str, in_region: bool) -> tuple[bool, bool]:
-    """(dropped, region) of an element."""
-    dropped, region = name in _DROPPED or (name == "header" and not in_region), name in _REGION
+def _marks(token: str) -> set[str]:
+    """The words that mark an element in one token of its class, id or role."""
+    words = _WORD.findall(token)
+    found = {w for w in words if w in _MARKS}
+    if found and len(words) > 1:
+        found = {words[-1]} & _MARKS if words[-2] not in _QUALIFIERS else set()
+        if words[0] in _MARKS and words[-1] in _BOXES:
+            found.add(words[0])
+    return found
+
+
+def _flags(name: str, attributes: str, in_region: bool) -> tuple[bool, frozenset[str], str]:
+    """(dropped by its name, marks of its class words, kind of region or '') of an element."""
+    dropped, region = name in _DROPPED or (name == "header" and not in_region), name if name in _REGION else ""
+    marks: set[str] = set()
     if _NAMED.search(attributes):
         for key, *values in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), "".join(values).lower()
             if key in ("class", "id", "role"):
-                dropped |= any(not _MARKS.isdisjoint(_WORD.findall(x)) for x in value.split())
-                region |= key == "role" and value == "main"
-            elif key == "itemprop":
-                region |= value == "articlebody"
+                for token in value.split():
+                    marks |= _marks(token)
+                if key == "role" and value == "main":
+                    region = "main"
+            elif key == "itemprop" and value == "articlebody":
+                region = "main"
             elif key == "hidden":
                 dropped = True
+    if in_region or region:
+        marks -= _HEADERS
     if name in ("html", "body"):
-        dropped = False
-    return dropped, region and not dropped
+        return False, frozenset(), region
+    return dropped, frozenset() if dropped else frozenset(marks), "" if dropped else region
 
 
 def read_tree(html: str) -> _Element:
     """The element tree of a page, however broken."""
-    root = _Element("#page", False, False)
+    root = _Element("#page", False, frozenset(), "")
     stack, at = [root], 0
     while m := _TOKEN.search(html, at):
         if m.start() > at:
@@ -121,8 +156,7 @@ def read_tree(html: str) -> _Element:
             _end(stack, {"p"})
         if name in _ENDS:
             _end(stack, _ENDS[name])
-        region = any(e.region for e in stack)
-        element = _Element(name, *_flags(name, m[3], region))
+        element = _Element(name, *_flags(name, m[3], any(e.region for e in stack)))
         stack[-1].parts.append(element)
         if name in _RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(html, at)
@@ -158,6 +192,31 @@ def _hash(root: _Element) -> None:
         e.hash = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _settle(root: _Element, level: int) -> bool:
+    """Drop the elements with marks, but not around ``main`` (from level 0), articles (1) and articles among comments or
+    lists of other articles (2); whether all regions are dropped."""
+    order, above = [root], [-1]
+    at = 0
+    while at < len(order):
+        for p in order[at].parts:
+            if type(p) is not str and (p.marks or not p.dropped):  # without marks, dropped by name
+                order.append(p)
+                above.append(at)
+        at += 1
+    others, holds = [False] * len(order), [False] * len(order)
+    for i, e in enumerate(order):
+        others[i] = (i > 0 and others[above[i]]) or not _OTHERS.isdisjoint(e.marks)
+        holds[i] = e.region == "main" or (bool(e.region) and (level == 2 or (level == 1 and not others[i])))
+    for i in range(len(order) - 1, 0, -1):
+        holds[above[i]] |= holds[i]
+    free = [True] * len(order)
+    for i, e in enumerate(order):
+        if e.marks:
+            e.dropped = not holds[i]
+        free[i] = not e.dropped and (i == 0 or free[above[i]])
+    return any(e.region for e in order) and not any(f and e.region for f, e in zip(free, order))
+
+
 def _walk(root: _Element) -> tuple[list[int], list[tuple[str, list[int], bool]]]:
     """Hashes of the subtrees that may be template; (text, hashes around it, in the article) of each block."""
     subtrees: set[int] = set()
@@ -187,7 +246,7 @@ def _walk(root: _Element) -> tuple[list[int], list[tuple[str, list[int], bool]]]
                 subtrees.add(part.hash)
                 if part.name in _BLOCK:
                     chain = (*chain, part.hash)
-            region, dropped = region or part.region, dropped or part.dropped
+            region, dropped = region or bool(part.region), dropped or part.dropped
             if part.name in _BLOCK:
                 flush()
                 around = (chain, region)
@@ -199,6 +258,12 @@ def _walk(root: _Element) -> tuple[list[int], list[tuple[str, list[int], bool]]]
     return sorted(subtrees), blocks
 
 
+def _article(root: _Element) -> tuple[list[int], list[tuple[str, list[int], bool]]]:
+    """As _walk, with the blocks of the article alone if it has some."""
+    subtrees, blocks = _walk(root)
+    return subtrees, [b for b in blocks if b[2]] or blocks
+
+
 def read_page(html: str | None) -> dict:
     """blocks: the texts that the fixed rules leave, with the hashes of the elements around; seen: a hash of these texts and
     the hashes of all subtrees."""
@@ -206,9 +271,15 @@ def read_page(html: str | None) -> dict:
         return {"blocks": [], "seen": {"content": 0, "subtrees": []}}
     root = read_tree(html)
     _hash(root)
-    subtrees, blocks = _walk(root)
-    if any(region for _, _, region in blocks):
-        blocks = [b for b in blocks if b[2]]
+    barred = _settle(root, 0)
+    subtrees, blocks = _article(root)
+    if barred:
+        _settle(root, 1)
+        inside = _article(root)[1]
+        if not blocks and not inside:
+            _settle(root, 2)
+            inside = _article(root)[1]
+        blocks = max(blocks, inside, key=lambda found: sum(len(text) for text, _, _ in found))
     texts = "\n".join(text for text, _, _ in blocks).encode("utf-8", "surrogatepass")
     return {
         "blocks": [{"text": text, "around": chain} for text, chain, _ in blocks],

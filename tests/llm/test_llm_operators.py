@@ -118,6 +118,33 @@ def test_template_needs_many_pages_of_one_host(spark):
     assert {r.text for r in html.extract(given).collect()} == {"Same everywhere\nown"}
 
 
+@pytest.mark.parametrize("around", [
+    "layout has-sidebar", "page no-sidebar", "layout sidebar-left", "sidebar", "menu", "layout comments", "sidebar-layout",
+])
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_class_words_around_the_article(around, name):
+    held = "<div class='entry-header'><h1>Title</h1></div><p>Text of it</p><div class='social-icons'>share</div>"
+    got = html.read_page(f"<body><div class='{around}'><{name}>{held}</{name}></div><footer>end</footer></body>")
+    assert [b["text"] for b in got["blocks"]] == ["Title", "Text of it"]
+
+
+def test_class_words_that_stay():
+    def text(page):
+        return [b["text"] for b in html.read_page(f"<body>{page}</body>")["blocks"]]
+
+    own, long = "<article><p>Own</p></article>", "<div><p>Own text without a mark</p></div>"
+    for marked in ("sidebar", "sidebar-left", "comment-list", "comments", "site-header", "ad-slot", "related-posts", "layout popup"):
+        other = f"<div class='{marked}'><article><p>Other</p></article></div>"
+        assert text(own + other) == text(other + own) == ["Own"]
+        assert text(long + other) == ["Own text without a mark"]
+        assert text(f"{long}<div class='{marked}'>Other</div>") == ["Own text without a mark"]
+    comments = "<div class=comments><article>" + "<p>A long comment</p>" * 9 + "</article></div>"
+    assert text(long + comments) == ["Own text without a mark"]
+    assert text("<header class=x>Top</header><article class='post has-comments'><header><h1>T</h1></header>Own</article>") == ["T", "Own"]
+    assert text("<div class='side-by-side'>Own</div>") == ["Own"]
+    assert len(html.read_page("<article class=ad>" * 20000 + "x")["blocks"]) == 1
+
+
 def test_copies_of_a_page_are_no_template(spark):
     menu = "<div><span>Home and all that</span></div>"
     own = "<p>First words</p><p>Second words</p><ul><li>item</li></ul><table><tr><td>cell</td></tr></table>"
