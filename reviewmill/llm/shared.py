@@ -12,6 +12,22 @@ def names(frame: DataFrame, *without: str) -> list[str]:
     return [f"`{c.replace('`', '``')}`" for c in frame.columns if c not in without]
 
 
+def unused(frame: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that the frame doesn't have: the wanted ones, lengthened where they are taken."""
+    taken, free = {c.lower() for c in frame.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
+def quoted(name: str) -> str:
+    """One column name, whatever characters it has, for select and col."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def checkpoints(spark: SparkSession) -> None:
     """Settle the folder for checkpoints: spark.checkpoint.dir, or on a local master a temporary folder."""
     context = spark.sparkContext
