@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reviewmill.llm import bag_minhash, chat, html, line_runs, mixing, order_minhash, pieces, repetition, suffix_dedup, toxicity
+from reviewmill.llm import (
+    bag_minhash,
+    chat,
+    feistel_shards,
+    html,
+    line_runs,
+    mixing,
+    order_minhash,
+    pieces,
+    qd_whitening,
+    repetition,
+    suffix_dedup,
+    toxicity,
+    vertical_phrases,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +114,41 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.dedup_lines(docs)
 
 
+def op11_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the leading components, whitened."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = qd_whitening.fit(vectors)
+    error = qd_whitening.identity_error(vectors, model)
+    explained = F.array(*[F.lit(x) for x in model.explained] if model else []).cast("array<double>")
+    white = qd_whitening.whiten(vectors, model).select(
+        "vec_id", "whitening.deviation", F.posexplode("whitening.whitened").alias("at", "whitened")
+    )
+    return white.select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        F.col("deviation").cast("long").alias("deviation"),
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+def op12_vertical_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of every language."""
+    docs = _table(spark, sf_dir, "documents").select("text", "lang")
+    return vertical_phrases.top(vertical_phrases.collocations(docs))
+
+
+def op13_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    dealt = feistel_shards.deal(docs, carry=["doc_id", "text_crc32"])
+    law, grown = F.lit(feistel_shards.LAW).alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return dealt.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_template_removal": op1_template_removal,
     "op2_mixing": op2_mixing,
@@ -111,6 +160,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_chat": op9_chat,
     "op10_line_runs": op10_line_runs,
+    "op11_qd_whitening": op11_qd_whitening,
+    "op12_vertical_phrases": op12_vertical_phrases,
+    "op13_feistel_shards": op13_feistel_shards,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -255,11 +307,88 @@ FROM documents d LEFT JOIN lines l USING (doc_id) LEFT JOIN gone g ON g.doc_id =
 GROUP BY d.doc_id, d.text
 """
 
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, range(1, 6) ks(k))
+  GROUP BY ALL
+),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 100),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, n, c.cut, g.f AS l, h.f AS r,
+         ((1000::HUGEINT * c.a * n) // (g.f::HUGEINT * h.f))::BIGINT AS score
+  FROM cuts c JOIN sizes USING (lang)
+  JOIN grams g ON g.lang = c.lang AND g.phrase = array_to_string(w[:cut], ' ') AND g.k = cut
+  JOIN grams h ON h.lang = c.lang AND h.phrase = array_to_string(w[cut + 1:], ' ') AND h.k = c.k - cut
+),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+),
+inside AS (  -- all shorter runs of words of each candidate
+  SELECT lang, a, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM (SELECT *, unnest(range(2, k)) AS m FROM candidates WHERE k > 2)
+),
+covers AS (SELECT lang, phrase, max(a) AS longer FROM inside GROUP BY ALL),
+ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score
+  FROM best b LEFT JOIN covers c ON c.lang = b.lang AND c.phrase = b.phrase
+  WHERE NOT coalesce(100 * longer >= 100 * a, false)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+OP13_SQL = r"""
+WITH RECURSIVE keyed AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         md5(coalesce(doc_id::VARCHAR, '') || '/' || md5(coalesce(text, ''))) AS digest
+  FROM documents
+),
+numbered AS (SELECT *, row_number() OVER (ORDER BY digest) - 1 AS row_number FROM keyed),
+total AS (SELECT count(*) AS n, floor(sqrt(greatest(count(*), 1) - 1))::BIGINT + 1 AS least FROM keyed),
+sides AS (  -- two radices with a product little above n
+  SELECT n, a, (n + a - 1) // a AS b FROM (SELECT n, unnest(range(least, least + 4096)) AS a FROM total)
+  ORDER BY a * ((n + a - 1) // a), a LIMIT 1
+),
+net(row_number, l, r, i) AS (  -- rounds, in sixes until below n
+  SELECT row_number, row_number // b, row_number % b, 0 FROM numbered, sides
+  UNION ALL
+  SELECT row_number, r,
+         (l + ('0x' || substr(md5('0/' || (i % 6) || '/' || r), 1, 15))::BIGINT) % CASE WHEN i % 2 = 0 THEN a ELSE b END, i + 1
+  FROM net, sides WHERE NOT (i > 0 AND i % 6 = 0 AND l * b + r < n)
+),
+placed AS (SELECT row_number, l * b + r AS place FROM net, sides WHERE i > 0 AND i % 6 = 0 AND l * b + r < n),
+nibbles AS (  -- fixed values: remainders of the reflected CRC-32 polynomial for four bits
+  SELECT [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+          3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]::BIGINT[] AS t
+),
+bits AS (  -- of each byte the low four bits first, behind the register's start value
+  SELECT row_number, t, list_prepend(4294967295, list_transform(range(0, len(h)),
+           lambda j: ('0x' || h[j + 2 - 2 * (j % 2)])::BIGINT)) AS xs
+  FROM (SELECT row_number, string_split(hex(encode(text)), '') AS h FROM numbered WHERE text <> ''), nibbles
+),
+crcs AS (
+  SELECT row_number, xor(4294967295, list_reduce(xs, lambda c, x: xor(c // 16, t[(xor(c, x) & 15) + 1]))) AS crc FROM bits
+)
+SELECT doc_id, strlen(text) + 1 AS size, coalesce(crc, 0)::BIGINT AS text_crc32, 'rows' AS law,
+       (place % 8)::INTEGER AS shard, place // 8 AS slot, NULL::INTEGER AS grown_shard
+FROM numbered JOIN placed USING (row_number) LEFT JOIN crcs USING (row_number)
+"""
+
 ORACLES: dict[str, str] = {
     "op2_mixing": OP2_SQL,
     "op4_repetition": OP4_SQL,
     "op9_chat": OP9_SQL,
     "op10_line_runs": OP10_SQL,
+    "op12_vertical_phrases": OP12_SQL,
+    "op13_feistel_shards": OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
