@@ -43,11 +43,11 @@ MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
 #: A candidate goes if a longer one has this share of its occurrences, in percent.
 COVERED_PERCENT = 100
 #: Occurrences that a prefix may have without being extended.
-BUDGET = 1 << 21
+BUDGET = 1 << 20
 MOST_EXTENDED = 1 << 17
 #: Bits of the map of frequent words.
 WORD_BITS = 25
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 # What ends a piece, and what separates words.
 ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -82,8 +82,8 @@ class Block:
 
     def columns(self, at: np.ndarray, depth: int) -> list[np.ndarray]:
         """Numbers of the words at some places and after them, -1 beyond the end."""
-        padded = np.append(self.ids, np.full(depth, -1))
-        return [np.where(j < self.room[at], padded[at + j], -1) for j in range(depth)]
+        padded = np.append(self.ids, np.full(depth, -1, np.int32))
+        return [np.where(j < self.room[at], padded[at + j], np.int32(-1)) for j in range(depth)]
 
     def prefix_hashes(self, at: np.ndarray, depth: int) -> Iterator[np.ndarray]:
         """Hashes of the first 1 to ``depth`` words at some places; what is beyond an end means nothing."""
@@ -130,7 +130,7 @@ def _block(data: np.ndarray, offsets: np.ndarray, lang_hash: np.uint64) -> Block
     at = np.frombuffer(words.buffers()[1], np.int64)[: len(words) + 1]
     letters = np.frombuffer(words.buffers()[2], np.uint8) if len(words) else np.zeros(0, np.uint8)
     hashes = arrays.mix(arrays.span_hashes(letters, at[:-1], at[1:]) ^ lang_hash)
-    return Block(words, hashes, coded.indices.to_numpy().astype(np.int64), room)
+    return Block(words, hashes, coded.indices.to_numpy(), room)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], frequent: np.ndarray | None = None) -> Iterator[tuple[str, Block]]:
@@ -317,7 +317,7 @@ def _subtrees(key: tuple, table: pa.Table, min_count: int) -> pa.Table:
     """(lang, phrase, f): the frequent nodes of one group's subtrees."""
     lists = {name: table[name].combine_chunks() for name in ("words", "depths", "ids", "counts")}
     coded = lists["words"].flatten().dictionary_encode()
-    codes = pc.fill_null(coded.indices, -1).to_numpy().astype(np.int64)
+    codes = pc.fill_null(coded.indices, -1).to_numpy()
     words_at = np.append(0, np.cumsum(pc.list_value_length(lists["words"]).to_numpy()))
     rows_at = np.append(0, np.cumsum(pc.list_value_length(lists["counts"]).to_numpy()))
     ids = lists["ids"].flatten().to_numpy()
