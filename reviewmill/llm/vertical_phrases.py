@@ -6,14 +6,13 @@ vertically: a prefix of one word with more occurrences than the memory budget is
 texts for each depth that still has such prefixes. All other prefixes are grouped, as bins of a hash, with a mean load of half the budget,
 so a group holds a bounded number of occurrences; each group's subtrees are built independently of the others.
 
-1. Words are counted by language (combined per block before the shuffle). From here on a suffix ends before a word with fewer
-   than ``min_count`` occurrences, since no phrase that holds it has more. Tasks know such words from a bitmap of fixed size; words that
-   share a bit with a frequent one stay, which costs time and changes nothing.
+1. Words are counted by language (combined per block before the shuffle).
 2. Prefixes beyond the budget are counted exactly and extended. They are known in every task by 64-bit hashes; a prefix that
    shares its hash is extended, too, and counted with them. There are at most occurrences / budget of them at each depth, and the budget is
    never less than 1 / MOST_EXTENDED of the corpus.
-3. A block of text turns its suffixes into distinct rows of word numbers with counts, and sends each group those of its prefixes with
-   their words. Equal suffixes were combined before the shuffle, so a phrase with a third of all words costs one row a block.
+3. A block of text turns its suffixes into distinct rows of word numbers with counts, and sends each group those of its prefixes, as
+   compressed byte planes. The COMMON most frequent words have numbers that all tasks know; other words travel with the
+   rows. Equal suffixes were combined before the shuffle, so a phrase with a third of all words costs one row a block.
 4. A group orders its suffixes; leaves are equal suffixes, and the total of the leaves below a node is the frequency of its phrase. Nodes
    with ``min_count`` or more are the result.
 5. Candidates meet the frequencies of their parts in joins by language and phrase, and are scored with whole numbers of up to 38
@@ -45,8 +44,8 @@ COVERED_PERCENT = 100
 #: Occurrences that a prefix may have without being extended.
 BUDGET = 1 << 20
 MOST_EXTENDED = 1 << 17
-#: Bits of the map of frequent words.
-WORD_BITS = 25
+#: Words whose numbers all tasks know.
+COMMON = 1 << 16
 BLOCK_BYTES = 2 << 20
 
 # What ends a piece, and what separates words.
@@ -64,9 +63,9 @@ LANG = "lang"
 
 @dataclass(frozen=True)
 class Plan:
-    """What every task knows: the bitmap of frequent words, and for each depth the hashes of the extended prefixes."""
+    """What every task knows: the common words, and for each depth the hashes of the extended prefixes."""
 
-    frequent: np.ndarray
+    common: pa.Array
     extended: tuple[np.ndarray, ...] = ()
     groups: int = 1
 
@@ -133,8 +132,8 @@ def _block(data: np.ndarray, offsets: np.ndarray, lang_hash: np.uint64) -> Block
     return Block(words, hashes, coded.indices.to_numpy(), room)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], frequent: np.ndarray | None = None) -> Iterator[tuple[str, Block]]:
-    """(language, block) over (lang, text) batches; with a bitmap, room ends before a word that isn't frequent."""
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Block]]:
+    """(language, block) over (lang, text) batches."""
     for batch in batches:
         langs = batch.column(0).dictionary_encode()
         codes = langs.indices.to_numpy()
@@ -149,42 +148,27 @@ def _blocks(batches: Iterator[pa.RecordBatch], frequent: np.ndarray | None = Non
                 for part in _stretches(data, offsets, BLOCK_BYTES):
                     block = _block(*part, lang_hash)
                     if len(block.ids):
-                        if frequent is not None:
-                            _end_before_rare(block, frequent)
                         yield lang, block
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+def _counted(lang: str, phrases: pa.Array, hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """COUNTED, in batches of bounded length."""
+    for low in range(0, len(phrases), 1 << 16):
+        part = slice(low, low + (1 << 16))
+        text = phrases.slice(low, 1 << 16)
+        columns = [pa.array([lang] * len(text), pa.string()), text, pa.array(hashes[part].view(np.int64)), pa.array(counts[part])]
+        yield pa.record_batch(columns, ["lang", "phrase", "hash", "f"])
 
 
-def _end_before_rare(block: Block, frequent: np.ndarray) -> None:
-    slots = _slots(block.hashes)
-    known = (frequent[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
-    places = np.arange(len(block.ids))
-    stops = np.where(known[block.ids], len(places), places)
-    stops = np.minimum.accumulate(stops[::-1])[::-1]
-    block.room = np.minimum(block.room, stops - places)
+COUNTED = "lang string, phrase string, hash long, f long"
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, slot, f): a row for each distinct word of a block, and one without a phrase for all of them."""
+    """COUNTED for each distinct word of a block, and without a phrase for all its words."""
     for lang, block in _blocks(batches):
         counts = np.bincount(block.ids, minlength=len(block.words))
-        for low in range(0, len(counts), 1 << 16):
-            words = block.words.slice(low, 1 << 16)
-            yield pa.record_batch(
-                [
-                    pa.array([lang] * len(words), pa.string()),
-                    words.cast(pa.binary()).cast(pa.string()),
-                    pa.array(_slots(block.hashes[low : low + len(words)])),
-                    pa.array(arrays.mix(block.hashes[low : low + len(words)]).view(np.int64)),
-                    pa.array(counts[low : low + len(words)]),
-                ],
-                ["lang", "phrase", "slot", "hash", "f"],
-            )
-        nothing = [pa.array([lang]), pa.array([None], pa.string()), pa.array([0]), pa.array([0]), pa.array([len(block.ids)])]
-        yield pa.record_batch(nothing, ["lang", "phrase", "slot", "hash", "f"])
+        yield from _counted(lang, _phrases(block.words, [np.arange(len(counts))]), arrays.mix(block.hashes), counts)
+        yield from _counted(lang, pa.array([None], pa.string()), np.zeros(1, np.uint64), np.array([len(block.ids)]))
 
 
 def _order(columns: list[np.ndarray], distinct: int) -> np.ndarray:
@@ -235,9 +219,9 @@ def _phrases(words: pa.Array, columns: list[np.ndarray]) -> pa.Array:
 
 
 def _prefix_counts(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, hash, f): the prefixes one word longer than the extended ones, counted by block."""
+    """COUNTED for the prefixes one word longer than the extended ones."""
     depth = len(plan.extended) + 1
-    for lang, block in _blocks(batches, plan.frequent):
+    for lang, block in _blocks(batches):
         at = np.flatnonzero(block.room >= depth)
         for k, known in enumerate(plan.extended):
             *_, h = block.prefix_hashes(at, k + 1)
@@ -245,27 +229,29 @@ def _prefix_counts(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa
         if len(at):
             at, columns, counts = _distinct(block, at, depth)
             *_, h = block.prefix_hashes(at, depth)
-            for low in range(0, len(at), 1 << 16):
-                part = slice(low, low + (1 << 16))
-                phrases = _phrases(block.words, [c[part] for c in columns])
-                langs = pa.array([lang] * len(phrases), pa.string())
-                yield pa.record_batch(
-                    [langs, phrases, pa.array(h[part].view(np.int64)), pa.array(counts[part])], ["lang", "phrase", "hash", "f"]
-                )
+            yield from _counted(lang, _phrases(block.words, columns), h, counts)
 
 
-ROUTED = "lang string, bin long, words array<binary>, depths array<tinyint>, ids array<int>, counts array<long>"
+def _planes(*columns: np.ndarray) -> bytes:
+    """Numbers below 2 ** 32 as compressed planes of their bytes: high bytes are mostly alike."""
+    raw = b"".join(np.ascontiguousarray(c.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for c in columns)
+    return pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _routed(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
-    """ROUTED: for each block and group, the distinct suffixes of the group's prefixes.
+def _unplaned(data: bytes, columns: int, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(data, columns * n * 4, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(raw.reshape(columns, 4, n).transpose(0, 2, 1)).view("<u4").reshape(columns, n)
+
+
+#: Planes of depth, count, and word numbers (0: none, then the common words, then those that come along) of n suffixes.
+ROUTED = "lang string, bin long, words array<binary>, n long, planes binary"
+
 
-    ids hold all first words, then all second ones, and so on, as places in words; depths tell each suffix's words in its prefix.
-    """
-    for lang, block in _blocks(batches, plan.frequent):
+def _routed(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
+    """ROUTED for each block and group: the distinct suffixes of the group's prefixes. Depths tell each suffix's words in its prefix."""
+    common = len(plan.common)
+    for lang, block in _blocks(batches):
         at, columns, counts = _distinct(block, np.flatnonzero(block.room >= 2), MAX_WORDS)
-        if not len(at):
-            continue
         size = np.minimum(block.room[at], MAX_WORDS)
         depth, route = np.ones(len(at), np.int8), np.zeros(len(at), np.uint64)
         growing, whole = np.ones(len(at), bool), np.zeros(len(at), bool)
@@ -282,59 +268,58 @@ def _routed(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.Record
         if not len(order):
             continue
         group, depth, counts = group[order], depth[order], counts[order]
-        matrix = np.stack([c[order] for c in columns], axis=1)
         first = np.flatnonzero(np.diff(group, prepend=-1))
         ends = np.append(first[1:], len(group))
-        code = np.repeat(np.arange(len(first)), ends - first)[:, None] * (len(block.words) + 1) + matrix + 1
-        used, local = np.unique(code, return_inverse=True)
-        local = local.reshape(matrix.shape)
-        word_ends = np.searchsorted(used, np.arange(len(first) + 1) * (len(block.words) + 1))
-        used = used % (len(block.words) + 1) - 1
-        words = block.words.take(pa.array(used, mask=used < 0)).cast(pa.binary())
-        flat = np.concatenate([(local[a:b] - w).T.ravel() for a, b, w in zip(first, ends, word_ends, strict=False)])
-        row_ends = np.append(first, len(group))
+        known = pc.fill_null(pc.index_in(block.words, value_set=plan.common), -1).to_numpy()
+        number = np.append(known + 1, 0)  # the last for words beyond the end, which are -1
+        matrix = np.stack([c[order] for c in columns])
+        numbers = number[matrix]
+        row, place = np.nonzero((numbers == 0) & (matrix >= 0))
+        base = len(block.words)
+        used, local = np.unique((np.searchsorted(first, place, "right") - 1) * base + matrix[row, place], return_inverse=True)
+        word_ends = np.searchsorted(used, np.arange(len(first) + 1) * base)
+        numbers[row, place] = common + 1 + local - np.repeat(word_ends[:-1], np.diff(word_ends))[local]
+        words = block.words.take(pa.array(used % base)).cast(pa.binary())
         for low in range(0, len(first), 256):
             high = min(low + 256, len(first))
-
-            def listed(values: pa.Array, at: np.ndarray) -> pa.Array:
-                at = at[low : high + 1]
-                return pa.ListArray.from_arrays(pa.array((at - at[0]).astype(np.int32)), values.slice(at[0], at[-1] - at[0]))
-
+            some = word_ends[low : high + 1]
+            lists = pa.ListArray.from_arrays(pa.array((some - some[0]).astype(np.int32)), words.slice(some[0], some[-1] - some[0]))
+            planes = [_planes(depth[a:b], counts[a:b], *numbers[:, a:b]) for a, b in zip(first[low:high], ends[low:high], strict=True)]
             yield pa.record_batch(
                 [
                     pa.array([lang] * (high - low), pa.string()),
                     pa.array(group[first[low:high]]),
-                    listed(words, word_ends),
-                    listed(pa.array(depth, pa.int8()), row_ends),
-                    listed(pa.array(flat.astype(np.int32)), row_ends * MAX_WORDS),
-                    listed(pa.array(counts), row_ends),
+                    lists,
+                    pa.array(ends[low:high] - first[low:high]),
+                    pa.array(planes, pa.binary()),
                 ],
-                ["lang", "bin", "words", "depths", "ids", "counts"],
+                ["lang", "bin", "words", "n", "planes"],
             )
 
 
-def _subtrees(key: tuple, table: pa.Table, min_count: int) -> pa.Table:
+def _subtrees(key: tuple, table: pa.Table, common: pa.Array, min_count: int) -> pa.Table:
     """(lang, phrase, f): the frequent nodes of one group's subtrees."""
-    lists = {name: table[name].combine_chunks() for name in ("words", "depths", "ids", "counts")}
-    coded = lists["words"].flatten().dictionary_encode()
-    codes = pc.fill_null(coded.indices, -1).to_numpy()
-    words_at = np.append(0, np.cumsum(pc.list_value_length(lists["words"]).to_numpy()))
-    rows_at = np.append(0, np.cumsum(pc.list_value_length(lists["counts"]).to_numpy()))
-    ids = lists["ids"].flatten().to_numpy()
-    parts = [
-        codes[ids[MAX_WORDS * a : MAX_WORDS * b].reshape(MAX_WORDS, -1) + w]
-        for a, b, w in zip(rows_at, rows_at[1:], words_at, strict=False)
-    ]
-    columns = list(np.concatenate(parts, axis=1))
-    order = _order(columns, len(coded.dictionary))
-    columns = [c[order] for c in columns]
-    counts, depths = (lists[n].flatten().to_numpy()[order] for n in ("counts", "depths"))
+    lists = table["words"].combine_chunks()
+    coded = pa.concat_arrays([common.cast(pa.binary()), lists.flatten()]).dictionary_encode()
+    codes = np.concatenate([[-1], coded.indices.to_numpy()]).astype(np.int32)  # by number, for words that come along after an offset
+    words_at = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+    parts = []
+    for data, n, at in zip(table["planes"], table["n"].to_pylist(), words_at, strict=False):
+        part = _unplaned(data.as_py(), 2 + MAX_WORDS, n).astype(np.int64)
+        numbers = part[2:]
+        numbers[numbers > len(common)] += at
+        part[2:] = codes[numbers]
+        parts.append(part.astype(np.int32))
+    whole = np.concatenate(parts, axis=1)
+    parts.clear()
+    order = _order(list(whole[2:]), len(coded.dictionary))
+    depths, counts, *columns = (c[order] for c in whole)
     phrases, totals = [], []
     for k, new in enumerate(_changes(columns), 1):
         if k == 1:
             continue
         first = np.flatnonzero(new)
-        total = np.add.reduceat(counts, first)
+        total = np.add.reduceat(counts, first, dtype=np.int64)
         node = (total >= min_count) & (columns[k - 1][first] >= 0) & (depths[first] <= k)
         phrases.append(_phrases(coded.dictionary, [c[first[node]] for c in columns[:k]]))
         totals.append(total[node])
@@ -342,18 +327,10 @@ def _subtrees(key: tuple, table: pa.Table, min_count: int) -> pa.Table:
     return pa.table({"lang": pa.array([key[0].as_py()] * len(phrase), pa.string()), "phrase": phrase, "f": np.concatenate(totals)})
 
 
-def _bitmap(words: DataFrame) -> np.ndarray:
-    """The bitmap of the words' slots, WORD_BITS bits: put together in Spark, a fixed size on the driver."""
-    slot = F.col("slot") + 1
-    rows = words.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
-    )
-    out = np.zeros(1 << (WORD_BITS - 3), np.uint8)
-    for bucket, bits in rows.collect():
-        part = np.frombuffer(bits, np.uint8)
-        low = (bucket - 1) * len(part)
-        out[low : low + len(part)] = part[: len(out) - low]
-    return out
+def _common(words: DataFrame) -> pa.Array:
+    """The most frequent words, COMMON at most."""
+    rows = words.orderBy(F.desc("f"), "lang", "phrase").limit(COMMON).select("phrase").collect()
+    return pa.array(list(dict.fromkeys(r.phrase.encode() for r in rows)), pa.large_binary())
 
 
 def _hashes(counts: DataFrame, budget: int) -> np.ndarray:
@@ -373,24 +350,22 @@ def frequencies(
     column, language = F.col(shared.quoted(text)), F.col(shared.quoted(lang))
     texts = docs.select(F.coalesce(language.cast("string"), F.lit("und")).alias("lang"), column.alias("text"))
     texts = texts.filter("text IS NOT NULL")
-    counted = "lang string, phrase string, hash long, f long"
-
-    words = texts.mapInArrow(_word_counts, "lang string, phrase string, slot long, hash long, f long")
-    words = words.groupBy("lang", "phrase").agg(F.min("slot").alias("slot"), F.min("hash").alias("hash"), F.sum("f").alias("f"))
+    words = texts.mapInArrow(_word_counts, COUNTED)
+    words = words.groupBy("lang", "phrase").agg(F.min("hash").alias("hash"), F.sum("f").alias("f"))
     words = shared.stored(words.filter((F.col("f") >= min_count) | F.col("phrase").isNull()))
     sizes = words.filter("phrase IS NULL").select("lang", F.col("f").alias("n"))
-    words = words.filter(F.col("phrase").isNotNull() & (F.col("f") >= min_count))
+    words = words.filter(F.col("phrase").isNotNull())
     occurrences = sizes.agg(F.sum("n")).first()[0] or 0
     budget = max(budget, min_count, -(-occurrences // MOST_EXTENDED))
 
-    plan = Plan(_bitmap(words), (), max(1, -(-2 * occurrences // budget)))
+    plan = Plan(_common(words), (), max(1, -(-2 * occurrences // budget)))
     found = words.select("lang", "phrase", "f")
     longer = _hashes(words, budget)
-    while len(longer) and len(plan.extended) < MAX_WORDS - 1:
-        plan = Plan(plan.frequent, (*plan.extended, longer), plan.groups)
+    while len(longer):
+        plan = Plan(plan.common, (*plan.extended, longer), plan.groups)
         if len(plan.extended) == MAX_WORDS - 1:
             break
-        counts = texts.mapInArrow(lambda b, plan=plan: _prefix_counts(b, plan), counted)
+        counts = texts.mapInArrow(lambda b, plan=plan: _prefix_counts(b, plan), COUNTED)
         counts = counts.groupBy("lang", "phrase").agg(F.min("hash").alias("hash"), F.sum("f").alias("f"))
         counts = shared.stored(counts.filter(F.col("f") >= min_count))
         longer = _hashes(counts, budget)
@@ -400,7 +375,7 @@ def frequencies(
 
     routed = texts.mapInArrow(lambda b: _routed(b, plan), ROUTED)
     nodes = routed.groupBy("lang", "bin").applyInArrow(
-        lambda key, table: _subtrees(key, table, min_count), "lang string, phrase string, f long"
+        lambda key, table: _subtrees(key, table, plan.common, min_count), "lang string, phrase string, f long"
     )
     return shared.stored(found.unionByName(nodes)), sizes
 
