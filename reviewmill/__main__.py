@@ -18,7 +18,10 @@ def main() -> None:
     parser.add_argument("--database", help="register the tables in this database, too")
     parser.add_argument("--partitions", type=int, help="partitions that shuffles start with")
     parser.add_argument("--spread", action="store_true", help="even out feeds in unsplittable files")
-    parser.add_argument("--salts", type=int, default=1, help="first-level groups of a hot review id")
+    parser.add_argument("--salts", type=int, help="first-level groups of a hot review id")
+    parser.add_argument("--limit", action="append", default=[], metavar="CHECK=MOST", help="audit a check against a limit")
+    parser.add_argument("--keep", type=int, default=2, help="publications that stay")
+    parser.add_argument("--no-quarantine", action="store_true", help="don't keep faulty lines")
     options = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
     spark = create_session()
@@ -31,6 +34,9 @@ def main() -> None:
             options.partitions,
             options.spread,
             options.salts,
+            {name: float(most) for name, _, most in (x.partition("=") for x in options.limit)},
+            options.keep,
+            not options.no_quarantine,
         )
         if options.database:
             register_tables(spark, options.base, options.database)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,26 @@ from reviewmill.functions import cleaning as rule
 from reviewmill.schemas import TABLES
 
 
-def keep_first(frame: DataFrame, key: str, order: list[Column], salts: int = 1) -> DataFrame:
+#: Up to so many rows of one key may reach a reducer in one level.
+ONE_LEVEL = 256
+
+
+def salts_for(frame: DataFrame) -> int:
+    """How many groups a hot key is dealt to on the level before the last, from the tasks that read the frame.
+
+    Known when the query is planned: nothing runs. Where a shuffle comes before, its number of partitions counts.
+    """
+    planned = frame._jdf.queryExecution().executedPlan()
+    if planned.nodeName() == "AdaptiveSparkPlan":  # asking for its partitions would run its shuffles
+        conf = frame.sparkSession.conf
+        shuffled = conf.get("spark.sql.shuffle.partitions")
+        tasks = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffled))
+    else:
+        tasks = planned.execute().getNumPartitions()
+    return 1 if tasks <= ONE_LEVEL else math.isqrt(tasks - 1) + 1
+
+
+def keep_first(frame: DataFrame, key: str, order: list[Column], salts: int | None = None) -> DataFrame:
     """Keep the first row of every key under a total order.
 
     ``row_number() = 1`` plans a group limit below the shuffle, so each task sends at most one
@@ -17,8 +38,10 @@ def keep_first(frame: DataFrame, key: str, order: list[Column], salts: int = 1)
     With very many tasks that is still a large group for one reducer. ``salts`` above 1 puts a
     level before it, where tasks are dealt to that many groups per key: no reducer then gets more
     than tasks / salts rows of a key on the first level, or ``salts`` on the second. The price is
-    a second shuffle; the square root of the number of map tasks is a good choice.
+    a second shuffle. Unless given, it is the square root of the tasks where there are more than
+    ONE_LEVEL of them, and 1 otherwise.
     """
+    salts = salts_for(frame) if salts is None else salts
 
     def first(rows: DataFrame, *group: str) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
@@ -57,7 +80,7 @@ def keyed_reviews(raw: DataFrame) -> DataFrame:
     return typed.withColumn("review_id", review_id)
 
 
-def dedup_reviews(keyed: DataFrame, salts: int = 1) -> DataFrame:
+def dedup_reviews(keyed: DataFrame, salts: int | None = None) -> DataFrame:
     """One row per review id: verified first, then most votes, best rating, then by content.
 
     Copies of one id have the same joined content, so where two of their key, user or title
@@ -89,8 +112,8 @@ def file_reviews(reviews: DataFrame) -> DataFrame:
     return reviews.withColumns(timed).select(TABLES["reviews"].names)
 
 
-def clean_reviews(raw: DataFrame, salts: int = 1) -> DataFrame:
-    """Curated reviews from the raw feed: one shuffle, by review id (two with salts)."""
+def clean_reviews(raw: DataFrame, salts: int | None = None) -> DataFrame:
+    """Curated reviews from the raw feed: one shuffle, by review id (two where tasks are many)."""
     return file_reviews(dedup_reviews(keyed_reviews(raw), salts))
 
 

@@ -198,3 +198,32 @@ def quality_report(
 def failures(report: DataFrame) -> DataFrame:
     """Checks of a report that did not meet their expectation."""
     return report.where(~F.col("passed"))
+
+
+class AuditFailed(RuntimeError):
+    """Expectations that staged tables did not meet, with what was observed."""
+
+    def __init__(self, failed: Mapping[str, float]):
+        self.failed = dict(failed)
+        super().__init__(", ".join(f"{name}: {value:g}" for name, value in sorted(self.failed.items())))
+
+
+def audit(report: DataFrame, limits: Mapping[str, float] | None = None) -> dict[str, float]:
+    """What each check of a report has observed; raises if one misses its expectation.
+
+    limits: the most that is allowed of named checks, in place of their expectation. Years come and go,
+    so only their checks may be absent from the report; then nothing of them has been observed. The report has a
+    row for each check and year, which is what the driver gets.
+    """
+    limits = limits or {}
+    rows = {row.check_name: row for row in report.collect()}
+    unknown = [name for name in limits if name not in rows and not name.startswith("rows_in_year_")]
+    if unknown:
+        raise ValueError(f"no such check: {', '.join(sorted(unknown))}")
+    observed = {name: row.observed for name, row in rows.items()}
+    # A share of no rows at all is NULL, and within every limit.
+    over = {name: value for name, value in observed.items() if name in limits and value is not None and value > limits[name]}
+    missed = {name: row.observed for name, row in rows.items() if row.passed is False and name not in limits}
+    if over or missed:
+        raise AuditFailed({**over, **missed})
+    return observed

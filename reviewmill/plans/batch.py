@@ -6,7 +6,7 @@ import logging
 import threading
 import uuid
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from reviewmill.functions import cleaning as rule
-from reviewmill.operators import cleaning, joins, summaries
-from reviewmill.schemas import TABLES
-from reviewmill.sources import feeds, tables
-from reviewmill.sources.session import own_session, remove_folder
+from reviewmill.operators import cleaning, joins, quality, summaries
+from reviewmill.schemas import PRODUCT_FEED, REVIEW_FEED, TABLES
+from reviewmill.sources import feeds, publication, tables
+from reviewmill.sources.files import remove_folder
+from reviewmill.sources.publication import Publication
+from reviewmill.sources.session import own_session
 
 log = logging.getLogger(__name__)
 
@@ -39,7 +41,7 @@ class ReviewLake:
         raw_reviews: DataFrame,
         raw_products: DataFrame,
         base: str,
-        salts: int = 1,
+        salts: int | None = None,
     ):
         self.spark = spark
         self.base = base.rstrip("/")
@@ -63,6 +65,7 @@ class ReviewLake:
         self._stored: dict[str, DataFrame] = {}
         self._writing = defaultdict(threading.Lock)
         self.seen: dict[str, Observation] = {}
+        self.published: Publication | None = None
 
     def table(self, name: str) -> DataFrame:
         """A stored table, written now if this run has not done so yet."""
@@ -81,14 +84,11 @@ class ReviewLake:
         one write do not leave the cluster idle. The caller's job group applies to all of them.
         The stages go when this ends, also when a write fails.
         """
-        write = inheritable_thread_target(self.spark)(self.table)
         cleaned = ["reviews", "products"]
         derived = [name for name in TABLES if name not in cleaned]
         try:
-            with ThreadPoolExecutor(len(derived)) as pool:
-                for group in (cleaned, derived):
-                    for written in [pool.submit(write, name) for name in group]:
-                        written.result()
+            for group in (cleaned, derived):
+                _together(self.spark, self.table, group)
         finally:
             self.drop_stages()
         return self
@@ -136,6 +136,64 @@ class ReviewLake:
         )
 
 
+def _together(spark: SparkSession, call: Callable, arguments: list) -> None:
+    """Calls that submit jobs of their own, at once, under the caller's job group."""
+    with ThreadPoolExecutor(len(arguments)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(call), x) for x in arguments]:
+            done.result()
+
+
+def quarantine_path(root: str) -> str:
+    """Folder of a run's faulty lines."""
+    return f"{root}/quarantine"
+
+
+def report_path(root: str) -> str:
+    """Folder of a run's quality report."""
+    return f"{root}/quality"
+
+
+def read_quarantine(spark: SparkSession, base: str) -> DataFrame:
+    """The faulty lines of the current publication's feeds: feed, reason, file, line."""
+    return spark.read.schema(feeds.QUARANTINE).parquet(quarantine_path(publication.root_of(spark, base)))
+
+
+def read_report(spark: SparkSession, base: str) -> DataFrame:
+    """The quality report that the current publication has passed."""
+    layout = "check_name STRING, observed DOUBLE, expected DOUBLE, passed BOOLEAN"
+    return spark.read.schema(layout).parquet(report_path(publication.root_of(spark, base)))
+
+
+def _parsed(spark: SparkSession, paths: Mapping[str, str], root: str) -> dict[str, DataFrame]:
+    """Both feeds as stored rows, their faulty lines in quarantine: each feed is read and parsed once.
+
+    The stored rows are columnar and can be split, whatever the feed's files were like, so what
+    follows has even tasks.
+    """
+    layouts = {"reviews": REVIEW_FEED, "products": PRODUCT_FEED}
+    stored = {name: f"{root}/_parsed/{name}" for name in layouts}
+    _together(
+        spark,
+        lambda name: tables.write_parquet(feeds.read_with_faults(spark, paths[name], layouts[name]), stored[name]),
+        list(layouts),
+    )
+    columns = f"{feeds.LINE} STRING, {feeds.FILE} STRING"
+    rows = {name: spark.read.schema(f"{layouts[name]}, {columns}").parquet(stored[name]) for name in layouts}
+    found = feeds.faults(rows["reviews"], "reviews").unionByName(feeds.faults(rows["products"], "products"))
+    tables.write_parquet(found.hint("rebalance"), quarantine_path(root))
+    return {name: frame.drop(feeds.LINE, feeds.FILE) for name, frame in rows.items()}
+
+
+def _audited(lake: ReviewLake, limits: Mapping[str, float] | None) -> dict[str, int]:
+    """The rows of each table, once the quality report is stored and passed."""
+    checked = [lake.table(t) for t in ("reviews", "products", "review_product", "monthly_review_summary")]
+    path = report_path(lake.base)
+    tables.write_parquet(quality.quality_report(*checked).coalesce(1), path)
+    quality.audit(lake.spark.read.parquet(path), limits)
+    counts = quality.row_counts({name: lake.table(name) for name in TABLES})
+    return {row.table_name: row.row_count for row in counts.collect()}
+
+
 def run_batch(
     spark: SparkSession,
     reviews_path: str,
@@ -143,20 +201,45 @@ def run_batch(
     base: str,
     partitions: int | None = None,
     spread: bool = False,
-    salts: int = 1,
+    salts: int | None = None,
+    limits: Mapping[str, float] | None = None,
+    keep: int = 2,
+    quarantine: bool = True,
 ) -> ReviewLake:
-    """Read both feeds and write the six tables below ``base``, replacing earlier ones.
+    """Read both feeds, write the six tables to a folder of this run's own, audit them, and publish them in ``base``.
+
+    Write, audit, publish: until the last step readers of ``base`` see the publication before, and if
+    any step fails they go on seeing it and this run's folder goes. An expectation that isn't met raises
+    :class:`quality.AuditFailed`, which names the checks. Runs in a session of its own; the caller's keeps
+    its settings.
 
-    Runs in a session of its own; the caller's keeps its settings.
     partitions: how many partitions shuffles start with (see ``session.partitions_for``), the
     session's number if not given.
     spread: move parsed rows to even partitions, for feeds in few or uneven files that can't be split.
     salts: see ``operators.cleaning.keep_first``.
+    limits: the most that is allowed of named checks (see ``operators.quality.audit``).
+    keep: how many publications stay, this one included.
+    quarantine: keep faulty lines (:func:`read_quarantine`); parsed rows are then stored first.
     """
+    base = base.rstrip("/")
     own = own_session(spark, partitions)
-    raw = [feeds.read_reviews(own, reviews_path), feeds.read_products(own, products_path)]
-    reviews, products = map(feeds.spread, raw) if spread else raw
-    lake = ReviewLake(own, reviews, products, base, salts).build()
+    root = publication.new_run(base)
+    try:
+        if quarantine:
+            parsed = _parsed(own, {"reviews": reviews_path, "products": products_path}, root)
+            raw = [parsed["reviews"], parsed["products"]]
+        else:
+            raw = [feeds.read_reviews(own, reviews_path), feeds.read_products(own, products_path)]
+        reviews, products = map(feeds.spread, raw) if spread else raw
+        lake = ReviewLake(own, reviews, products, root, salts).build()
+        remove_folder(own, f"{root}/_parsed")
+        rows = _audited(lake, limits)
+        lake.published = publication.publish(own, base, root, rows)
+    except BaseException:
+        remove_folder(own, root)
+        raise
     for name, seen in lake.seen.items():
         log.info("%s: %s", name, seen.get)
+    log.info("published %s as number %d of %s", root, lake.published.version, base)
+    publication.vacuum(own, base, keep)
     return lake

@@ -289,6 +289,15 @@ _SELECTS = {
     "batch_brand_summary": "SELECT * FROM brand_summary",
     "batch_monthly_summary": "SELECT * FROM monthly_review_summary",
     "batch_review_product": "SELECT * REPLACE (price::DOUBLE AS price) FROM review_product",
+    "published_tables": f"SELECT *, row_count AS stated_rows FROM ({_ROW_COUNTS})",
+    "quarantined_lines": """
+        SELECT 'reviews' AS feed, 'unreadable' AS reason, '{"rating": 5.0, "parent_asin": "S' || s_suppkey AS line
+        FROM supplier
+        UNION ALL
+        SELECT 'reviews', 'wrong types', '{"rating": "5.0", "parent_asin": "S' || s_suppkey
+               || '", "asin": 7, "text": "typed", "user_id": "U' || s_suppkey
+               || '", "helpful_vote": "3", "verified_purchase": "true", "timestamp": 1.7e12, "more": {"a": [1]}}'
+        FROM supplier""",
     "check_tables_present": f"SELECT *, TRUE AS is_present FROM ({_ROW_COUNTS})",
     "overall_metrics": """
         SELECT sum(review_count)::BIGINT AS total_reviews,
@@ -439,14 +448,21 @@ _ODD_LINES = """
 raw_products"""
 
 #: Queries over the tables of the batch job itself.
-_OF_JOB = ("batch_product_summary", "batch_brand_summary", "batch_monthly_summary", "batch_review_product")
+_OF_JOB = (
+    "batch_product_summary",
+    "batch_brand_summary",
+    "batch_monthly_summary",
+    "batch_review_product",
+    "published_tables",
+    "audit_report",
+)
 
 
 def statements() -> dict[str, str]:
     """One complete statement per registered query."""
     job = _WITH.replace("\n    FROM documents\n),\nraw_products", _ODD_LINES)
     made = {}
-    for name, select in _SELECTS.items():
+    for name, select in (_SELECTS | {"audit_report": _SELECTS["quality_report"]}).items():
         before = job if name in _OF_JOB else _WITH
         select = select.strip()
         made[name] = f"{before}, {select[5:]}" if select.startswith("WITH ") else f"{before} {select}"

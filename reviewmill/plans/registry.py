@@ -8,6 +8,7 @@ cluster's shared folder.
 from __future__ import annotations
 
 import threading
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from reviewmill.functions import cleaning as rule
 from reviewmill.functions import display
 from reviewmill.operators import cleaning, joins, quality, reports, summaries
-from reviewmill.plans.batch import ReviewLake, run_batch
+from reviewmill.plans.batch import ReviewLake, read_quarantine, read_report, run_batch
 from reviewmill.plans.supplied import (
     SUPPLIED,
     odd_lines,
@@ -25,7 +26,7 @@ from reviewmill.plans.supplied import (
     supplied_path,
 )
 from reviewmill.schemas import TABLES
-from reviewmill.sources import feeds, tables
+from reviewmill.sources import feeds, publication, tables
 from reviewmill.sources.session import own_session, partitions_for, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,7 @@ _lakes: dict[tuple[str, str], ReviewLake] = {}
 _jobs: dict[tuple[str, str], ReviewLake] = {}
 _written: set[str] = set()
 _lakes_lock = threading.Lock()
+_job_locks: dict[tuple[str, str], threading.Lock] = defaultdict(threading.Lock)
 _written_lock = threading.Lock()
 
 
@@ -79,6 +81,8 @@ def job(spark: SparkSession, sf_dir: str) -> ReviewLake:
     key = (spark.sparkContext.applicationId, sf_dir)
     source = lake(spark, sf_dir)
     with _lakes_lock:
+        mine = _job_locks[key]
+    with mine:  # one run for each folder, while other folders' queries go on
         if key not in _jobs:
             reviews, products = f"{source.base}/job/reviews", f"{source.base}/job/products"
             feeds.write_feed(source.raw_reviews, reviews)
@@ -89,6 +93,12 @@ def job(spark: SparkSession, sf_dir: str) -> ReviewLake:
         return _jobs[key]
 
 
+def job_base(spark: SparkSession, sf_dir: str) -> str:
+    """The lake in which the batch job has published its tables."""
+    job(spark, sf_dir)
+    return f"{lake(spark, sf_dir).base}/job/lake"
+
+
 def _plain(frame: DataFrame) -> DataFrame:
     """Instants and dates as text, decimals as doubles: forms every engine prints alike."""
     plain: dict[str, Column] = {}
@@ -374,6 +384,15 @@ def _detail_unordered(frame: DataFrame) -> DataFrame:
     return reports.detail_by_year(frame, 1998).groupBy(year).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the batch job's tables as readers of its lake find them, and as its manifest states them."""
+    base = job_base(spark, sf_dir)
+    found = quality.row_counts(tables.read_tables(spark, base))
+    stated = publication.current(spark, base).rows
+    case = F.create_map(*[F.lit(x) for pair in stated.items() for x in pair])
+    return found.withColumn("stated_rows", case[F.col("table_name")])
+
+
 def _batch(name: str) -> Query:
     """A whole table of the batch job."""
     return lambda spark, sf_dir: _plain(job(spark, sf_dir).table(name))
@@ -398,6 +417,9 @@ STORAGE: dict[str, Query] = {
     "batch_brand_summary": _batch("brand_summary"),
     "batch_monthly_summary": _batch("monthly_review_summary"),
     "batch_review_product": _batch("review_product"),
+    "published_tables": _published,
+    "audit_report": lambda spark, sf_dir: read_report(spark, job_base(spark, sf_dir)),
+    "quarantined_lines": lambda spark, sf_dir: read_quarantine(spark, job_base(spark, sf_dir)).drop("file"),
 }
 
 QUERIES: dict[str, Query] = {**RULES, **OPERATORS, **REPORTS, **CHECKS, **STORAGE}

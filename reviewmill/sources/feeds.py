@@ -18,6 +18,32 @@ def read_products(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, PRODUCT_FEED)
 
 
+#: Columns of a feed read with its faulty lines: the line as it is and its file, NULL for a line without faults.
+LINE, FILE = "_line", "_file"
+
+#: Layout of the faulty lines of a run.
+QUARANTINE = "feed STRING, reason STRING, file STRING, line STRING"
+
+
+def read_with_faults(spark: SparkSession, path: str, layout: str) -> DataFrame:
+    """A feed like the readers above, and with LINE and FILE where a line can't be read or has values of wrong types."""
+    raw = spark.read.json(
+        path, schema=f"{layout}, {LINE} STRING", mode="PERMISSIVE", columnNameOfCorruptRecord=LINE
+    )
+    return raw.withColumn(FILE, F.when(F.col(LINE).isNotNull(), F.col("_metadata.file_path")))
+
+
+def faults(parsed: DataFrame, feed: str) -> DataFrame:
+    """The faulty lines of a stored result of :func:`read_with_faults`, with the reason."""
+    unreadable = F.get_json_object(LINE, "$").isNull()
+    return parsed.where(F.col(LINE).isNotNull()).select(
+        F.lit(feed).alias("feed"),
+        F.when(unreadable, "unreadable").otherwise("wrong types").alias("reason"),
+        F.col(FILE).alias("file"),
+        F.col(LINE).alias("line"),
+    )
+
+
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Permissive read: a field of the wrong type is NULL and an unreadable line is all NULL.
 

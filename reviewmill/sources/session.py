@@ -76,12 +76,6 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/reviewmill/{purpose}-{uuid.uuid4().hex}"
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this library has written, through the file system it lies on."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="reviewmill-")

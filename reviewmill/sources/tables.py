@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.schemas import TABLES
+from reviewmill.sources import publication
 
 
 def write_parquet(
@@ -29,9 +30,9 @@ def write_parquet(
     )
 
 
-def table_path(base: str, name: str) -> str:
-    """Folder of a stored table."""
-    return f"{base.rstrip('/')}/{TABLES[name].folder}"
+def table_path(root: str, name: str) -> str:
+    """Folder of a stored table below the folder of its run (see ``publication.root_of``)."""
+    return f"{root.rstrip('/')}/{TABLES[name].folder}"
 
 
 def write_table(frame: DataFrame, base: str, name: str) -> None:
@@ -41,17 +42,30 @@ def write_table(frame: DataFrame, base: str, name: str) -> None:
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A stored table under its fixed schema, so no file is opened to infer it."""
-    return spark.read.schema(TABLES[name].columns).parquet(table_path(base, name))
+    """A stored table under its fixed schema, so no file is opened to infer it.
+
+    base: a lake, of which the current publication is read, or a folder of tables without one.
+    """
+    return _read(spark, publication.root_of(spark, base), name)
+
+
+def read_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """All six stored tables of a lake, of one and the same publication."""
+    root = publication.root_of(spark, base)
+    return {name: _read(spark, root, name) for name in TABLES}
+
+
+def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name].columns).parquet(table_path(root, name))
 
 
 def register_tables(spark: SparkSession, base: str, database: str) -> None:
-    """Make the six stored tables of a base folder queryable by name.
+    """Make the six stored tables of a lake queryable by name.
 
-    Entries are external: replacing them leaves the files alone. Partitions are discovered from
-    the folders, so this is to be repeated after a run that adds a year.
+    Entries are external: replacing them leaves the files alone. They point to the publication that is current
+    now, and partitions are discovered from its folders, so this is to be repeated after each run.
     """
-    named = _quoted(database)
+    named, root = _quoted(database), publication.root_of(spark, base)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {named} LOCATION {_literal(base.rstrip('/') + '/catalog')}")
     for name, table in TABLES.items():
         entry = f"{named}.{name}"
@@ -59,7 +73,7 @@ def register_tables(spark: SparkSession, base: str, database: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {entry}")
         spark.sql(
             f"CREATE TABLE {entry} ({table.columns}) USING parquet {layout} "
-            f"LOCATION {_literal(table_path(base, name))}"
+            f"LOCATION {_literal(table_path(root, name))}"
         )
         if table.partition:
             spark.catalog.recoverPartitions(entry)

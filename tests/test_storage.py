@@ -18,7 +18,7 @@ from reviewmill import __main__ as command
 from reviewmill.plans import batch, registry
 from reviewmill.plans.supplied import raw_products, raw_reviews
 from reviewmill.schemas import TABLES
-from reviewmill.sources import feeds, session, tables
+from reviewmill.sources import feeds, publication, session, tables
 
 
 def write_lines(folder, *lines):
@@ -152,7 +152,8 @@ def test_a_second_run_replaces_the_first(spark, lake, feed_paths, tmp_path):
     batch.run_batch(spark, *feed_paths, base)
     batch.run_batch(spark, few, feed_paths[1], base)
     assert tables.read_table(spark, base, "reviews").count() == 1
-    assert os.listdir(f"{base}/curated/reviews").count("review_year=1998") == 0
+    current = publication.root_of(spark, base)
+    assert os.listdir(f"{current}/curated/reviews").count("review_year=1998") == 0
 
 
 def test_catalog(spark, lake):
@@ -245,7 +246,8 @@ def folders(base):
 
 def test_stages_go_after_success_and_failure(spark, feed_paths, tmp_path, monkeypatch):
     batch.run_batch(spark, *feed_paths, f"{tmp_path}/good")
-    assert folders(f"{tmp_path}/good") == {"curated", "analytics"}
+    assert folders(f"{tmp_path}/good") == {"runs", "_published"}
+    assert folders(publication.root_of(spark, f"{tmp_path}/good")) == {"curated", "analytics", "quality", "quarantine"}
     write = tables.write_table
 
     def failing(frame, base, name):
@@ -256,7 +258,7 @@ def test_stages_go_after_success_and_failure(spark, feed_paths, tmp_path, monkey
     monkeypatch.setattr(tables, "write_table", failing)
     with pytest.raises(RuntimeError, match="disk full"):
         batch.run_batch(spark, *feed_paths, f"{tmp_path}/bad")
-    assert folders(f"{tmp_path}/bad") == {"curated", "analytics"}
+    assert folders(f"{tmp_path}/bad") == {"runs"} and not folders(f"{tmp_path}/bad/runs")
 
 
 def test_a_hot_id_in_many_tasks_reaches_no_reducer_whole(spark, settings):
@@ -264,7 +266,7 @@ def test_a_hot_id_in_many_tasks_reaches_no_reducer_whole(spark, settings):
     hot = spark.range(0, 6400, 1, 400).select(
         F.when(F.col("id") % 7 < 7, "x").otherwise("y").alias("id"), F.col("id").alias("n"), F.lit("text").alias("text")
     )
-    found = cleaning.keep_first(hot, "id", [F.desc("n")], salts=20)
+    found = cleaning.keep_first(hot, "id", [F.desc("n")])
     assert [tuple(r) for r in found.collect()] == [("x", 6399, "text")]
     assert plan(found).count("Exchange") == 2
     # On the first level a group holds the tasks of one salt, on the second the salts of one id.
