@@ -105,11 +105,11 @@ def dedup_reviews(keyed: DataFrame, salts: int | None = None) -> DataFrame:
     )
 
 
-def file_reviews(reviews: DataFrame) -> DataFrame:
-    """Curated review layout: stored time, month and the year to partition by."""
+def file_reviews(reviews: DataFrame, *also: str) -> DataFrame:
+    """Curated review layout: stored time, month and the year to partition by; and other columns on request."""
     time = rule.utc_time(F.col("review_second"))
     timed = {"review_timestamp": time.instant, "review_month": time.month, "review_year": time.year}
-    return reviews.withColumns(timed).select(TABLES["reviews"].names)
+    return reviews.withColumns(timed).select(*TABLES["reviews"].names, *also)
 
 
 def clean_reviews(raw: DataFrame, salts: int | None = None) -> DataFrame:

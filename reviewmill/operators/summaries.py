@@ -8,6 +8,8 @@ product figures only takes them from the reviews directly, which saves the shuff
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ PRODUCT_MEASURES = [
 STAR_MEASURES = [f"rating_{star}_count" for star in STARS]
 
 
-def _measures() -> list[Column]:
+def measures() -> list[Column]:
     """All additive measures of a group of reviews.
 
     Counts rows instead of ids: the id is never NULL and is the widest incompressible column.
@@ -48,12 +50,12 @@ def _totals(*names: str) -> list[Column]:
 
 def product_month_stats(reviews: DataFrame) -> DataFrame:
     """Measures per product and month."""
-    return reviews.groupBy("product_asin", "review_year", "review_month").agg(*_measures())
+    return reviews.groupBy("product_asin", "review_year", "review_month").agg(*measures())
 
 
 def product_stats(reviews: DataFrame) -> DataFrame:
     """Measures per product, from the reviews."""
-    return reviews.groupBy("product_asin").agg(*_measures())
+    return reviews.groupBy("product_asin").agg(*measures())
 
 
 def product_stats_from(grain: DataFrame) -> DataFrame:
@@ -78,18 +80,20 @@ def product_review_stats(stats: DataFrame) -> DataFrame:
     )
 
 
-def product_rollup(products: DataFrame, stats: DataFrame) -> DataFrame:
+def product_rollup(
+    products: DataFrame, stats: DataFrame, keys: Sequence[str] = ("product_asin",)
+) -> DataFrame:
     """Full outer join of products and their review measures, one row per known product key.
 
     Both sides have unique keys, so no key is hot here however skewed the reviews are.
-    ``is_listed`` tells whether the product feed has the key. Keeps the exact rating sum, so
+    keys: the columns that make up the key on both sides. ``is_listed`` tells whether the product feed has the key. Keeps the exact rating sum, so
     brands can be averaged over reviews instead of over rounded product means.
     """
     listed = products.withColumn("is_listed", F.lit(True))
-    reviewed = stats.select("product_asin", *PRODUCT_MEASURES)
+    reviewed = stats.select(*keys, *PRODUCT_MEASURES)
     counts = [name for name in PRODUCT_MEASURES if name != "rating_sum"]
     return (
-        listed.join(reviewed, on="product_asin", how="full")
+        listed.join(reviewed, on=list(keys), how="full")
         .withColumn("brand", rule.known_brand(F.col("brand")))
         .fillna(False, "is_listed")
         .fillna(0, counts)

@@ -458,11 +458,23 @@ _OF_JOB = (
 )
 
 
+#: Queries that get by another way what another one gets.
+_SAME = {
+    "audit_report": "quality_report",
+    "copartitioned_enrich": "enrich_reviews",
+    "copartitioned_product_stats": "product_review_stats",
+    "copartitioned_product_summary": "product_summary",
+    "upkeep_product_summary": "product_summary",
+    "upkeep_brand_summary": "brand_summary",
+    "upkeep_monthly_summary": "monthly_summary",
+}
+
+
 def statements() -> dict[str, str]:
     """One complete statement per registered query."""
     job = _WITH.replace("\n    FROM documents\n),\nraw_products", _ODD_LINES)
     made = {}
-    for name, select in (_SELECTS | {"audit_report": _SELECTS["quality_report"]}).items():
+    for name, select in (_SELECTS | {also: _SELECTS[name] for also, name in _SAME.items()}).items():
         before = job if name in _OF_JOB else _WITH
         select = select.strip()
         made[name] = f"{before}, {select[5:]}" if select.startswith("WITH ") else f"{before} {select}"

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from reviewmill.functions import cleaning as rule
 from reviewmill.functions import display
 from reviewmill.operators import cleaning, joins, quality, reports, summaries
+from reviewmill.plans import copartitioned
 from reviewmill.plans.batch import ReviewLake, read_quarantine, read_report, run_batch
 from reviewmill.plans.supplied import (
     SUPPLIED,
@@ -25,9 +26,10 @@ from reviewmill.plans.supplied import (
     raw_reviews,
     supplied_path,
 )
+from reviewmill.plans.upkeep import Upkeep
 from reviewmill.schemas import TABLES
 from reviewmill.sources import feeds, publication, tables
-from reviewmill.sources.session import own_session, partitions_for, scratch_folder
+from reviewmill.sources.session import INITIAL_PARTITIONS, own_session, partitions_for, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -384,6 +386,51 @@ def _detail_unordered(frame: DataFrame) -> DataFrame:
     return reports.detail_by_year(frame, 1998).groupBy(year).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Buckets of the registered queries' layouts, at least.
+_BUCKETS = 8
+
+
+def _buckets(source: ReviewLake) -> int:
+    """As many buckets as the lake's shuffles start with partitions."""
+    return max(_BUCKETS, int(source.spark.conf.get(INITIAL_PARTITIONS)))
+
+
+def _copartitioned(build: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """A query over the reviews and products of an input folder in their common buckets."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = lake(spark, sf_dir)
+        database = "reviewmill_buckets_" + source.base.rsplit("-", 1)[-1]
+        _once(
+            f"{source.base}/copartitioned",
+            lambda path: copartitioned.write_layout(
+                source.spark, database, path, source.table("reviews"), source.table("products"), _buckets(source)
+            ),
+        )
+        return _plain(build(source.spark, database))
+
+    return query
+
+
+def _kept(build: Callable[[Upkeep, ReviewLake], DataFrame]) -> Query:
+    """A query over the grain after two merges: the feed's rows in three parts, by a digest of their text and key."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = lake(spark, sf_dir)
+        path = f"{source.base}/upkeep"
+        kept = Upkeep(source.spark, path, "reviewmill_upkeep_" + source.base.rsplit("-", 1)[-1], _buckets(source))
+
+        def merge(_: str) -> None:
+            part = F.pmod(F.xxhash64("text", "asin", "timestamp"), F.lit(3))
+            for k in range(3):
+                kept.add(source.raw_reviews.where(part == k))
+
+        _once(path, merge)
+        return _plain(build(kept, source))
+
+    return query
+
+
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the batch job's tables as readers of its lake find them, and as its manifest states them."""
     base = job_base(spark, sf_dir)
@@ -417,6 +464,20 @@ STORAGE: dict[str, Query] = {
     "batch_brand_summary": _batch("brand_summary"),
     "batch_monthly_summary": _batch("monthly_review_summary"),
     "batch_review_product": _batch("review_product"),
+    "copartitioned_enrich": _copartitioned(copartitioned.enriched),
+    "copartitioned_product_stats": _copartitioned(
+        lambda spark, database: summaries.product_review_stats(copartitioned.product_stats(spark, database))
+    ),
+    "copartitioned_product_summary": _copartitioned(
+        lambda spark, database: summaries.product_summary(copartitioned.product_rollup(spark, database))
+    ),
+    "upkeep_product_summary": _kept(
+        lambda kept, source: summaries.product_summary(kept.rollup(source.table("products")))
+    ),
+    "upkeep_brand_summary": _kept(
+        lambda kept, source: summaries.brand_summary(kept.rollup(source.table("products")))
+    ),
+    "upkeep_monthly_summary": _kept(lambda kept, _: summaries.monthly_summary(kept.grain())),
     "published_tables": _published,
     "audit_report": lambda spark, sf_dir: read_report(spark, job_base(spark, sf_dir)),
     "quarantined_lines": lambda spark, sf_dir: read_quarantine(spark, job_base(spark, sf_dir)).drop("file"),

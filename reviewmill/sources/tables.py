@@ -65,15 +65,15 @@ def register_tables(spark: SparkSession, base: str, database: str) -> None:
     Entries are external: replacing them leaves the files alone. They point to the publication that is current
     now, and partitions are discovered from its folders, so this is to be repeated after each run.
     """
-    named, root = _quoted(database), publication.root_of(spark, base)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {named} LOCATION {_literal(base.rstrip('/') + '/catalog')}")
+    named, root = quoted(database), publication.root_of(spark, base)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {named} LOCATION {text_literal(base.rstrip('/') + '/catalog')}")
     for name, table in TABLES.items():
         entry = f"{named}.{name}"
         layout = f"PARTITIONED BY ({', '.join(table.partition)})" if table.partition else ""
         spark.sql(f"DROP TABLE IF EXISTS {entry}")
         spark.sql(
             f"CREATE TABLE {entry} ({table.columns}) USING parquet {layout} "
-            f"LOCATION {_literal(table_path(root, name))}"
+            f"LOCATION {text_literal(table_path(root, name))}"
         )
         if table.partition:
             spark.catalog.recoverPartitions(entry)
@@ -81,20 +81,21 @@ def register_tables(spark: SparkSession, base: str, database: str) -> None:
 
 def use_database(spark: SparkSession, database: str) -> None:
     """Resolve plain table names in this database from now on."""
-    spark.sql(f"USE {_quoted(database)}")
+    spark.sql(f"USE {quoted(database)}")
 
 
 def tables_present(spark: SparkSession, database: str) -> DataFrame:
     """The six expected table names and whether the database lists them."""
-    found = [(name, spark.catalog.tableExists(f"{_quoted(database)}.{name}")) for name in TABLES]
+    found = [(name, spark.catalog.tableExists(f"{quoted(database)}.{name}")) for name in TABLES]
     rows = [F.struct(F.lit(n).alias("table_name"), F.lit(p).alias("is_present")) for n, p in found]
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
+    """A name for SQL, whatever characters it has."""
     return "`" + name.replace("`", "``") + "`"
 
 
-def _literal(text: str) -> str:
+def text_literal(text: str) -> str:
     """A SQL string with quotes and backslashes escaped."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
