@@ -3,8 +3,9 @@
 A text with a leading space is a lattice of the model's pieces; the best path has the largest sum of piece scores. A
 character that is no piece is spelled with byte pieces, at a penalty below the lowest score. Pieces hold spaces at
 their beginning only, and some bytes (line breaks) are in no piece, so the lattice falls into units that
-no piece crosses: a run of spaces with what follows it. Each different unit of a batch is solved once, by a forward Viterbi
-pass over all units of one length at a time in numpy, which also gives the second-best score.
+no piece crosses: a run of spaces with what follows it. Texts are taken in pieces of a bounded number of bytes; a piece's different
+units are solved by a forward Viterbi pass over all units of one length at a time in numpy, which also gives the second-best
+score. A worker keeps solutions from piece to piece, up to a bounded number of bytes.
 
 N-best paths of a text can differ from the best only in the n - 1 units whose second-best path costs least. Their lattices
 are chained, and backward A-star search runs over the chain: forward Viterbi scores are exact heuristics, so
@@ -21,6 +22,7 @@ many as there are. Equal texts have equal results. Other columns stay whatever t
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 from pathlib import Path
@@ -29,14 +31,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reviewmill.llm import arrays
+from reviewmill.llm import arrays, shared
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 #: Units up to so many bytes are solved together, longer ones one by one.
 WIDE = 40
-PIECE_BYTES = 5 << 20
+PIECE_BYTES = 1 << 20
+#: Solutions of units that a worker keeps from piece to piece, and lattices of units it keeps for the search, in bytes.
+KEPT_BYTES, LATTICE_BYTES = 48 << 20, 16 << 20
+#: Bytes of a kept entry besides its ids, and of a lattice for each byte of its unit, about.
+_ENTRY_BYTES, _EDGE_BYTES = 280, 1200
 
 _SPACE = "▁"
 _NONE = -np.inf
@@ -101,6 +108,9 @@ class Lattice:
                 self.first[k] = edges[k]
         self.scores = np.array([*model.scores, _NONE])
         self._solved: dict[bytes, tuple] = {}
+        self._lattice_bytes = 0
+        self._kept: dict[int, tuple[float, float, bytes]] = {}
+        self._kept_bytes = 0
 
     def step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """The next states, -1 where no piece goes on."""
@@ -164,6 +174,26 @@ class Lattice:
         out[(np.cumsum(counts) - 1)[unit] - nth] = ids
         return best[length], second[length], counts, out
 
+    def solutions(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> list[tuple[float, float, bytes]]:
+        """(best score, second best, ids as bytes) of different units, from those kept where they are known."""
+        keys = hashes.tolist()
+        out = [self._kept.get(key) for key in keys]
+        missing = np.array([i for i, known in enumerate(out) if known is None], np.int64)
+        for size in np.unique(sizes[missing]):
+            same = missing[sizes[missing] == size]
+            step = max(1, (4 << 20) // (int(size) + 1) // 32) if size <= WIDE else 1
+            for low in range(0, len(same), step):
+                part = same[low : low + step]
+                best, second, counts, ids = self.solve(data[starts[part][:, None] + np.arange(size)])
+                ends, flat = (4 * np.cumsum(counts)).tolist(), ids.astype(np.int32).tobytes()
+                for i, b, s, begin, end in zip(part.tolist(), best.tolist(), second.tolist(), [0, *ends], ends, strict=False):
+                    out[i] = self._kept[keys[i]] = (b, s, flat[begin:end])
+                    self._kept_bytes += _ENTRY_BYTES + end - begin
+        if self._kept_bytes > KEPT_BYTES:
+            self._kept.clear()
+            self._kept_bytes = 0
+        return out
+
     @property
     def _bytes(self) -> np.ndarray:
         return np.array(self.model.byte_ids)
@@ -217,8 +247,10 @@ class Lattice:
     def solved(self, unit: bytes) -> tuple[list[list[tuple[int, float, int]]], list[float]]:
         """Edges and forward scores, kept for the units met last."""
         if unit not in self._solved:
-            if len(self._solved) >= 1 << 14 or len(unit) > WIDE:
+            self._lattice_bytes += _EDGE_BYTES * len(unit)
+            if self._lattice_bytes > LATTICE_BYTES:
                 self._solved.clear()
+                self._lattice_bytes = _EDGE_BYTES * len(unit)
             into = self.edges(unit)
             self._solved[unit] = into, self.forward(into)
         return self._solved[unit]
@@ -288,26 +320,15 @@ def _encode(own: Lattice, data: np.ndarray, offsets: np.ndarray, n: int) -> pa.A
     _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
     which = which.ravel()
 
-    length = (ends - starts)[first]
-    best, second, counts = np.zeros(len(first)), np.full(len(first), _NONE), np.zeros(len(first), np.int64)
-    order, solved = [], []
-    for size in np.unique(length):
-        same = np.flatnonzero(length == size)
-        step = max(1, (4 << 20) // (int(size) + 1) // 32) if size <= WIDE else 1
-        for low in range(0, len(same), step):
-            part = same[low : low + step]
-            rows = spaced[starts[first[part]][:, None] + np.arange(size)]
-            best[part], second[part], counts[part], ids = own.solve(rows)
-            order.append(part)
-            solved.append(ids)
-    order = np.concatenate(order) if order else np.zeros(0, np.int64)
-    solved = np.concatenate(solved) if solved else np.zeros(0, np.int32)
-    place = np.zeros(len(first), np.int64)
-    place[order] = np.cumsum(counts[order]) - counts[order]
+    solved = own.solutions(spaced, starts[first], (ends - starts)[first], hashes[first])
+    best, second = (np.array([x[k] for x in solved]) for k in (0, 1))
+    counts = np.array([len(x[2]) // 4 for x in solved], np.int64)
+    flat = np.frombuffer(b"".join([x[2] for x in solved]), np.int32)
+    place = np.cumsum(counts) - counts
 
     made = counts[which]
     begin = np.cumsum(made) - made
-    ids = solved[np.repeat(place[which] - begin, made) + np.arange(int(made.sum()))]
+    ids = flat[np.repeat(place[which] - begin, made) + np.arange(int(made.sum()))]
     text = np.searchsorted(at, starts, "right") - 1
     at_unit = np.searchsorted(starts, at)
     total = np.append(0, np.cumsum(made))[at_unit]
@@ -320,48 +341,40 @@ def _encode(own: Lattice, data: np.ndarray, offsets: np.ndarray, n: int) -> pa.A
     rank = np.arange(len(by)) - np.searchsorted(text[by], text[by])
     by = np.sort(by[rank < n - 1])
     cut = np.searchsorted(text[by], np.arange(len(sizes) + 1))
-    scores, edits = [], []
+    scores, score_ends = [], [0]
+    numbers: list[int] = []  # of edits: nth, first, count
+    new_ids: list[int] = []
+    new_ends, edit_ends = [0], [0]
     for t in range(len(sizes)):
         chosen = by[cut[t] : cut[t + 1]]
         if not len(chosen):
-            scores.append([score[t]])
-            edits.append([])
-            continue
-        spans = [spaced[starts[u] : ends[u]].tobytes() for u in chosen]
-        paths = own.n_best(spans, n)
-        scores.append([score[t] + (s - paths[0][0]) for s, _ in paths])
-        edits.append([])
-        for nth, (_, path) in enumerate(paths[1:], 1):
-            for u, new in zip(chosen, path, strict=True):
-                old = ids[begin[u] : begin[u] + made[u]]
-                if len(old) != len(new) or (old != new).any():
-                    edits[-1].append((nth, int(begin[u] - total[t]), int(made[u]), new))
-    span = pa.struct([("nth", pa.int32()), ("first", pa.int32()), ("count", pa.int32()), ("ids", pa.list_(pa.int32()))])
+            scores.append(score[t])
+        else:
+            found = own.n_best([spaced[starts[u] : ends[u]].tobytes() for u in chosen], n)
+            scores += [score[t] + (s - found[0][0]) for s, _ in found]
+            for nth, (_, path) in enumerate(found[1:], 1):
+                for u, new in zip(chosen, path, strict=True):
+                    old = ids[begin[u] : begin[u] + made[u]]
+                    if len(old) != len(new) or (old != new).any():
+                        numbers += [nth, int(begin[u] - total[t]), int(made[u])]
+                        new_ids += new
+                        new_ends.append(len(new_ids))
+        score_ends.append(len(scores))
+        edit_ends.append(len(new_ends) - 1)
+    edits = [pa.array(x) for x in np.array(numbers, np.int32).reshape(-1, 3).T]
+    edits.append(pa.ListArray.from_arrays(pa.array(new_ends, pa.int32()), pa.array(new_ids, pa.int32())))
     return pa.StructArray.from_arrays(
         [
             pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), pa.array(ids.astype(np.int32))),
-            pa.array(scores, pa.list_(pa.float64())),
-            pa.array([[dict(zip(("nth", "first", "count", "ids"), e, strict=True)) for e in x] for x in edits], pa.list_(span)),
+            pa.ListArray.from_arrays(pa.array(score_ends, pa.int32()), pa.array(scores, pa.float64())),
+            pa.ListArray.from_arrays(
+                pa.array(edit_ends, pa.int32()), pa.StructArray.from_arrays(edits, ["nth", "first", "count", "ids"])
+            ),
         ],
         ["ids", "scores", "edits"],
     )
 
 
-def segment(text: Column, model: Model, n: int = N_BEST) -> Column:
-    """The struct KIND: the best ids, the scores of the n best paths, and how the others differ from the best.
-
-    An edit replaces ``count`` ids from ``first`` on in the nth path (0 is the best).
-    """
-
-    @F.arrow_udf(KIND)
-    def segmented(column: pa.Array) -> pa.Array:
-        own = lattice(model)
-        parts = [_encode(own, data, offsets, n) for _, _, data, offsets in arrays.pieces(column, PIECE_BYTES)]
-        return pa.concat_arrays(parts) if parts else _encode(own, np.zeros(0, np.uint8), np.zeros(1, np.int64), n)
-
-    return segmented.asNondeterministic()(text)
-
-
 def paths(ids: list[int], count: int, edits: list) -> list[list[int]]:
     """The ids of all segmentations, from the best and the edits of the others."""
     out = [list(ids) for _ in range(count)]
@@ -409,12 +422,24 @@ def decode_lists(column: pa.Array, model: Model) -> list[str]:
 
 
 def encode(docs: DataFrame, text: str = "text", model: Model | None = None, n: int = N_BEST) -> DataFrame:
-    """All rows and columns of docs, and ids, scores and edits."""
+    """All rows and columns of docs, and ids, scores and edits: the best ids, the scores of the n best paths, and how they differ.
+
+    An edit replaces ``count`` ids from ``first`` on in the nth path (0 is the best). Rows leave a task piece by piece.
+    """
     model = model or load()
     added = ("ids", "scores", "edits")
-    columns = [f"`{c.replace('`', '``')}`" for c in docs.columns if c not in added]
-    return docs.select(*columns, segment(F.col(text), model, n).alias("__segmented")).select(
-        *columns, "__segmented.*"
-    )
+    kept = [c for c in docs.columns if c not in added]
+    given = docs.select(*map(shared.quoted, kept))
+    at = kept.index(text) if text in kept else len(kept)
+    if at == len(kept):
+        given = docs.select(*map(shared.quoted, kept), F.col(shared.quoted(text)).alias(shared.unused(given, "text")[0]))
 
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = lattice(model)
+        for batch in batches:
+            for first, end, data, offsets in arrays.pieces(batch.column(at), PIECE_BYTES):
+                rows = [batch.column(k).slice(first, end - first) for k in range(len(kept))]
+                yield pa.record_batch([*rows, *_encode(own, data, offsets, n).flatten()], [*kept, *added])
 
+    kind = T.StructType([*given.schema.fields[: len(kept)], *T.StructType.fromDDL(KIND).fields])
+    return given.mapInArrow(encoded, kind)
