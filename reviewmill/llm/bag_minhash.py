@@ -11,10 +11,12 @@ Then signatures are cut into bands. Texts with equal words are one class first,
 on. Texts that share a band meet in its bucket: every member is compared with the bucket's first one, by exact
 bag overlap of the whole texts. Members of a bucket that lie in different components afterwards may still be linked: in
 a small bucket they are compared with each other, unless their distances to the first rule a link out (weighted
-Jaccard distance is a metric: distances of near texts differ by less than the limit); in a larger one, members
-are dealt to blocks, every two blocks are compared exactly in one task, and only links that connect components leave it. So
-no link between bucket members is lost, and a group of thousands of copies puts out one pair each, not one for each two. With
-32 bands of 5 rows, texts of similarity 0.8 share a bucket with probability 0.999997.
+Jaccard distance is a metric: distances of near texts differ by less than the limit). Larger buckets are put together by the
+component that most of their members belong to, so a group of copies that fills a bucket of each band is one group, and
+each text goes there once. Links between two members of that component tell nothing new; the others, its stragglers, are
+compared with all members of the group, in blocks bounded by texts and bytes, and only links that connect components leave a
+task. So no link between bucket members is lost, and a group of thousands of copies puts out one pair each, not one for each
+two. With 32 bands of 5 rows, texts of similarity 0.8 share a bucket with probability 0.999997.
 
 Buckets, links and components stay in Spark tables; counts combine before shuffles, and joins run between stored
 tables, so that hot buckets are split. Only texts that have a candidate travel.
@@ -40,6 +42,8 @@ BROADCAST_IDS = 1 << 20
 
 #: Buckets up to so many members are compared in pairs; larger ones in blocks of about BLOCK members.
 SMALL_BUCKET, BLOCK = 12, 1024
+#: Bytes of bags of a block, about.
+BLOCK_BYTES = 32 << 20
 
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -200,7 +204,9 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     needed = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
     left = pairs.join(needed.withColumnsRenamed({"id": "a", "text": "__left"}), "a")
     both = left.join(needed.withColumnsRenamed({"id": "b", "text": "__right"}), "b")
-    return shared.stored(both.select("a", "b", _likeness(F.col("__left"), F.col("__right")).alias("likeness")))
+    out = shared.stored(both.select("a", "b", _likeness(F.col("__left"), F.col("__right")).alias("likeness")))
+    shared.forget(ids)
+    return out
 
 
 def _occurrences(column: pa.Array) -> pa.Array:
@@ -260,19 +266,40 @@ def _bridges(table: pa.Table, similarity: float) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
-def _block_links(placed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Links across parts inside large buckets: members are dealt to blocks, and every two blocks of a bucket
-    are compared in one task by products of their incidence matrices."""
-    ids = shared.stored(placed.select(F.col("member").alias("id")).distinct())
+def _group_links(placed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links across parts inside large buckets (bucket, member, part); stored."""
+    counts = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
+    core = counts.groupBy("bucket").agg(F.max_by("part", F.struct("n", "part")).alias("core"))
+    grouped = shared.stored(placed.join(shared.stored(core), "bucket").select("core", "member", "part").distinct())
+    ids = shared.stored(grouped.select(F.col("member").alias("id")).distinct())
     needed = texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
     bag = F.arrow_udf(_occurrences, "array<long>").asNondeterministic()
     held = shared.stored(needed.select(F.col("id").alias("member"), bag("text").alias("bag")))
-    own = F.pmod(F.xxhash64("member"), F.col("blocks"))
-    dealt = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "bucket", "member", "part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    ).join(held, "member")
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(lambda table: _bridges(table, similarity), "a long, b long")
+
+    straggler = F.col("part") != F.col("core")
+    weighed = grouped.join(held.select("member", (8 * F.size("bag")).alias("bytes")), "member")
+
+    def blocks(texts: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(texts / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("long")
+
+    sizes = weighed.groupBy("core").agg(
+        blocks(F.count(F.lit(1)), F.sum("bytes")).alias("columns"),
+        blocks(F.count_if(straggler), F.sum(F.when(straggler, F.col("bytes")).otherwise(0))).alias("rows"),
+    )
+    dealt = grouped.join(shared.stored(sizes), "core")
+    at = F.xxhash64("member")
+
+    def all_of(number: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(number) - 1))
+
+    # Stragglers stand in one row of blocks, all members in one column; a task compares a row's with a column's.
+    down = dealt.withColumn("j", F.pmod(at, "columns")).withColumn("i", all_of("rows"))
+    across = dealt.filter(straggler).withColumn("i", F.pmod(at, "rows")).withColumn("j", all_of("columns"))
+    tasks = down.unionByName(across).select("core", "i", "j", "member", "part").distinct().join(held, "member")
+    found = tasks.groupBy("core", "i", "j").applyInArrow(lambda table: _bridges(table, similarity), "a long, b long")
+    found = shared.stored(found)
+    shared.forget(ids, held, grouped)
+    return found
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
@@ -307,8 +334,8 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity
     placed = placed.join(parts.withColumnRenamed("node", "member"), "member", "left").select("bucket", "member", part, away)
     mixed = placed.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x < y")
     placed = shared.stored(placed.join(shared.stored(mixed.select("bucket")), "bucket", "left_semi"))
-    sizes = placed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.count(F.lit(1)).alias("n"))
-    placed = shared.stored(placed.join(shared.stored(sizes), "bucket"))
+    sizes = shared.stored(placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+    placed = placed.join(sizes, "bucket")
     small = placed.filter(F.col("n") <= SMALL_BUCKET)
     other = small.select("bucket", F.col("member").alias("b"), F.col("part").alias("part_b"), F.col("away").alias("away_b"))
     near = F.abs(F.col("away") - F.col("away_b")) <= 1 - similarity + 1e-9
@@ -316,8 +343,10 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity
     pairs = small.withColumnRenamed("member", "a").join(other, "bucket").filter((F.col("part") < F.col("part_b")) & near & ~first)
     more = _compared(shared.stored(pairs.select("a", "b").distinct()), texts)
     bridges = more.filter(F.col("likeness") >= similarity).select("a", "b")
-    bridges = bridges.unionByName(_block_links(placed.filter(F.col("n") > SMALL_BUCKET), texts, similarity))
-    parts = shared.stored(graphs.components(links.unionByName(shared.stored(bridges))))
+    wide = placed.filter(F.col("n") > SMALL_BUCKET).select("bucket", "member", "part")
+    bridges = bridges.unionByName(_group_links(wide, texts, similarity))
+    parts = shared.stored(graphs.components(links.unionByName(bridges)))
+    shared.forget(members, buckets, tried, more, sizes)
 
     classed = copies.select("a", "b", "class").join(parts.withColumnRenamed("node", "class"), "class", "left")
     classed = classed.select("a", "b", F.coalesce("component", "class").alias("class_id"))

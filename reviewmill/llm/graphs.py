@@ -18,8 +18,11 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges, before = shared.stored(edges), None
     while True:
-        edges = _star(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), large=True)
-        edges = _star(edges, large=False)
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        hooked = _star(both, large=True)
+        shared.forget(edges)
+        edges = _star(hooked, large=False)
+        shared.forget(hooked)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
@@ -37,4 +40,6 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         least = shared.stored(least)
         hung = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         hung = hung.unionByName(least.select("u", F.col("m").alias("v")))
-    return shared.stored(hung.distinct())
+    out = shared.stored(hung.distinct())
+    shared.forget(least)
+    return out

@@ -44,3 +44,13 @@ def stored(frame: DataFrame) -> DataFrame:
     """The rows as a reliable checkpoint: lineage ends here, and lost executors cost no recomputation."""
     checkpoints(frame.sparkSession)
     return frame.checkpoint()
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete the files of stored frames that nothing will be computed from any more."""
+    for frame in frames:
+        session = frame.sparkSession
+        path = frame._jdf.logicalPlan().rdd().getCheckpointFile()
+        if path.isDefined():
+            folder = session._jvm.org.apache.hadoop.fs.Path(path.get())
+            folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
