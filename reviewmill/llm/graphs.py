@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from reviewmill.llm import shared
 
 
+#: Rows of a stored partition, about.
+PARTITION_ROWS = 1 << 16
+
+
+def _packed(frame: DataFrame, rows: int) -> DataFrame:
+    """The frame, stored in as many partitions as so many rows need, so that a small graph isn't thousands of empty tasks."""
+    context = frame.sparkSession.sparkContext
+    return shared.stored(frame.coalesce(max(context.defaultParallelism, -(-rows // PARTITION_ROWS))))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): for each node of links (a, b), the least node it is connected with.
 
@@ -17,11 +27,12 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges, before = shared.stored(edges), None
+    rows = 2 * edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hooked = _star(both, large=True)
+        hooked = _star(both, rows, large=True)
         shared.forget(edges)
-        edges = _star(hooked, large=False)
+        edges = _star(hooked, rows, large=False)
         shared.forget(hooked)
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
@@ -31,15 +42,15 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(least)
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, rows: int, large: bool) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     if large:  # larger neighbours hang on the least one around, the node itself included
-        least = shared.stored(least.select("u", F.least("u", "m").alias("m")))
+        least = _packed(least.select("u", F.least("u", "m").alias("m")), rows)
         hung = edges.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:  # the node and its smaller neighbours hang on the least of these
-        least = shared.stored(least)
+        least = _packed(least, rows)
         hung = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         hung = hung.unionByName(least.select("u", F.col("m").alias("v")))
-    out = shared.stored(hung.distinct())
+    out = _packed(hung.distinct(), rows)
     shared.forget(least)
     return out
