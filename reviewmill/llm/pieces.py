@@ -39,9 +39,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
 #: Units up to so many bytes are solved together, longer ones one by one.
 WIDE = 40
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 2 << 20
 #: Solutions of units that a worker keeps from piece to piece, and lattices of units it keeps for the search, in bytes.
-KEPT_BYTES, LATTICE_BYTES = 48 << 20, 16 << 20
+KEPT_BYTES, LATTICE_BYTES = 64 << 20, 16 << 20
 #: Bytes of a kept entry besides its ids, and of a lattice for each byte of its unit, about.
 _ENTRY_BYTES, _EDGE_BYTES = 280, 1200
 
