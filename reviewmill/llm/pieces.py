@@ -21,6 +21,7 @@ many as there are. Equal texts have equal results. Other columns stay whatever t
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -421,13 +422,16 @@ def decode_lists(column: pa.Array, model: Model) -> list[str]:
     return out
 
 
-def encode(docs: DataFrame, text: str = "text", model: Model | None = None, n: int = N_BEST) -> DataFrame:
+def encode(
+    docs: DataFrame, text: str = "text", model: Model | None = None, n: int = N_BEST, digest: str | None = None
+) -> DataFrame:
     """All rows and columns of docs, and ids, scores and edits: the best ids, the scores of the n best paths, and how they differ.
 
     An edit replaces ``count`` ids from ``first`` on in the nth path (0 is the best). Rows leave a task piece by piece.
+    digest: name of a column with the SHA-256 of the text that the ids decode to, read back in the same pass.
     """
     model = model or load()
-    added = ("ids", "scores", "edits")
+    added = ("ids", "scores", "edits", *([digest] if digest else []))
     kept = [c for c in docs.columns if c not in added]
     given = docs.select(*map(shared.quoted, kept))
     at = kept.index(text) if text in kept else len(kept)
@@ -439,7 +443,12 @@ def encode(docs: DataFrame, text: str = "text", model: Model | None = None, n: i
         for batch in batches:
             for first, end, data, offsets in arrays.pieces(batch.column(at), PIECE_BYTES):
                 rows = [batch.column(k).slice(first, end - first) for k in range(len(kept))]
-                yield pa.record_batch([*rows, *_encode(own, data, offsets, n).flatten()], [*kept, *added])
+                made = _encode(own, data, offsets, n).flatten()
+                if digest:
+                    made.append(pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decode_lists(made[0], model)], pa.string()))
+                yield pa.record_batch([*rows, *made], [*kept, *added])
 
     kind = T.StructType([*given.schema.fields[: len(kept)], *T.StructType.fromDDL(KIND).fields])
+    if digest:
+        kind.add(digest, "string")
     return given.mapInArrow(encoded, kind)

@@ -59,14 +59,15 @@ def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best segmentation of every document, the scores and edits of the next ones, and the decoded text's digest."""
     model = pieces.load()
-    encoded = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model=model)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode(docs, model=model, digest="decoded_sha256")
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         "ids",
         "scores",
         "edits",
-        F.sha2(pieces.decode(F.col("ids"), model), 256).alias("decoded_sha256"),
+        "decoded_sha256",
     )
 
 
