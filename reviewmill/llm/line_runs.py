@@ -26,7 +26,7 @@ from reviewmill.llm import mixing, shared
 
 MIN_LINES = 3
 LONG_LINE = 200
-#: A passage of so many words is worth deleting whatever its lines; OP10_SQL has no such rule, so it is off unless asked for.
+#: A passage of so many words is worth deleting whatever its lines; off unless asked for, as query and pipeline do.
 MIN_WORDS = 50
 
 _PLACE = ("__doc", "__digest", "__pos")
@@ -71,7 +71,8 @@ def later_copies(
     long_line: int = LONG_LINE,
     min_words: int | None = None,
 ) -> DataFrame:
-    """(__doc, __digest, __lines): for each document that has some, the numbers of its lines in later copies."""
+    """(__doc, __digest, __flags, __gone): for each document that has lines in later copies, a byte 1 for each such line,
+    a byte 0 for each other one before the last of them, and their number."""
     lines = docs.select(
         F.col(key).alias("__doc"), F.xxhash64(text).alias("__digest"), F.posexplode(F.split(text, "\n")).alias("__pos", "__line")
     )
@@ -91,7 +92,12 @@ def later_copies(
                 "__doc", "__digest", F.explode(F.sequence(F.col("__pos"), F.col("__pos") + width - 1)).alias("__pos")
             )
             found = found.unionByName(runs)
-    return found.groupBy("__doc", "__digest").agg(F.collect_set("__pos").alias("__lines"))
+    found = found.groupBy("__doc", "__digest").agg(F.sort_array(F.collect_set("__pos")).alias("__lines"))
+    # One byte for each line up to the last of them: runs of 0 between 1 and 1.
+    before = F.slice(F.concat(F.array(F.lit(-1)), F.col("__lines")), F.lit(1), F.size("__lines"))
+    stays = F.zip_with("__lines", before, lambda line, last: F.repeat(F.lit("0"), line - last - 1))
+    flags = F.concat(F.array_join(stays, "1"), F.lit("1")).cast("binary")
+    return found.select("__doc", "__digest", flags.alias("__flags"), F.size("__lines").alias("__gone"))
 
 
 def dedup_lines(
@@ -106,20 +112,20 @@ def dedup_lines(
     found = later_copies(docs, text, key, min_lines, long_line, min_words)
     found = found.withColumnsRenamed({"__doc": "__of", "__digest": "__of_digest"})
     added = ("n_lines", "n_deleted")
-    split = F.split(text, "\n")
-    keyed = docs.select(
-        *shared.names(docs, *added),
-        F.col(key).alias("__doc"),
-        F.xxhash64(text).alias("__digest"),
-        F.when(F.col(text).isNull(), 0).otherwise(F.size(split)).alias("__n"),
+    given, name = shared.masked(docs)
+    words = F.col(name[text])
+    split = F.split(words, "\n")
+    keyed = given.select(
+        *[name[c] for c in docs.columns if c not in added or c == text],
+        F.col(name[key]).alias("__doc"),
+        F.xxhash64(words).alias("__digest"),
+        F.when(words.isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
     )
     same = F.col("__doc").eqNullSafe(F.col("__of")) & (F.col("__digest") == F.col("__of_digest"))
-    gone = F.when(F.col("__lines").isNull(), 0).otherwise(F.size("__lines"))
-    joined = keyed.join(found, same, "left").withColumn("__gone", gone)
-    left = F.array_except(F.sequence(F.lit(0), F.col("__n") - 1), F.col("__lines"))
-    kept = F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n")
-    return (
-        joined.withColumn(text, F.when(F.col("__gone") > 0, kept).otherwise(F.col(text)))
-        .withColumns({"n_lines": F.col("__n").cast("long"), "n_deleted": F.col("__gone").cast("long")})
-        .select(*shared.names(docs, *added), *added)
+    joined = keyed.join(found, same, "left").withColumn("n_deleted", F.coalesce("__gone", F.lit(0)).cast("long"))
+    # Lines are split once, and each finds its byte without a search: linear in the text.
+    left = F.filter(split, lambda line, i: F.substring(F.col("__flags"), i + 1, F.lit(1)) != F.lit(b"1"))
+    kept = F.when(F.col("__gone").isNull(), words).otherwise(F.array_join(left, "\n"))
+    return joined.select(
+        *[(kept if c == text else F.col(name[c])).alias(c) for c in docs.columns if c not in added], *added
     )

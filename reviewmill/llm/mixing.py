@@ -5,16 +5,19 @@ section search over the table of sources (one row each, never on the driver: the
 repetition for a grid of candidates): the largest with at least the target entropy, raised if need be until no
 source is repeated more than allowed. Weights times the budget are the sources' quotas in words.
 
-A source's documents are dealt by a hash of their id to blocks of about ``block_words`` words. Each epoch is a
-permutation of the blocks by a hash of seed, epoch and block. Whole epochs take every block; the last takes
-blocks in its order while they fit the quota's rest. Their running sums come in two levels, over buckets of the
-permutation and inside the one bucket where the quota ends, each about the square root of the blocks, so no task ever sees a
+A source's documents are dealt by a hash of their id to blocks of about ``block_words`` words; longer documents are
+blocks of their own. Each epoch is a permutation of the blocks by a hash of seed, epoch and block. Whole epochs take every
+block; the last takes, in its order, each block that still fits the quota's rest, so a source misses its quota by less than
+its smallest block left. That order is followed in passes: each takes blocks while their running sum fits, then drops
+those larger than what is left, so a block that doesn't fit never keeps out a later one. Running sums come in two levels,
+over buckets of the permutation and inside the bucket, each about the square root of the blocks, so no task ever sees a
 hot source's documents or all its blocks. Documents meet their blocks' epochs in a join by source and block,
 broadcast only while the blocks are few by count.
 
 Null sources count as ''. Null and empty texts have no words and go with their block; a source without words gets no
-weight and no rows. Rows with one id share a block. An empty table gives no rows. Other columns stay; ``epoch``,
-``block``, ``n_words`` and ``position`` (0 to 1, where in the mix) replace columns of these names.
+weight and no rows. Rows with one id share a block, apart from those longer than a block, which share another. An empty
+table gives no rows. Other columns stay whatever their names; ``epoch``, ``block`` (negative for a document longer than a block),
+``n_words`` and ``position`` (0 to 1, where in the mix) replace columns of these names.
 """
 
 from __future__ import annotations
@@ -95,6 +98,25 @@ def _few(frame: DataFrame) -> DataFrame:
     return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
 
 
+def _last_epoch(blocks: DataFrame) -> list[DataFrame]:
+    """One stored table for each pass: the blocks that stood for choice, and whether the pass takes them (fits)."""
+    by_bucket = Window.partitionBy("__source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__source", "bucket").orderBy("turn", "block")
+    left, passes = blocks.select("__source", "block", "words", "rest", "turn", "bucket").filter("words <= rest"), []
+    while True:
+        buckets = left.groupBy("__source", "bucket").agg(F.sum("words").alias("in_bucket"))
+        buckets = buckets.withColumn("before", F.coalesce(F.sum("in_bucket").over(by_bucket), F.lit(0)))
+        upto = F.col("before") + F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+        placed = left.join(buckets, ["__source", "bucket"]).withColumn("fits", upto <= F.col("rest"))
+        passes.append(shared.stored(placed.select(*left.columns, "fits")))
+        # Every pass takes the first block of each source at least, since none is larger than the rest.
+        used = passes[-1].filter("fits").groupBy("__source").agg(F.sum("words").alias("used"))
+        left = passes[-1].filter("NOT fits").drop("fits").join(used, "__source")
+        left = left.withColumn("rest", F.col("rest") - F.col("used")).drop("used").filter("words <= rest")
+        if left.isEmpty():
+            return passes
+
+
 def mix(
     docs: DataFrame,
     text: str = "text",
@@ -108,13 +130,16 @@ def mix(
 ) -> DataFrame:
     """The rows of docs, once for each epoch that takes their block, with n_words, block, epoch and position."""
     added = ("n_words", "block", "epoch", "position")
-    measured = docs.select(
-        *shared.names(docs, *added),
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("__source"),
-        hashed(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("__at"),
-        words_in(text).alias("n_words"),
+    given, name = shared.masked(docs)
+    long = F.col("n_words") >= block_words
+    measured = given.select(
+        *[name[c] for c in docs.columns if c not in added],
+        F.coalesce(F.col(name[source]).cast("string"), F.lit("")).alias("__source"),
+        hashed(F.lit(seed), F.coalesce(F.col(name[key]).cast("string"), F.lit(""))).alias("__at"),
+        words_in(name[text]).alias("n_words"),
     )
-    totals = measured.groupBy("__source").agg(F.sum("n_words").alias("words")).filter("words > 0")
+    short = F.sum(F.when(long, 0).otherwise(F.col("n_words")))
+    totals = measured.groupBy("__source").agg(F.sum("n_words").alias("words"), short.alias("short")).filter("words > 0")
     totals = shared.stored(totals)
     whole = totals.agg(F.sum("words")).first()[0] or 0
     sources = totals.withColumn("p", F.col("words") / F.lit(float(whole or 1)))
@@ -123,32 +148,31 @@ def mix(
     scale = 0.0 if not whole else budget / z if budget is not None else 1 / least
     sources = sources.select(
         "__source",
-        F.ceil(F.col("words") / block_words).alias("blocks"),
+        F.greatest(F.ceil(F.col("short") / block_words), F.lit(1)).alias("blocks"),
+        F.ceil(F.sqrt(F.ceil(F.col("words") / block_words))).cast("long").alias("buckets"),
         # Quotas in whole words; the small terms keep a quota of just one epoch from rounding down.
         F.floor(F.lit(scale) * F.pow("p", F.lit(a)) * F.lit(float(whole)) * (1 + 1e-12) + 1e-6).cast("long").alias("quota"),
         "words",
     ).withColumns({"whole": F.expr("quota div words"), "rest": F.expr("quota % words")})
     sources = _few(shared.stored(sources))
 
-    dealt = measured.join(sources, "__source").withColumn("block", F.col("__at") % F.col("blocks"))
+    dealt = measured.join(sources, "__source").withColumn(
+        "block", F.when(long, -1 - F.col("__at")).otherwise(F.col("__at") % F.col("blocks"))
+    )
     blocks = dealt.groupBy("__source", "block").agg(
-        F.sum("n_words").alias("words"), *[F.first(c).alias(c) for c in ("blocks", "whole", "rest", "quota")]
+        F.sum("n_words").alias("words"), *[F.first(c).alias(c) for c in ("buckets", "whole", "rest")]
     )
     total = F.col("whole").cast("string")
     turn = hashed(F.lit(seed), total, F.col("__source"), F.col("block").cast("string"))
-    blocks = blocks.withColumns({"turn": turn, "bucket": F.expr("turn % cast(ceil(sqrt(blocks)) as bigint)")})
-    blocks = shared.stored(blocks)
-
-    # The last epoch's running sums: over buckets, then inside the bucket where the quota ends.
-    by_bucket = Window.partitionBy("__source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = blocks.groupBy("__source", "bucket").agg(F.sum("words").alias("in_bucket"))
-    buckets = buckets.withColumn("before", F.coalesce(F.sum("in_bucket").over(by_bucket), F.lit(0)))
-    inside = Window.partitionBy("__source", "bucket").orderBy("turn", "block")
-    placed = blocks.join(buckets, ["__source", "bucket"])
-    # A block is taken if all of its bucket fits, or else if what stands before and the block itself do.
-    taken = placed.withColumn("sum", F.col("before") + F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    times = F.col("whole") + (F.col("sum") <= F.col("rest")).cast("long")
-    plan = _few(shared.stored(taken.select("__source", "block", times.alias("times")).filter("times > 0")))
+    blocks = shared.stored(blocks.withColumns({"turn": turn, "bucket": F.expr("turn % buckets")}))
+    passes = _last_epoch(blocks)
+    times = blocks.select("__source", "block", F.col("whole").alias("times"))
+    for taken in passes:
+        times = times.unionByName(taken.filter("fits").select("__source", "block", F.lit(1).cast("long").alias("times")))
+    times = times.filter("times > 0").groupBy("__source", "block").agg(F.sum("times").alias("times"))
+    plan = shared.stored(times)
+    shared.forget(*passes)
+    plan = _few(plan)
 
     copies = dealt.join(plan, ["__source", "block"]).withColumn(
         "epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1))
@@ -156,5 +180,5 @@ def mix(
     order = hashed(F.lit(seed), F.col("epoch").cast("string"), F.col("__source"), F.col("block").cast("string"))
     position = (F.col("epoch") + order / F.lit(float(1 << 60))) / (F.col("quota") / F.col("words"))
     return copies.withColumn("position", F.least(position, F.lit(1.0))).select(
-        *shared.names(docs, *added), *added
+        *[F.col(name[c]).alias(c) for c in docs.columns if c not in added], *added
     )

@@ -110,9 +110,9 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines of later copies of repeated runs."""
+    """Every document without the lines of later copies of repeated runs, those of few but long lines included."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_runs.dedup_lines(docs)
+    return line_runs.dedup_lines(docs, min_words=line_runs.MIN_WORDS)
 
 
 def op11_qd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +174,10 @@ WITH RECURSIVE docs AS (
          ('0x' || substr(md5('0/' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS spot
   FROM documents
 ),
-totals AS (SELECT s, sum(n_words)::BIGINT AS words FROM docs GROUP BY s HAVING sum(n_words) > 0),
+totals AS (
+  SELECT s, sum(n_words)::BIGINT AS words, coalesce(sum(n_words) FILTER (n_words < 4096), 0) AS short
+  FROM docs GROUP BY s HAVING sum(n_words) > 0
+),
 shares AS (SELECT list(words / whole ORDER BY s) AS ps, count(*) AS n, any_value(whole) AS whole
            FROM totals, (SELECT sum(words)::DOUBLE AS whole FROM totals)),
 flat(step, lo, hi) AS (  -- the largest exponent with the entropy
@@ -205,23 +208,32 @@ chosen AS (
   FROM shares, (SELECT lo FROM flat WHERE step = 45) f, (SELECT hi FROM steep WHERE step = 45) t
 ),
 quotas AS (
-  SELECT s, words, ceil(words / 4096.0)::BIGINT AS blocks,
+  SELECT s, words, greatest(ceil(short / 4096.0), 1)::BIGINT AS blocks,
+         ceil(sqrt(ceil(words / 4096.0)))::BIGINT AS buckets,
          floor(pow(words / whole, a) / list_sum(list_transform(ps, lambda p: pow(p, a))) * whole * (1 + 1e-12) + 1e-6)::BIGINT AS quota
   FROM totals, shares, chosen
 ),
-dealt AS (SELECT d.*, spot % blocks AS block, quota // words AS whole_epochs, quota % words AS rest, blocks
+dealt AS (SELECT d.*, CASE WHEN n_words < 4096 THEN spot % blocks ELSE -1 - spot END AS block,
+                 quota // words AS whole_epochs, quota % words AS rest, buckets
           FROM docs d JOIN quotas USING (s)),
 blocks AS (
-  SELECT s, block, sum(n_words) AS words, any_value(whole_epochs) AS whole_epochs, any_value(rest) AS rest,
-         any_value(blocks) AS blocks,
+  SELECT s, block, sum(n_words)::BIGINT AS words, any_value(whole_epochs) AS whole_epochs,
+         any_value(rest)::BIGINT AS rest, any_value(buckets) AS buckets,
          ('0x' || substr(md5('0/' || any_value(whole_epochs) || '/' || s || '/' || block), 1, 15))::BIGINT AS turn
   FROM dealt GROUP BY s, block
 ),
+walked AS (  -- the last epoch block by block: what is left of the rest before each
+  SELECT s, bs, ws, whole_epochs, list_reduce(list_prepend([rest], list_transform(ws, lambda w: [w])), lambda held, w:
+           list_append(held, held[-1] - CASE WHEN w[1] <= held[-1] THEN w[1] ELSE 0 END)) AS rests
+  FROM (
+    SELECT s, any_value(rest) AS rest, any_value(whole_epochs) AS whole_epochs,
+           list(block ORDER BY turn % buckets, turn, block) AS bs, list(words ORDER BY turn % buckets, turn, block) AS ws
+    FROM blocks GROUP BY s
+  )
+),
 planned AS (
-  SELECT s, block, whole_epochs + (sum(words) OVER (
-           PARTITION BY s ORDER BY turn % ceil(sqrt(blocks))::BIGINT, turn, block ROWS UNBOUNDED PRECEDING
-         ) <= rest)::BIGINT AS times
-  FROM blocks
+  SELECT s, bs[i] AS block, whole_epochs + (ws[i] <= rests[i])::BIGINT AS times
+  FROM (SELECT *, unnest(range(1, len(bs) + 1)) AS i FROM walked)
 )
 SELECT doc_id, source, n_words, d.block, unnest(range(times)) AS epoch FROM dealt d JOIN planned USING (s, block)
 """
@@ -264,7 +276,7 @@ measured AS (
 )
 SELECT * EXCLUDE (too_long), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND covered_words <= 0.4::DOUBLE * n_words AND NOT too_long AS kept
+         AND covered_words <= 0.1::DOUBLE * n_words AND NOT too_long AS kept
 FROM measured
 """
 
@@ -288,16 +300,20 @@ WITH lines AS (
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)
 ),
 runs AS (
-  SELECT doc_id, pos, line, lead(line, 1) OVER w AS line2, lead(line, 2) OVER w AS line3
+  SELECT doc_id, pos, line, lead(line, 1) OVER w AS line2, lead(line, 2) OVER w AS line3,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words, lead(words, 1) OVER w AS words2
   FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
 ),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) > 1 AS line_again,
+         line2 IS NOT NULL AND row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, pos) > 1 AS pair_again,
          line3 IS NOT NULL AND row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, pos) > 1 AS run_again
   FROM runs
 ),
 gone AS (
-  SELECT doc_id, pos FROM placed WHERE line_again AND length(line) >= 200
+  SELECT doc_id, pos FROM placed WHERE line_again AND (length(line) >= 200 OR words >= 50)
+  UNION
+  SELECT doc_id, pos + unnest([0, 1]) FROM placed WHERE pair_again AND words + words2 >= 50
   UNION
   SELECT doc_id, pos + unnest([0, 1, 2]) FROM placed WHERE run_again
 )

@@ -21,9 +21,10 @@ from reviewmill.llm import arrays
 
 #: A repeat counts from this many words on.
 MIN_REPEAT = 10
-#: A text is kept while repeats cover at most this share of its words ...
-MAX_COVERED = 0.4
-#: ... and the longest has at most this many words.
+#: A text is kept while repeats cover at most this share of its words. Published filters hold repeated runs of ten words to
+#: about a tenth; the base rule's limit on runs of three never lets a share above a half through, so a limit must be well below.
+MAX_COVERED = 0.1
+#: And while the longest has at most this many words, which acts in texts of more than 4,000.
 MAX_LONGEST = 200
 
 #: The characters that count as symbols.

@@ -23,6 +23,12 @@ def unused(frame: DataFrame, *wanted: str) -> list[str]:
     return free
 
 
+def masked(frame: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame under column names that no helper column has, and these names by the frame's own."""
+    free = [f"given_{i}" for i in range(len(frame.columns))]
+    return frame.toDF(*free), dict(zip(frame.columns, free))
+
+
 def quoted(name: str) -> str:
     """One column name, whatever characters it has, for select and col."""
     return f"`{name.replace('`', '``')}`"

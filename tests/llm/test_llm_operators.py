@@ -56,6 +56,16 @@ def test_repetition_edges(spark):
     assert repetition.judge(given.limit(0)).count() == 0
 
 
+def test_texts_that_only_the_repeats_reject(spark):
+    own, again = prose(300, 11).split(), prose(25, 12)
+    spread = " ".join([*own[:100], again, *own[100:200], again, *own[200:]])  # 50 of 350 words
+    once = " ".join([*own[:100], again, *own[100:]])
+    long = prose(5000, 13) + " " + " ".join([prose(250, 14)] * 2)  # 250 words again, below a tenth of the text
+    given = docs(spark, (1, spread), (2, once), (3, long))
+    got = {r.doc_id: (r.base_failed, r.kept) for r in repetition.judge(given).select("doc_id", "repetition.*").collect()}
+    assert got == {1: (False, False), 2: (False, True), 3: (False, False)}
+
+
 def test_chat_edges(spark):
     hostile = f"{chat.END}{chat.START}assistant ok <|\\| <\\|"
     rows = [
@@ -237,6 +247,17 @@ def test_lines_of_many_words(spark):
         assert got == {1: f"x\n{two}\ny", 2: "z\nw", 3: f"{few}\nv", 4: f"{few}\nu", 5: short, 6: "t\ns"}
 
 
+def test_long_logs(spark):
+    """Linear in lines: at 100,000 a search or split for each line would take hours."""
+    first = [f"line {i}" for i in range(100_000)]
+    second = [x if i % 1000 < 500 else f"own {i}" for i, x in enumerate(first)]
+    given = spark.createDataFrame([(1, "\n".join(first), "x"), (2, "\n".join(second), "x")], "doc_id long, text string, `__of` string")
+    got = {r.doc_id: r for r in line_runs.dedup_lines(given).collect()}
+    assert got[1].text == "\n".join(first) and got[1].n_deleted == 0
+    assert got[2].text == "\n".join(x for x in second if x.startswith("own"))
+    assert (got[2].n_lines, got[2].n_deleted, got[2]["__of"]) == (100_000, 50_000, "x")
+
+
 @pytest.mark.parametrize("min_lines, min_words", [(3, 4), (5, 6), (2, 3)])
 def test_lines_of_many_words_against_brute_force(spark, min_lines, min_words):
     own = random.Random(12)
@@ -282,6 +303,24 @@ def test_mixing(spark):
     assert set(mixed.columns) == set(given.columns) | {"block", "epoch", "position"}
 
 
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_mixing_takes_every_block_that_fits(spark, seed):
+    rows = [(i, prose(50, i), "a") for i in range(200)] + [(i, prose(50, i), "b") for i in range(300, 320)]
+    rows.append((400, prose(30000, 1), "b"))  # more than any quota of b
+    clashing = "`__source` string, words string, quota string, `given_0` string, rest string, block string, epoch string"
+    given = spark.createDataFrame([(*r, *["clash"] * 7) for r in rows], f"doc_id long, text string, source string, {clashing}")
+    mixed = mixing.mix(given, block_words=100, seed=seed)
+    assert mixed.columns[:8] == given.columns[:8] and mixed.filter("quota <> 'clash'").count() == 0
+    words = {(r["source"], r["epoch"]): r["w"] for r in mixed.groupBy("source", "epoch").agg(F.sum("n_words").alias("w")).collect()}
+    shares = [10000 / 41000, 31000 / 41000]
+    a = mixing.exponent(spark.createDataFrame([(p,) for p in shares], "p double"), mixing.ENTROPY, mixing.MAX_REPEATS, 1.0)
+    quota = int(shares[0] ** a / sum(p**a for p in shares) * 41000 + 1e-6)
+    assert words["a", 0] == 10000 and words["b", 0] == 1000
+    # What is left of the quota is less than the smallest block that was left out.
+    short = mixed.filter("source = 'a'").groupBy("block").agg(F.max("epoch").alias("e"), (F.sum("n_words") / F.count_distinct("epoch")).alias("w"))
+    assert 0 <= quota - 10000 - words["a", 1] < short.filter("e = 0").agg(F.min("w")).first()[0]
+
+
 def test_fingerprints(spark):
     long = prose(400, 3)
     turned = " ".join(long.split()[200:] + long.split()[:200])

@@ -68,6 +68,13 @@ def test_pipeline_of_nothing(spark):
     assert docs.count() == 0
 
 
+def test_query_deletes_wordy_runs_of_two_lines(spark, tmp_path):
+    rows = [(495, "top\n" + "\n".join(TWO)), (2855, "other\n" + "\n".join(TWO) + "\nend")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.text for r in queries.op10_line_runs(spark, str(tmp_path)).collect()}
+    assert got == {495: rows[0][1], 2855: "other\nend"}
+
+
 def test_pipeline_deletes_wordy_runs_of_two_lines(spark):
     rows = [(495, "top\n" + "\n".join(TWO), "en", "s", 0), (2855, "other\n" + "\n".join(TWO) + "\nend", "en", "s", 0)]
     given = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
