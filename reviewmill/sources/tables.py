@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 from reviewmill.schemas import TABLES
 from reviewmill.sources import publication
 
+#: What tables are joined and grouped by: the columns whose distinct values and widths the planner should know.
+KEY_COLUMNS = ("product_asin", "review_id", "brand", "review_month")
+
 
 def write_parquet(
     frame: DataFrame, path: str, partition_columns: Sequence[str] | None = None
@@ -59,24 +63,49 @@ def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name].columns).parquet(table_path(root, name))
 
 
-def register_tables(spark: SparkSession, base: str, database: str) -> None:
-    """Make the six stored tables of a lake queryable by name.
+def register_tables(spark: SparkSession, base: str, database: str, statistics: bool = True) -> None:
+    """Make the six stored tables of a lake queryable by name, with figures for the planner.
+
+    Each name is a view of an external table of its own for each publication, kept in a second database (``DATABASE__stored``).
+    The table is complete, partitions and figures included, before the view is replaced, and views are replaced in place, so
+    readers find a table at every moment. The six follow one after another: a query that joins two of them meanwhile
+    may see two publications. Tables of publications that have gone are dropped last; files stay untouched. To be repeated after each run.
 
-    Entries are external: replacing them leaves the files alone. They point to the publication that is current
-    now, and partitions are discovered from its folders, so this is to be repeated after each run.
+    statistics: count rows, and analyse the key columns (one pass over these columns alone), which the planner follows
+    where ``spark.sql.cbo.enabled`` is set.
     """
-    named, root = quoted(database), publication.root_of(spark, base)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {named} LOCATION {text_literal(base.rstrip('/') + '/catalog')}")
+    root, lake = publication.root_of(spark, base), base.rstrip("/")
+    named, stored = quoted(database), quoted(f"{database}__stored")
+    for which, folder in ((named, "catalog"), (stored, "catalog_stored")):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {which} LOCATION {text_literal(f'{lake}/{folder}')}")
     for name, table in TABLES.items():
-        entry = f"{named}.{name}"
+        entry = f"{stored}.{quoted(_entry(name, root))}"
         layout = f"PARTITIONED BY ({', '.join(table.partition)})" if table.partition else ""
-        spark.sql(f"DROP TABLE IF EXISTS {entry}")
         spark.sql(
-            f"CREATE TABLE {entry} ({table.columns}) USING parquet {layout} "
+            f"CREATE TABLE IF NOT EXISTS {entry} ({table.columns}) USING parquet {layout} "
             f"LOCATION {text_literal(table_path(root, name))}"
         )
         if table.partition:
-            spark.catalog.recoverPartitions(entry)
+            spark.sql(f"MSCK REPAIR TABLE {entry} SYNC PARTITIONS")
+        spark.sql(f"REFRESH TABLE {entry}")
+        if statistics:
+            keys = [c for c in KEY_COLUMNS if c in table.names]
+            spark.sql(f"ANALYZE TABLE {entry} COMPUTE STATISTICS" + (f" FOR COLUMNS {', '.join(keys)}" if keys else ""))
+    for name in TABLES:
+        view = f"{named}.{name}"
+        if spark.catalog.tableExists(view) and spark.catalog.getTable(view).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {view}")  # an entry of the earlier layout, once
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {stored}.{quoted(_entry(name, root))}")
+    roots = {root, *(old.root for old in publication.history(spark, base))}
+    known = {_entry(name, one).lower() for name in TABLES for one in roots}
+    for entry in spark.sql(f"SHOW TABLES IN {stored}").collect():
+        if not entry["isTemporary"] and entry["tableName"].lower() not in known:
+            spark.sql(f"DROP TABLE IF EXISTS {stored}.{quoted(entry['tableName'])}")
+
+
+def _entry(name: str, root: str) -> str:
+    """The catalog's name of a table of one publication."""
+    return f"{name}_{hashlib.sha256(root.encode()).hexdigest()[:16]}"
 
 
 def use_database(spark: SparkSession, database: str) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from conftest import MEDIUM, SMALL
 from helpers import PRODUCT, REVIEW, plan, rows
-from reviewmill.operators import cleaning, summaries
+from reviewmill.operators import cleaning, joins, summaries
 from reviewmill import __main__ as command
 from reviewmill.plans import batch, registry
 from reviewmill.plans.supplied import raw_products, raw_reviews
@@ -275,6 +275,70 @@ def test_a_hot_id_in_many_tasks_reaches_no_reducer_whole(spark, settings):
     assert {r["count"] for r in per_salt.collect()} == {20} and per_salt.count() == 20
 
 
+def test_readers_never_miss_a_table_while_it_is_registered(spark, feed_paths, tmp_path):
+    base, few = str(tmp_path / "base"), write_lines(tmp_path / "few", REVIEW)
+    batch.run_batch(spark, *feed_paths, base)
+    tables.register_tables(spark, base, "steady")
+    before, seen, failed, done = spark.table("steady.reviews").count(), set(), [], threading.Event()
+
+    def read():
+        own = spark.newSession()
+        while not done.is_set():
+            try:
+                seen.add(own.sql("SELECT count(*) AS n FROM steady.reviews").first()["n"])
+            except Exception as error:  # whatever it is, the test names it
+                failed.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        batch.run_batch(spark, few, feed_paths[1], base)
+        tables.register_tables(spark, base, "steady")
+        tables.register_tables(spark, base, "steady")
+    finally:
+        done.set()
+        reader.join()
+    assert not failed and seen <= {before, 1}
+    assert spark.table("steady.reviews").count() == 1
+    # Both publications are kept, so are their entries; with a third run the first one's go.
+    assert spark.sql("SHOW TABLES IN steady__stored").count() == 12
+    batch.run_batch(spark, few, feed_paths[1], base)
+    tables.register_tables(spark, base, "steady")
+    assert spark.sql("SHOW TABLES IN steady__stored").count() == 12 and spark.table("steady.reviews").count() == 1
+
+
+def test_the_planner_follows_registered_figures(spark, lake, settings):
+    tables.register_tables(spark, lake.base, "figured")
+    tables.register_tables(spark, lake.base, "plain", statistics=False)
+    settings(spark__sql__cbo__enabled="true", spark__sql__adaptive__enabled="false")
+
+    def joined(database):
+        products = spark.table(f"{database}.products").select("product_asin", "brand")
+        return joins.enrich_reviews(spark.table(f"{database}.reviews").select("review_id", "product_asin"), products)
+
+    def rows(database):
+        figures = spark.table(f"{database}.products").select("product_asin")._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(figures.rowCount().get())) if figures.rowCount().isDefined() else None
+
+    count = lake.table("products").count()
+    assert rows("figured") == count and rows("plain") is None
+    small = spark.table("figured.products").select("product_asin", "brand")._jdf.queryExecution().optimizedPlan().stats()
+    size = int(str(small.sizeInBytes()))
+    # A threshold just above and just below what the rows take decides.
+    settings(spark__sql__autoBroadcastJoinThreshold=str(size + 1))
+    assert "BroadcastHashJoin" in plan(joined("figured"))
+    settings(spark__sql__autoBroadcastJoinThreshold=str(size - 1))
+    assert "BroadcastHashJoin" not in plan(joined("figured"))
+
+
+def test_an_earlier_entry_gives_way(spark, lake):
+    spark.sql("CREATE DATABASE IF NOT EXISTS earlier")
+    spark.sql(f"CREATE TABLE earlier.products USING parquet LOCATION '{tables.table_path(publication.root_of(spark, lake.base), 'products')}'")
+    tables.register_tables(spark, lake.base, "earlier")
+    assert spark.catalog.getTable("earlier.products").tableType == "VIEW"
+    assert spark.table("earlier.products").count() == lake.table("products").count()
+
+
 def test_names_and_paths_with_quotes(spark, lake, tmp_path):
     base = f"{tmp_path}/it's a `lake`"
     for name in TABLES:
