@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,15 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def written(frame: DataFrame) -> DataFrame:
+    """The rows as a Parquet table below the checkpoint folder: as reliable, and read by column. It stays until the folder is cleared."""
+    session = frame.sparkSession
+    checkpoints(session)
+    path = f"{session.sparkContext.getCheckpointDir()}/written-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return session.read.schema(frame.schema).parquet(path)
+
+
 def forget(*frames: DataFrame) -> None:
     """Delete the files of stored frames that nothing will be computed from any more."""
     for frame in frames:
