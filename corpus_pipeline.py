@@ -1,8 +1,12 @@
 """A corpus from documents to pieces: quality rules, line dedup, near-dedup, source mixing, encoding.
 
 Each stage takes (spark, docs, sf_dir) and works on every row that its predecessor kept; all but the last return
-the columns of ``documents``. Between stages rows lie on shared storage, so a lost executor never repeats an
-earlier stage.
+the columns of ``documents``. Between stages rows lie as Parquet on the storage that all executors share, so a lost executor
+never repeats an earlier stage and each stage reads only the columns it needs.
+
+Null texts fail the quality rules; null sources count as '' in the mix and stay null. Rows with one id and text are one
+document until the near-dedup stage leaves one of them; ties go to the least id. Further columns pass all stages but the last unchanged,
+whatever their names, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,7 +18,8 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import bag_minhash, line_runs, mixing, pieces, repetition, shared
 
-#: No source is repeated more often in the mix; every source is in it at least once, whole.
+#: No source is repeated more often in the mix; every source is in it at least once, whole. Low on purpose: the stages before
+#: have just taken copies out, and encoding, the costliest stage, does at most a quarter more.
 MAX_REPEATS = 1.25
 
 
@@ -66,5 +71,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
-            docs = shared.stored(docs)
+            docs = shared.written(docs)
     return docs
