@@ -55,11 +55,27 @@ def stored(frame: DataFrame) -> DataFrame:
 
 def written(frame: DataFrame) -> DataFrame:
     """The rows as a Parquet table below the checkpoint folder: as reliable, and read by column. It stays until the folder is cleared."""
+    return placed(frame)[0]
+
+
+def placed(frame: DataFrame) -> tuple[DataFrame, str]:
+    """As written, and the table's folder.
+
+    A checkpoint hands on what the optimizer knows of its columns, and in a loop that knowledge multiplies from round to round
+    until the driver has no memory left. A table read again knows nothing of its making.
+    """
     session = frame.sparkSession
     checkpoints(session)
     path = f"{session.sparkContext.getCheckpointDir()}/written-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return session.read.schema(frame.schema).parquet(path)
+    return session.read.schema(frame.schema).parquet(path), path
+
+
+def erase(session: SparkSession, *folders: str) -> None:
+    """Delete the folders of tables that nothing will be computed from any more."""
+    for folder in folders:
+        path = session._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def forget(*frames: DataFrame) -> None:
