@@ -1,12 +1,14 @@
 """Main text of web pages by site template removal (operator 1).
 
 Every page is read into an element tree. Each element subtree is hashed (names, texts and child hashes, not
-attributes), Spark counts in how many pages of a host each hash occurs, and subtrees that recur across many
-pages of their host are deleted. Pages of one host with the same text (of the article if it is marked) count as one
-page, so a page that stands at many addresses isn't its own template. Fixed rules on element names and class words take what differs from page to
+attributes), Spark counts beside how many different texts of a host each hash occurs, and subtrees that recur across many
+pages of their host are deleted. A subtree's occurrences differ if the rest of the page does, by its least hash of
+neighbouring words (in an article, by each of four such hashes): copies of a page have one rest, near copies mostly, so a page that stands at many
+addresses isn't its own template. The host's pages count once for each text. Fixed rules on element names and class words take what differs from page to
 page but is never article text (menus, adverts, notices, forms, reader comments, scripts). If a page marks its
-article (``article``, ``main`` or the like), only text inside counts, and no element there is taken for template,
-since near copies of one article may recur on a host.
+article (``article``, ``main`` or the like), only text inside counts; a subtree there must recur on a larger share
+of the pages (``ARTICLE_SHARE``), and headings, items and cells stay. So paragraphs that near copies share stay, unless nearly all pages of their host
+are copies and less than two fifths of the pairs of words around are common to them.
 
 Class words never take the element that holds the page's article: around ``main`` they don't count, around other
 articles only if some article stands outside all such elements, if more text does, or if they mark reader comments and
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -35,8 +38,10 @@ from reviewmill.llm import shared
 
 #: A subtree is template if it is in this many pages of its host that differ in text ...
 MIN_PAGES = 5
-#: ... and in this share of them.
-MIN_SHARE = 0.2
+#: ... and in this share of them, or in this one if it stands in an article.
+MIN_SHARE, ARTICLE_SHARE = 0.2, 0.6
+#: Rests of fewer words are compared as a whole outside of articles.
+SHORT_REST = 20
 #: Up to so many template hashes (8 bytes each) are sent to every executor; beyond, pages are shuffled by host.
 BROADCAST_HASHES = 1 << 20
 
@@ -53,6 +58,9 @@ _DROPPED = frozenset(
     "canvas audio video dialog menu title xmp noembed noframes math label datalist".split()
 )
 _REGION = frozenset(("article", "main"))
+_WHOLE = frozenset(("#page", "html", "body"))
+#: Elements that name or list parts of an article, and so may recur on many articles of a host.
+_LABELS = frozenset("h1 h2 h3 h4 h5 h6 hgroup li dt dd td th tr thead tbody tfoot caption figcaption legend summary pre".split())
 _CLOSES_P = _BLOCK - frozenset("body head html td th tr tbody thead tfoot li dd dt option caption summary legend".split())
 #: An opening tag ends an open element of these names.
 _ENDS = {
@@ -91,13 +99,18 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s]+)))?")
 _WORD = re.compile(r"[a-z]+")
 _NAMED = re.compile(r"class|id|role|itemprop|hidden", re.I)
+#: Turns the hash of a subtree into its name inside articles.
+_INSIDE = 0x5555555555555555
+#: Hashes in so many orders, each by its exclusive or with one of these.
+_ORDERS = (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 class _Element:
-    __slots__ = ("name", "dropped", "marks", "region", "parts", "hash")
+    __slots__ = ("name", "dropped", "marks", "region", "within", "parts", "hash")
 
-    def __init__(self, name: str, dropped: bool, marks: frozenset[str], region: str):
+    def __init__(self, name: str, dropped: bool, marks: frozenset[str], region: str, within: bool = False):
         self.name, self.dropped, self.marks, self.region = name, dropped, marks, region
+        self.within = within or bool(region)  # in a region, or one
         self.parts: list = []  # texts and elements, in page order
 
 
@@ -156,7 +169,8 @@ def read_tree(html: str) -> _Element:
             _end(stack, {"p"})
         if name in _ENDS:
             _end(stack, _ENDS[name])
-        element = _Element(name, *_flags(name, m[3], any(e.region for e in stack)))
+        within = stack[-1].within
+        element = _Element(name, *_flags(name, m[3], within), within)
         stack[-1].parts.append(element)
         if name in _RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(html, at)
@@ -217,86 +231,142 @@ def _settle(root: _Element, level: int) -> bool:
     return any(e.region for e in order) and not any(f and e.region for f, e in zip(free, order))
 
 
-def _walk(root: _Element) -> tuple[list[int], list[tuple[str, list[int], bool]]]:
-    """Hashes of the subtrees that may be template; (text, hashes around it, in the article) of each block."""
-    subtrees: set[int] = set()
-    blocks: list[tuple[str, list[int], bool]] = []
+def _walk(root: _Element) -> tuple[list[tuple[str, bool]], list[tuple[int, int, int, bool]]]:
+    """(text, in an article) of each block; (hash, first block, end, in an article) of each subtree that may be template."""
+    blocks: list[tuple[str, bool]] = []
+    spans: list[tuple[int, int, int, bool]] = []
     pieces: list[str] = []
-    around: tuple[tuple[int, ...], bool] = ((), False)
+    inside = False
 
     def flush() -> None:
         if pieces and (text := " ".join(unescape("".join(pieces)).split())):
-            blocks.append((text, list(around[0]), around[1]))
+            blocks.append((text, inside))
         pieces.clear()
 
-    todo: list = [(root, (), False, False)]
+    todo: list = [(root, None, False, False)]
     while todo:
-        part, chain, region, dropped = todo.pop()
+        part, begun, region, dropped = todo.pop()
         if part is None:  # the end of a block element
             flush()
-            around = (chain, region)
+            if begun is not None and len(blocks) > begun[1]:
+                spans.append((begun[0].hash, begun[1], len(blocks), region))
         elif type(part) is str:
             if not dropped:
                 if not pieces:
-                    around = (chain, region)
+                    inside = region
                 pieces.append(part)
         else:
-            # The article with all that it holds, and what holds the whole page, are no candidates.
-            if not (region or part.region or part.name in ("#page", "html", "body")):
-                subtrees.add(part.hash)
-                if part.name in _BLOCK:
-                    chain = (*chain, part.hash)
+            # Neither the article itself nor what holds the whole page is a candidate, nor are labels in an article.
+            may = not (part.region or part.name in _WHOLE or (region and part.name in _LABELS))
             region, dropped = region or bool(part.region), dropped or part.dropped
             if part.name in _BLOCK:
                 flush()
-                around = (chain, region)
-                todo.append((None, chain, region, dropped))
+                todo.append((None, (part, len(blocks)) if may else None, region, dropped))
             elif part.name == "br":
+                if not pieces:
+                    inside = region
                 pieces.append(" ")
-            todo.extend((p, chain, region, dropped) for p in reversed(part.parts))
+            todo.extend((p, None, region, dropped) for p in reversed(part.parts))
     flush()
-    return sorted(subtrees), blocks
+    return blocks, spans
+
+
+def _article(root: _Element) -> tuple[list[str], list[tuple[int, int, int, bool]]]:
+    """As _walk, with the blocks of the article alone if it has some, and the subtrees that hold a part of them."""
+    blocks, spans = _walk(root)
+    if any(own for _, own in blocks):
+        at = [0, *accumulate(int(own) for _, own in blocks)]
+        blocks, spans = [b for b in blocks if b[1]], [(h, at[i], at[j], own) for h, i, j, own in spans]
+    return [text for text, _ in blocks], [s for s in spans if 0 < s[2] - s[1] < len(blocks)]
+
+
+def _digest(text: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
 
+def _sketch(text: str) -> list[int]:
+    """The least hashes of a block's pairs of neighbouring words, in several orders of the hashes."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    hashes = list(map(xxhash.xxh3_64_intdigest, map(b" ".join, zip(words, words[1:])))) or [xxhash.xxh3_64_intdigest(words[0])]
+    return [min(map(order.__xor__, hashes)) for order in _ORDERS]
 
-def _article(root: _Element) -> tuple[list[int], list[tuple[str, list[int], bool]]]:
-    """As _walk, with the blocks of the article alone if it has some."""
-    subtrees, blocks = _walk(root)
-    return subtrees, [b for b in blocks if b[2]] or blocks
 
+def _rests(texts: list[str], spans: list[tuple[int, int, int, bool]]) -> list[dict]:
+    """Each subtree once, with the sketches of the text that stands outside of its first occurrence.
 
-def read_page(html: str | None) -> dict:
-    """blocks: the texts that the fixed rules leave, with the hashes of the elements around; seen: a hash of these texts and
-    the hashes of all subtrees."""
+    Outside of articles one sketch is enough, and a short rest goes by all of its text, since a few words have too few pairs.
+    """
+    sketches = [_sketch(text) for text in texts] if spans else []
+    words = [0, *accumulate(len(text.split()) for text in texts)]
+    rows, known = [], set()
+    before, after = [], []
+    for k in range(len(_ORDERS)):
+        least = [sketch[k] for sketch in sketches]
+        before.append([1 << 64, *accumulate(least, min)])
+        after.append([1 << 64, *accumulate(reversed(least), min)][::-1])
+    for name, first, end, own in spans:
+        if name in known:
+            continue
+        known.add(name)
+        short = not own and words[-1] - words[end] + words[first] < SHORT_REST
+        for k in range(len(_ORDERS) if own else 1):
+            if short:
+                rest = _digest("\n".join(texts[:first] + texts[end:]).encode("utf-8", "surrogatepass"))
+            else:
+                rest = min(before[k][first], after[k][end]) - (1 << 63)
+            rows.append({"hash": name, "sketch": k, "rest": rest, "inside": own})
+    return rows
+
+
+def read_page(html: str | None, part: str = "blocks") -> dict:
+    """blocks: the texts that the fixed rules leave; spans: the blocks that each subtree holds; if ``part`` is seen, seen: the
+    subtrees with sketches of what is outside them, and a hash of all texts under no subtree's name."""
     if not html:
-        return {"blocks": [], "seen": {"content": 0, "subtrees": []}}
+        return {"blocks": [], "spans": [], "seen": [{"hash": None, "sketch": 0, "rest": 0, "inside": False}]}
     root = read_tree(html)
     _hash(root)
     barred = _settle(root, 0)
-    subtrees, blocks = _article(root)
+    found = _article(root)
     if barred:
         _settle(root, 1)
-        inside = _article(root)[1]
-        if not blocks and not inside:
+        other = _article(root)
+        if not found[0] and not other[0]:
             _settle(root, 2)
-            inside = _article(root)[1]
-        blocks = max(blocks, inside, key=lambda found: sum(len(text) for text, _, _ in found))
-    texts = "\n".join(text for text, _, _ in blocks).encode("utf-8", "surrogatepass")
-    return {
-        "blocks": [{"text": text, "around": chain} for text, chain, _ in blocks],
-        "seen": {"content": xxhash.xxh3_64_intdigest(texts) - (1 << 63), "subtrees": subtrees},
+            other = _article(root)
+        found = max(found, other, key=lambda read: sum(map(len, read[0])))
+    texts, spans = found
+    # What stands in articles is counted apart from what doesn't, so it has names of its own.
+    spans = [(name ^ _INSIDE if own else name, first, end, own) for name, first, end, own in spans]
+    page = {
+        "blocks": [{"text": text} for text in texts],
+        "spans": [{"hash": name, "first": first, "end": end} for name, first, end, _ in spans],
     }
+    if part == "seen":
+        content = _digest("\n".join(texts).encode("utf-8", "surrogatepass"))
+        page["seen"] = [{"hash": None, "sketch": 0, "rest": content, "inside": False}, *_rests(texts, spans)]
+    return page
 
 
 def _read(html: Column, part: str) -> Column:
-    hashes = pa.list_(pa.int64())
+    number = pa.int64()
     kind, item = {
         "blocks": (
-            "array<struct<text:string,around:array<long>>>",
-            pa.list_(pa.struct([("text", pa.string()), ("around", hashes)])),
+            "struct<blocks:array<struct<text:string>>,spans:array<struct<hash:long,first:int,end:int>>>",
+            pa.struct(
+                [
+                    ("blocks", pa.list_(pa.struct([("text", pa.string())]))),
+                    ("spans", pa.list_(pa.struct([("hash", number), ("first", pa.int32()), ("end", pa.int32())]))),
+                ]
+            ),
+        ),
+        "seen": (
+            "struct<seen:array<struct<hash:long,sketch:int,rest:long,inside:boolean>>>",
+            pa.struct(
+                [("seen", pa.list_(pa.struct([("hash", number), ("sketch", pa.int32()), ("rest", number), ("inside", pa.bool_())])))]
+            ),
         ),
-        "seen": ("struct<content:long,subtrees:array<long>>", pa.struct([("content", pa.int64()), ("subtrees", hashes)])),
     }[part]
-    read = F.arrow_udf(lambda pages: pa.array([read_page(x)[part] for x in pages.to_pylist()], item), kind)
+    read = F.arrow_udf(lambda pages: pa.array([read_page(x, part) for x in pages.to_pylist()], item), kind)
     return read.asNondeterministic()(html)
 
 
@@ -306,23 +376,30 @@ def host(url: Column) -> Column:
 
 
 def templates(
-    pages: DataFrame, html: str = "html", url: str = "url", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE
+    pages: DataFrame,
+    html: str = "html",
+    url: str = "url",
+    min_pages: int = MIN_PAGES,
+    min_share: float = MIN_SHARE,
+    article_share: float = ARTICLE_SHARE,
 ) -> DataFrame:
     """(__of, __templates): for each host (a hash of its name), the subtrees that recur on it.
 
     A page has a bounded number of subtrees, so those in a share of a host's pages are bounded as well.
     """
     address = F.xxhash64(host(F.col(url))).alias("__of")
-    seen = pages.select(address, _read(F.col(html), "seen").alias("__seen"))
-    # A null among a page's hashes counts the page itself.
-    hashes = F.array_append("__seen.subtrees", F.lit(None).cast("long"))
-    apart = seen.select("__of", F.col("__seen.content").alias("__content"), F.explode(hashes).alias("__hash")).distinct()
-    counts = apart.groupBy("__of", "__hash").agg(F.count(F.lit(1)).alias("n"))
-    counts = shared.stored(counts.filter((F.col("n") >= min_pages) | F.col("__hash").isNull()))
-    sizes = counts.filter("__hash IS NULL").select("__of", F.col("n").alias("pages"))
-    counts = counts.filter("__hash IS NOT NULL")
-    frequent = counts.join(sizes, "__of").filter(F.col("n") >= F.lit(min_share) * F.col("pages"))
-    return shared.stored(frequent.groupBy("__of").agg(F.collect_set("__hash").alias("__templates")))
+    seen = pages.select(address, _read(F.col(html), "seen").alias("__page"))
+    apart = seen.select("__of", F.explode("__page.seen").alias("__seen")).select("__of", "__seen.*").distinct()
+    # Under no hash, the pages themselves are counted.
+    rests = [F.count_if(F.col("sketch") == k) for k in range(len(_ORDERS))]
+    rests = F.when(F.max("inside"), F.least(*rests)).otherwise(rests[0])
+    counts = apart.groupBy("__of", "hash").agg(rests.alias("n"), F.max("inside").alias("inside"))
+    counts = shared.stored(counts.filter((F.col("n") >= min_pages) | F.col("hash").isNull()))
+    sizes = counts.filter("hash IS NULL").select("__of", F.col("n").alias("pages"))
+    counts = counts.filter("hash IS NOT NULL")
+    share = F.when(F.col("inside"), F.lit(article_share)).otherwise(F.lit(min_share))
+    frequent = counts.join(sizes, "__of").filter(F.col("n") >= share * F.col("pages"))
+    return shared.stored(frequent.groupBy("__of").agg(F.collect_set("hash").alias("__templates")))
 
 
 def extract(pages: DataFrame, html: str = "html", url: str = "url", into: str = "text", **limits: float) -> DataFrame:
@@ -330,11 +407,17 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", into: str =
     found = templates(pages, html, url, **limits)
     if (found.agg(F.sum(F.size("__templates"))).first()[0] or 0) <= BROADCAST_HASHES:
         found = F.broadcast(found)
-    columns = shared.names(pages, into)
-    read = pages.select(
-        *columns, F.xxhash64(host(F.col(url))).alias("__host"), _read(F.col(html), "blocks").alias("__blocks")
+    given, name = shared.masked(pages)
+    own = [name[c] for c in pages.columns if c != into]
+    read = given.select(
+        *own, F.xxhash64(host(F.col(name[url]))).alias("__host"), _read(F.col(name[html]), "blocks").alias("__page")
     )
     none = F.array().cast("array<long>")
-    kept = F.filter("__blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce("__templates", none)))
-    joined = read.join(found, F.col("__host") == F.col("__of"), "left")
-    return joined.select(*columns, F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias(into))
+    joined = read.join(found, F.col("__host") == F.col("__of"), "left").withColumn(
+        "__gone", F.filter("__page.spans", lambda s: F.array_contains(F.coalesce("__templates", none), s["hash"]))
+    )
+    kept = F.filter(
+        "__page.blocks", lambda b, i: ~F.exists("__gone", lambda s: (s["first"] <= i) & (i < s["end"]))
+    )
+    back = [F.col(name[c]).alias(c) for c in pages.columns if c != into]
+    return joined.select(*back, F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias(into))

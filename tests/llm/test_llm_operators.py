@@ -122,6 +122,52 @@ def test_html_main_text(spark):
     assert html.extract(given.limit(0)).count() == 0
 
 
+def test_template_inside_articles(spark):
+    note = "<div class='note'>Read it first in our letter, <b>every Friday</b> at noon.</div>"
+    own = ["lake trout winter", "old mill dam", "copper roof church", "market square fair", "night train delay", "river ferry strike"]
+    rows = [
+        (i, "http://a.example/", f"<body><article><h2>Summary</h2><p>{a} beside {b} number {i}</p><p>Ends {i}</p>{note}</article></body>", "x", "y")
+        for i, (a, b) in enumerate((a, b) for a in own[:2] for b in own)
+    ]
+    given = spark.createDataFrame(rows, "page_id long, url string, html string, __host string, __of string")
+    got = {r.page_id: r for r in html.extract(given).collect()}
+    assert [got[i].text for i in range(12)] == [
+        f"Summary\n{a} beside {b} number {i}\nEnds {i}" for i, (a, b) in enumerate((a, b) for a in own[:2] for b in own)
+    ]
+    assert {(r["__host"], r["__of"]) for r in got.values()} == {("x", "y")}
+    # Near copies of a longer article keep what they share, whatever differs in one of its paragraphs.
+    words = [f"w{i}" for i in range(120)]
+    paragraphs = [" ".join(words[k : k + 30]) for k in range(0, 120, 30)]
+    rows = [
+        (i, "http://b.example/", "<article>" + "".join(f"<p>{p}{' changed %d' % i if k == i % 4 else ''}</p>" for k, p in enumerate(paragraphs)))
+        for i in range(40)
+    ]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {len(r.text.split("\n")) for r in got.collect()} == {4}
+
+
+def test_counts_of_rests_by_brute_force(spark):
+    pages = [f"<article><p>{' '.join(f'p{i}x{j}' for j in range(30))}</p><p>shared {i % 3}</p></article>" for i in range(30)]
+    rows = [(f"http://h{i % 2}.example/", page) for i, page in enumerate(pages)] * 2
+    found = html.templates(spark.createDataFrame(rows, "url string, html string"), article_share=0.3).collect()
+    expected = {}
+    for h in range(2):
+        own = {page for i, page in enumerate(pages) if i % 2 == h}
+        rests = {}
+        for page in own:
+            for row in html.read_page(page, "seen")["seen"][1:]:
+                rests.setdefault((row["hash"], row["sketch"]), set()).add(row["rest"])
+        names = {name for name, _ in rests}
+        counts = {name: min(len(rests[name, k]) for k in range(4)) for name in names}
+        expected[h] = sorted(name for name, n in counts.items() if n >= 5 and n >= 0.3 * len(own))
+    assert sorted(sorted(r["__templates"]) for r in found) == sorted(expected.values())
+    assert [len(names) for names in expected.values()] == [3, 3]
+
+
+def test_deep_pages_take_linear_time():
+    assert html.read_page("<div>" * 200_000 + "deep" + "</div>" * 200_000, "seen")["blocks"] == [{"text": "deep"}]
+
+
 def test_template_needs_many_pages_of_one_host(spark):
     rows = [(i, f"http://h{i}.example/", "<body><div>Same everywhere</div><p>own</p></body>") for i in range(9)]
     given = spark.createDataFrame(rows, "page_id long, url string, html string")
