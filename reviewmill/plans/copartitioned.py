@@ -49,7 +49,8 @@ def write_layout(
     """
     store.create_database(spark, database, f"{folder}/catalog")
     hot_path = f"{folder}/{_HOT}"
-    hot_products(reviews, buckets).coalesce(1).write.parquet(hot_path, mode="overwrite")
+    # A rebalance of the few rows found, not coalesce(1), which would count all products in one task.
+    hot_products(reviews, buckets).hint("rebalance").write.parquet(hot_path, mode="overwrite")
     hot = spark.read.schema(f"product_asin STRING, {SLICES} INT").parquet(hot_path)
 
     def sliced(frame: DataFrame) -> DataFrame:
