@@ -23,6 +23,11 @@ from reviewmill.sources.session import own_session
 
 log = logging.getLogger(__name__)
 
+#: Tables with a row for each review, written by the tasks that have just deduplicated or joined them.
+_SHUFFLED = ("reviews", "review_product")
+#: Row groups of parsed rows: small, as one file may come from a whole feed file that couldn't be split.
+_ROW_GROUP = 16 * 1024 * 1024
+
 
 class ReviewLake:
     """The stored tables of one run, each written once on first use and read back.
@@ -73,7 +78,7 @@ class ReviewLake:
             if name not in self._stored:
                 frame = self._builders[name]()
                 log.info("writing %s", tables.table_path(self.base, name))
-                tables.write_table(frame, self.base, name)
+                tables.write_table(frame, self.base, name, rebalance=name not in _SHUFFLED)
                 self._stored[name] = tables.read_table(self.spark, self.base, name)
             return self._stored[name]
 
@@ -167,14 +172,16 @@ def read_report(spark: SparkSession, base: str) -> DataFrame:
 def _parsed(spark: SparkSession, paths: Mapping[str, str], root: str) -> dict[str, DataFrame]:
     """Both feeds as stored rows, their faulty lines in quarantine: each feed is read and parsed once.
 
-    The stored rows are columnar and can be split, whatever the feed's files were like, so what
-    follows has even tasks.
+    The stored rows are columnar and can be split at their small row groups, whatever the feed's files were
+    like, so what follows has even tasks.
     """
     layouts = {"reviews": REVIEW_FEED, "products": PRODUCT_FEED}
     stored = {name: f"{root}/_parsed/{name}" for name in layouts}
     _together(
         spark,
-        lambda name: tables.write_parquet(feeds.read_with_faults(spark, paths[name], layouts[name]), stored[name]),
+        lambda name: tables.write_parquet(
+            feeds.read_with_faults(spark, paths[name], layouts[name]), stored[name], row_group_bytes=_ROW_GROUP
+        ),
         list(layouts),
     )
     columns = f"{feeds.LINE} STRING, {feeds.FILE} STRING"
@@ -215,7 +222,8 @@ def run_batch(
 
     partitions: how many partitions shuffles start with (see ``session.partitions_for``), the
     session's number if not given.
-    spread: move parsed rows to even partitions, for feeds in few or uneven files that can't be split.
+    spread: move parsed rows to even partitions, for feeds in few or uneven files that can't be split. With
+        quarantine the parsed rows are stored so that they can be split, and no shuffle is needed for this.
     salts: see ``operators.cleaning.keep_first``.
     limits: the most that is allowed of named checks (see ``operators.quality.audit``).
     keep: how many publications stay, this one included.
@@ -230,7 +238,8 @@ def run_batch(
             raw = [parsed["reviews"], parsed["products"]]
         else:
             raw = [feeds.read_reviews(own, reviews_path), feeds.read_products(own, products_path)]
-        reviews, products = map(feeds.spread, raw) if spread else raw
+        # Stored rows can be split, so they need no shuffle to be spread.
+        reviews, products = map(feeds.spread, raw) if spread and not quarantine else raw
         lake = ReviewLake(own, reviews, products, root, salts).build()
         remove_folder(own, f"{root}/_parsed")
         rows = _audited(lake, limits)

@@ -56,7 +56,7 @@ def lake(spark: SparkSession, sf_dir: str) -> ReviewLake:
             paths = [supplied_path(sf_dir, name) for name in SUPPLIED]
             needed = partitions_for(feeds.stored_bytes(spark, *paths), GROWTH)
             least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            own = own_session(spark, max(needed, least))
+            own = own_session(spark, max(needed, least), GROWTH)
             _lakes[key] = ReviewLake(
                 own,
                 raw_reviews(own, sf_dir),
