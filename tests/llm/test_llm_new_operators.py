@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from reviewmill.llm import feistel_shards, qd_whitening, queries, vertical_phrases
+from reviewmill.llm import feistel_shards, qd_whitening, queries, toxicity, vertical_phrases
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -258,3 +258,22 @@ def test_ranks(spark):
     given = spark.createDataFrame(rows, "lang string, phrase string, a long, l long, r long, n long, score long")
     got = vertical_phrases.top(given, limit=4).orderBy("rank").collect()
     assert [(r.rank, r.phrase) for r in got] == [(1, "d"), (2, "c"), (3, "b"), (4, "b a")]
+
+
+def test_toxicity_learns_from_every_text(spark, monkeypatch):
+    """A word that only texts far beyond any sample have is learnt, also from long texts, and in several parts."""
+    monkeypatch.setattr(toxicity, "PART_TEXTS", 100)
+    plain = " ".join(f"w{k % 40}" for k in range(30))
+    rows = [(i, f"{plain} vile{i % 2}" if i % 3 == 0 else plain, "en", i % 3 == 0) for i in range(400)]
+    long = " ".join(f"w{k % 40}" for k in range(9000))
+    rows += [(1000 + i, f"{long} rarelong" if i % 2 else long, "en", bool(i % 2)) for i in range(20)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], int(r[3])) for r in rows], "doc_id long, toxic int")
+    dealt, parts = toxicity.fit_rows(docs, labels, "text", "lang", F.lit(True))
+    assert parts == dealt.rdd.getNumPartitions() == 5
+    assert sorted(r.doc_id for r in dealt.select("doc_id").collect()) == sorted(r[0] for r in rows)
+    model = toxicity.train(docs, labels)
+    odd = spark.createDataFrame([(1, long + " rarelong", "en"), (2, long, "en"), (3, plain + " vile1", "en"), (4, plain, "en")], docs.schema)
+    assert [r.predicted for r in toxicity.classify(odd, model).orderBy("doc_id").collect()] == [1, 0, 1, 0]
+    again = toxicity.train(docs.repartition(3), labels)
+    assert np.array_equal(model.embeddings, again.embeddings) and model.bias == again.bias
