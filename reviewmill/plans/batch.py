@@ -19,14 +19,17 @@ from reviewmill.schemas import PRODUCT_FEED, REVIEW_FEED, TABLES
 from reviewmill.sources import feeds, publication, tables
 from reviewmill.sources.files import remove_folder
 from reviewmill.sources.publication import Publication
-from reviewmill.sources.session import own_session
+from reviewmill.sources.session import narrow_session, own_session
 
 log = logging.getLogger(__name__)
 
-#: Tables with a row for each review, written by the tasks that have just deduplicated or joined them.
+#: Tables with a row for each review, written by the tasks that have just read, deduplicated or joined them.
 _SHUFFLED = ("reviews", "review_product")
 #: Row groups of parsed rows: small, as one file may come from a whole feed file that couldn't be split.
 _ROW_GROUP = 16 * 1024 * 1024
+_FEEDS = {"reviews": REVIEW_FEED, "products": PRODUCT_FEED}
+#: Hashes of repeated ids that are broadcast, at most (about 60 bytes each in memory).
+_BROADCAST_HASHES = 1 << 21
 
 
 class ReviewLake:
@@ -47,16 +50,18 @@ class ReviewLake:
         raw_products: DataFrame,
         base: str,
         salts: int | None = None,
+        reread: Callable[[SparkSession], DataFrame] | None = None,
     ):
+        """reread: reads the raw reviews in the given session, where they are stored so that they can well be read more than
+        once. Then only reviews with repeated ids are shuffled.
+        """
         self.spark = spark
         self.base = base.rstrip("/")
         self.raw_reviews = raw_reviews
         self.raw_products = raw_products
         self._stages = f"{self.base}/_stages-{uuid.uuid4().hex}"
         self._builders: dict[str, Callable[[], DataFrame]] = {
-            "reviews": lambda: cleaning.clean_reviews(
-                self._observed("reviews", raw_reviews, "parent_asin", "asin"), salts
-            ),
+            "reviews": lambda: self._reviews(salts),
             "products": lambda: cleaning.clean_products(
                 self._observed("products", raw_products, "parent_asin")
             ),
@@ -67,6 +72,7 @@ class ReviewLake:
             "brand_summary": lambda: summaries.brand_summary(self._rollup()),
             "monthly_review_summary": lambda: summaries.monthly_summary(self._grain()),
         }
+        self._reread = reread
         self._stored: dict[str, DataFrame] = {}
         self._writing = defaultdict(threading.Lock)
         self.seen: dict[str, Observation] = {}
@@ -104,6 +110,22 @@ class ReviewLake:
             del self._stored[name]
         remove_folder(self.spark, self._stages)
 
+    def _reviews(self, salts: int | None) -> DataFrame:
+        ids = ("parent_asin", "asin")
+        if self._reread is None:
+            return cleaning.clean_reviews(self._observed("reviews", self.raw_reviews, *ids), salts)
+        repeated = self._repeated(self._reread, *ids)
+        few = repeated.count() <= _BROADCAST_HASHES
+        return cleaning.clean_reviews(self.raw_reviews, salts, repeated if few else None)
+
+    def _repeated(self, reread: Callable[[SparkSession], DataFrame], *ids: str) -> DataFrame:
+        """The stored hashes of repeated review ids, counted in small partitions: each row of theirs is one of many in memory."""
+        session = narrow_session(self.spark)
+        path = f"{self._stages}/repeated_ids"
+        frame = cleaning.repeated_ids(self._observed("reviews", reread(session), *ids))
+        tables.write_parquet(frame, path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
     def _grain(self) -> DataFrame:
         return self._stage(
             "product_month_stats", lambda: summaries.product_month_stats(self.table("reviews"))
@@ -122,7 +144,7 @@ class ReviewLake:
             if name not in self._stored:
                 path = f"{self._stages}/{name}"
                 frame = make()
-                tables.write_parquet(frame, path)
+                tables.write_parquet(frame, path, codec="zstd")
                 self._stored[name] = self.spark.read.schema(frame.schema).parquet(path)
             return self._stored[name]
 
@@ -169,23 +191,29 @@ def read_report(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.schema(layout).parquet(report_path(publication.root_of(spark, base)))
 
 
+def _stored_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Parsed rows of a feed, with LINE and FILE of faulty lines."""
+    columns = f"{_FEEDS[name]}, {feeds.LINE} STRING, {feeds.FILE} STRING"
+    return spark.read.schema(columns).parquet(f"{root}/_parsed/{name}")
+
+
 def _parsed(spark: SparkSession, paths: Mapping[str, str], root: str) -> dict[str, DataFrame]:
     """Both feeds as stored rows, their faulty lines in quarantine: each feed is read and parsed once.
 
     The stored rows are columnar and can be split at their small row groups, whatever the feed's files were
     like, so what follows has even tasks.
     """
-    layouts = {"reviews": REVIEW_FEED, "products": PRODUCT_FEED}
-    stored = {name: f"{root}/_parsed/{name}" for name in layouts}
     _together(
         spark,
         lambda name: tables.write_parquet(
-            feeds.read_with_faults(spark, paths[name], layouts[name]), stored[name], row_group_bytes=_ROW_GROUP
+            feeds.read_with_faults(spark, paths[name], _FEEDS[name]),
+            f"{root}/_parsed/{name}",
+            row_group_bytes=_ROW_GROUP,
+            codec="zstd",
         ),
-        list(layouts),
+        list(_FEEDS),
     )
-    columns = f"{feeds.LINE} STRING, {feeds.FILE} STRING"
-    rows = {name: spark.read.schema(f"{layouts[name]}, {columns}").parquet(stored[name]) for name in layouts}
+    rows = {name: _stored_rows(spark, root, name) for name in _FEEDS}
     found = feeds.faults(rows["reviews"], "reviews").unionByName(feeds.faults(rows["products"], "products"))
     tables.write_parquet(found.hint("rebalance"), quarantine_path(root))
     return {name: frame.drop(feeds.LINE, feeds.FILE) for name, frame in rows.items()}
@@ -240,7 +268,8 @@ def run_batch(
             raw = [feeds.read_reviews(own, reviews_path), feeds.read_products(own, products_path)]
         # Stored rows can be split, so they need no shuffle to be spread.
         reviews, products = map(feeds.spread, raw) if spread and not quarantine else raw
-        lake = ReviewLake(own, reviews, products, root, salts).build()
+        reread = (lambda session: _stored_rows(session, root, "reviews").drop(feeds.LINE, feeds.FILE)) if quarantine else None
+        lake = ReviewLake(own, reviews, products, root, salts, reread).build()
         remove_folder(own, f"{root}/_parsed")
         rows = _audited(lake, limits)
         lake.published = publication.publish(own, base, root, rows)

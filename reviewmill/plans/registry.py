@@ -62,6 +62,7 @@ def lake(spark: SparkSession, sf_dir: str) -> ReviewLake:
                 raw_reviews(own, sf_dir),
                 raw_products(own, sf_dir),
                 scratch_folder(spark, "lake"),
+                reread=lambda session: raw_reviews(session, sf_dir),
             )
         return _lakes[key]
 

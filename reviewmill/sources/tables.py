@@ -21,13 +21,14 @@ def write_parquet(
     partition_columns: Sequence[str] | None = None,
     rebalance: bool = True,
     row_group_bytes: int | None = None,
+    codec: str = "snappy",
 ) -> None:
-    """Replace a Parquet folder, Snappy-compressed.
+    """Replace a Parquet folder, Snappy-compressed unless another codec is given.
 
     Partitioned output is rebalanced by the partition columns first. Otherwise every task would
     open a file per year; with the hint small partitions are merged and a year with a large share
     of the rows is split over several tasks. ``rebalance=False`` saves that shuffle for rows that come
-    straight from one: its partitions have the advisory size, so a task has enough rows for a file of each year.
+    straight from one, or from the feed: its tasks have enough rows for a file of each year.
 
     row_group_bytes: smaller row groups than Parquet's, for readers that are to split a file further.
     """
@@ -38,7 +39,7 @@ def write_parquet(
         path,
         mode="overwrite",
         partitionBy=list(partition_columns or []),
-        compression="snappy",
+        compression=codec,
     )
 
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from helpers import PRODUCT, REVIEW, plan, products, reviews, rows
 from pyspark.sql import functions as F
 
-from reviewmill.operators import cleaning
-from reviewmill.plans import batch, copartitioned
+from reviewmill.operators import cleaning, joins, summaries
+from reviewmill.plans import batch, copartitioned, upkeep
 from reviewmill.sources import feeds, tables
-from reviewmill.sources.session import PARTITION_BYTES, READ_BYTES, own_session
+from reviewmill.sources.session import PARTITION_BYTES, READ_BYTES, narrow_session, own_session
+
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def test_products_are_not_counted_in_one_task(spark, tmp_path, monkeypatch):
@@ -81,3 +85,52 @@ def test_ids_are_shuffled_as_bytes(spark, wanted):
     cleaned = cleaning.clean_reviews(raw).select(*wanted)
     assert "unhex(" in plan(cleaned).split("Exchange hashpartitioning")[1]
     assert rows(cleaned) == rows(cleaning.keyed_reviews(raw).distinct().select(*wanted))
+
+
+def copies(spark):
+    many = [{"user_id": f"u{i % 40}", "helpful_vote": i, "asin": "A" if i % 3 else None} for i in range(60)]
+    return reviews(spark, REVIEW, *many, {"parent_asin": None, "asin": None}, {"text": None}, {"text": ""})
+
+
+def test_only_reviews_with_repeated_ids_are_shuffled(spark, tmp_path):
+    raw = copies(spark)
+    plain = cleaning.clean_reviews(raw)
+    keyed = cleaning.keyed_reviews(raw)
+    often = keyed.groupBy("review_id").count().where("count > 1").select(F.xxhash64("review_id"))
+    hashes = cleaning.repeated_ids(raw)
+    assert rows(hashes) == rows(often) and 0 < hashes.count() < plain.count()
+    tables.write_parquet(hashes, f"{tmp_path}/h")
+    found = cleaning.clean_reviews(raw, repeated=spark.read.parquet(f"{tmp_path}/h"))
+    assert rows(found) == rows(plain)
+    shown = plan(cleaning.clean_reviews(raw, repeated=spark.read.parquet(f"{tmp_path}/h")))
+    assert shown.count("Exchange hashpartitioning") == 1 and "LeftAnti" in shown
+    # An id that shares its hash by chance is compared by itself.
+    everything = keyed.select(F.xxhash64("review_id").alias(cleaning.ID_HASH)).distinct()
+    assert rows(cleaning.clean_reviews(raw, repeated=everything)) == rows(plain)
+
+
+@pytest.mark.parametrize("most", [1 << 21, 0])
+def test_a_lake_of_stored_feeds_has_the_same_reviews(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(batch, "_BROADCAST_HASHES", most)
+    path, read = f"{tmp_path}/raw", []
+    copies(spark).write.parquet(path)
+
+    def reread(session):
+        read.append(session)
+        return session.read.parquet(path)
+
+    own = own_session(spark)
+    listed = products(own, PRODUCT)
+    lake = batch.ReviewLake(own, own.read.parquet(path), listed, f"{tmp_path}/l", reread=reread)
+    assert rows(lake.table("reviews")) == rows(cleaning.clean_reviews(copies(spark)))
+    assert len(read) == 1 and lake.seen["reviews"].get["lines"] == copies(spark).count()
+    assert lake.seen["reviews"].get["without_key"] == 1
+
+
+def test_years_are_written_without_a_sort(spark, tmp_path):
+    own = own_session(spark)
+    assert int(own.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
+    assert own.conf.get(ADVISORY) == "64m" and int(narrow_session(own).conf.get(ADVISORY)) == PARTITION_BYTES // 8
+    frame = own.range(0, 300, 1, 1).select("id", (F.col("id") % 100).cast("int").alias("review_year"))  # more years than writers
+    tables.write_parquet(frame, f"{tmp_path}/t", ["review_year"], rebalance=False)
+    assert rows(own.read.parquet(f"{tmp_path}/t")) == rows(frame)
