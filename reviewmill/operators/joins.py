@@ -3,6 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from reviewmill.functions import cleaning as rule
+
+_CONTENT = ("product_asin", "user_id", "review_timestamp", "review_title", "review_text")
+_IS_DIGEST = "_is_digest"
 
 
 def enrich_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
@@ -13,5 +19,18 @@ def enrich_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
     adaptive skew join, which can split the left side of a left join. That needs a plain shuffle
     right below each side, so pass stored tables (or other frames that are not already
     partitioned by product) rather than the products straight from their deduplication.
+
+    A review id that is the digest of its row, as cleaning makes it, isn't carried through the join but computed
+    again behind it: 64 characters that no codec packs are half of what would be shuffled. Any other id is carried.
     """
-    return reviews.join(products, on="product_asin", how="left")
+    kinds = dict(reviews.dtypes)
+    clash = set(kinds) & set(products.columns) != {"product_asin"}
+    if clash or not {"review_id", *_CONTENT} <= set(kinds) or kinds["review_timestamp"] != "timestamp":
+        return reviews.join(products, on="product_asin", how="left")
+    second = F.unix_seconds("review_timestamp")
+    parts = [rule.utc_time(second).text if name == "review_timestamp" else F.col(name) for name in _CONTENT]
+    digest, review_id = rule.content_id(*parts), F.col("review_id")
+    is_digest = review_id.eqNullSafe(digest)
+    carried = reviews.withColumns({_IS_DIGEST: is_digest, "review_id": F.when(~is_digest, review_id)})
+    found = carried.join(products, on="product_asin", how="left")
+    return found.withColumn("review_id", F.when(F.col(_IS_DIGEST), digest).otherwise(review_id)).drop(_IS_DIGEST)

@@ -127,6 +127,20 @@ def test_a_lake_of_stored_feeds_has_the_same_reviews(spark, tmp_path, monkeypatc
     assert lake.seen["reviews"].get["without_key"] == 1
 
 
+def test_digest_ids_are_not_shuffled_for_the_join(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    listed = cleaning.clean_products(products(spark, PRODUCT, {"parent_asin": "P2"}))
+    digests = cleaning.clean_reviews(copies(spark))
+    odd = F.when(F.col("user_id") == "u1", None).when(F.col("user_id") == "u2", "my id").otherwise(F.col("review_id"))
+    for curated in (digests, digests.withColumn("review_id", odd), digests.withColumn("review_timestamp", F.lit(None).cast("timestamp"))):
+        plain = curated.join(listed, "product_asin", "left")
+        found = joins.enrich_reviews(curated, listed)
+        assert found.dtypes == plain.dtypes and rows(found) == rows(plain)
+        assert "sha2(" in plan(found).split("SortMergeJoin")[0]
+    narrow = digests.select("review_id", "product_asin")
+    assert rows(joins.enrich_reviews(narrow, listed)) == rows(narrow.join(listed, "product_asin", "left"))
+
+
 def test_years_are_written_without_a_sort(spark, tmp_path):
     own = own_session(spark)
     assert int(own.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
