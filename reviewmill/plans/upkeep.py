@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.functions import cleaning as rule
 from reviewmill.operators import cleaning, summaries
 from reviewmill.sources import buckets as store
 from reviewmill.sources import publication, tables
@@ -28,6 +29,8 @@ from reviewmill.sources.tables import quoted
 _MEASURED = ("product_asin", "review_year", "review_month", "rating", "is_verified_purchase", "helpful_vote_count")
 #: One column for each rule of the order of survivors; the least row survives.
 _PLACE = "place"
+#: A delta's surviving rows, kept in the buckets of ``seen`` while they are merged, so that they are shuffled once.
+_CHANGED = "changed"
 
 
 def _place() -> Column:
@@ -50,10 +53,22 @@ def _place() -> Column:
 
 
 def _narrow(raw: DataFrame) -> DataFrame:
-    """What ``seen`` holds of a feed's reviews."""
-    unique = cleaning.dedup_reviews(cleaning.keyed_reviews(raw)).withColumn(_PLACE, _place())
-    timed = cleaning.file_reviews(unique, _PLACE)
-    return timed.select("review_id", *_MEASURED, _PLACE)
+    """What ``seen`` holds of a feed's reviews. The id as its bytes.
+
+    Only id, product, second and place are shuffled: users, titles and texts count by their lengths alone, and the place has the other measures.
+    """
+    keyed = cleaning.keyed_reviews(raw).withColumn(_PLACE, _place())
+    packed = keyed.select(F.unhex("review_id").alias("review_id"), "product_asin", "review_second", _PLACE)
+    unique = cleaning.keep_first(packed, "review_id", [F.asc(_PLACE)])
+    time = rule.utc_time(F.col("review_second"))
+    measured = {
+        "review_year": time.year,
+        "review_month": time.month,
+        "rating": -F.col(f"{_PLACE}.rating"),
+        "is_verified_purchase": ~F.col(f"{_PLACE}.unverified"),
+        "helpful_vote_count": -F.col(f"{_PLACE}.votes"),
+    }
+    return unique.withColumns(measured).select("review_id", *_MEASURED, _PLACE)
 
 
 class Upkeep:
@@ -63,8 +78,11 @@ class Upkeep:
         self.spark, self.base, self.database, self.buckets = spark, base.rstrip("/"), database, buckets
 
     def _entry(self, root: str) -> str:
+        return self._named("seen", root)
+
+    def _named(self, name: str, root: str) -> str:
         generation = root.rsplit("-", 1)[-1]
-        return f"{quoted(self.database)}.{quoted(f'seen_{generation}')}"
+        return f"{quoted(self.database)}.{quoted(f'{name}_{generation}')}"
 
     def _seen(self, root: str) -> DataFrame:
         """The rows of a generation, under a new entry if this application's catalog hasn't got it yet."""
@@ -77,7 +95,10 @@ class Upkeep:
                 f"CREATE TABLE {entry} ({columns}) USING parquet CLUSTERED BY (review_id) SORTED BY (review_id) "
                 f"INTO {self.buckets} BUCKETS LOCATION {tables.text_literal(root + '/seen')}"
             )
-        return self.spark.table(entry)
+        rows = self.spark.table(entry)
+        if dict(rows.dtypes)["review_id"] == "string":  # a generation of the earlier layout, once
+            rows = rows.withColumn("review_id", F.unhex("review_id"))
+        return rows
 
     def grain(self) -> DataFrame:
         """Measures per product and month of all reviews so far."""
@@ -103,13 +124,16 @@ class Upkeep:
         return done
 
     def _remove(self, root: str) -> None:
-        store.drop_table(self.spark, self._entry(root))
+        for name in ("seen", _CHANGED):
+            store.drop_table(self.spark, self._named(name, root))
         remove_folder(self.spark, root)
 
-    def _write_seen(self, rows: DataFrame, root: str, mode: str = "overwrite") -> DataFrame:
+    def _write_seen(self, rows: DataFrame, root: str, mode: str = "overwrite", name: str = "seen") -> DataFrame:
+        """Rows in the buckets of ``seen``."""
+        entry = self._named(name, root)
         store.create_database(self.spark, self.database, f"{self.base}/catalog")
-        store.write_bucketed(rows, self._entry(root), f"{root}/seen", ["review_id"], self.buckets, mode)
-        return self.spark.table(self._entry(root))
+        store.write_bucketed(rows, entry, f"{root}/{name}", ["review_id"], self.buckets, mode, codec="zstd")
+        return self.spark.table(entry)
 
     def _first(self, raw: DataFrame, root: str) -> dict[str, int]:
         seen = self._write_seen(_narrow(raw), root)
@@ -126,20 +150,21 @@ class Upkeep:
         return found.where(F.col("old").isNull() | (F.col(_PLACE) < F.col(f"old.{_PLACE}")))
 
     def _merge(self, raw: DataFrame, before: str, root: str) -> dict[str, int]:
-        changed_path = f"{root}/changed"
-        tables.write_parquet(self.changes(_narrow(raw), before), changed_path)
-        changed = self.spark.read.parquet(changed_path)
+        changed = self._write_seen(self.changes(_narrow(raw), before), root, name=_CHANGED)
         self._write_seen(self._replaced(changed, before), root)
         self._write_seen(changed.where("old IS NULL").drop("old"), root, "append")
-        added = summaries.product_month_stats(changed)
-        taken = summaries.product_month_stats(changed.where("old IS NOT NULL").select("old.*"))
+        keys = ("product_asin", "review_year", "review_month")
         names = [*summaries.PRODUCT_MEASURES, *summaries.STAR_MEASURES]
+        added = changed.select(*keys, *summaries.review_measures())
+        taken = changed.where("old IS NOT NULL").select("old.*").select(*keys, *summaries.review_measures())
         minus = taken.withColumns({name: -F.col(name) for name in names})
         grain = self.spark.read.parquet(f"{before}/grain")
-        merged = grain.unionByName(added).unionByName(minus).groupBy("product_asin", "review_year", "review_month")
+        # Rows are added up with the grain at once, so they are shuffled once.
+        merged = grain.unionByName(added).unionByName(minus).groupBy(*keys)
         tables.write_parquet(merged.agg(*[F.sum(name).cast(grain.schema[name].dataType).alias(name) for name in names]), f"{root}/grain")
         rows = {"seen": self.spark.table(self._entry(root)).count(), "changed": changed.count()}
-        remove_folder(self.spark, changed_path)
+        store.drop_table(self.spark, self._named(_CHANGED, root))
+        remove_folder(self.spark, f"{root}/{_CHANGED}")
         return rows
 
     def _replaced(self, changed: DataFrame, before: str) -> DataFrame:

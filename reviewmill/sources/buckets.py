@@ -15,7 +15,7 @@ def create_database(spark: SparkSession, database: str, location: str) -> None:
 
 
 def write_bucketed(
-    frame: DataFrame, entry: str, path: str, keys: Sequence[str], buckets: int, mode: str = "overwrite"
+    frame: DataFrame, entry: str, path: str, keys: Sequence[str], buckets: int, mode: str = "overwrite", codec: str = "snappy"
 ) -> None:
     """Store rows as a table in buckets of some keys, sorted by them, or append them to one. entry: quoted name.
 
@@ -24,7 +24,7 @@ def write_bucketed(
     """
     dealt = frame.repartition(buckets, *keys).sortWithinPartitions(*keys)
     writer = dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
-    writer.option("path", path).option("compression", "snappy").mode(mode).saveAsTable(entry)
+    writer.option("path", path).option("compression", codec).mode(mode).saveAsTable(entry)
 
 
 def drop_table(spark: SparkSession, entry: str) -> None:

@@ -148,3 +148,30 @@ def test_years_are_written_without_a_sort(spark, tmp_path):
     frame = own.range(0, 300, 1, 1).select("id", (F.col("id") % 100).cast("int").alias("review_year"))  # more years than writers
     tables.write_parquet(frame, f"{tmp_path}/t", ["review_year"], rebalance=False)
     assert rows(own.read.parquet(f"{tmp_path}/t")) == rows(frame)
+
+
+def test_upkeep_shuffles_ids_and_places_alone(spark, tmp_path):
+    raw = copies(spark)
+    narrow = upkeep._narrow(raw)
+    above, below = plan(narrow).split("Exchange hashpartitioning")
+    assert dict(narrow.dtypes)["review_id"] == "binary"
+    assert "review_title" not in above and "[place#" in below and "_w0" not in below
+    curated = cleaning.clean_reviews(raw)
+    names = [name for name in narrow.columns if name not in ("review_id", "place")]
+    assert rows(narrow.select(F.lower(F.hex("review_id")), *names)) == rows(curated.select("review_id", *names))
+    assert rows(curated.groupBy().agg(*summaries.measures())) == rows(
+        curated.select(*summaries.review_measures()).groupBy().agg(*[F.sum(name) for name in summaries.PRODUCT_MEASURES + summaries.STAR_MEASURES])
+    )
+
+
+def test_a_generation_with_ids_as_text_is_still_read(spark, tmp_path, monkeypatch):
+    own, narrow = own_session(spark), upkeep._narrow
+    kept = upkeep.Upkeep(own, str(tmp_path), "growth_text_ids", buckets=4)
+    monkeypatch.setattr(upkeep, "_narrow", lambda raw: narrow(raw).withColumn("review_id", F.lower(F.hex("review_id"))))
+    first = kept.add(copies(own))
+    monkeypatch.undo()
+    again = kept.add(copies(own))
+    assert again.rows == {"seen": first.rows["seen"], "changed": 0}
+    later = kept.add(reviews(own, {"user_id": "new"}))
+    assert later.rows == {"seen": first.rows["seen"] + 1, "changed": 1}
+    assert not [name for name in os.listdir(later.root) if "changed" in name]
