@@ -23,8 +23,6 @@ from reviewmill.sources.session import narrow_session, own_session
 
 log = logging.getLogger(__name__)
 
-#: Tables with a row for each review, written by the tasks that have just read, deduplicated or joined them.
-_SHUFFLED = ("reviews", "review_product")
 #: Row groups of parsed rows: small, as one file may come from a whole feed file that couldn't be split.
 _ROW_GROUP = 16 * 1024 * 1024
 _FEEDS = {"reviews": REVIEW_FEED, "products": PRODUCT_FEED}
@@ -84,7 +82,7 @@ class ReviewLake:
             if name not in self._stored:
                 frame = self._builders[name]()
                 log.info("writing %s", tables.table_path(self.base, name))
-                tables.write_table(frame, self.base, name, rebalance=name not in _SHUFFLED)
+                tables.write_table(frame, self.base, name)
                 self._stored[name] = tables.read_table(self.spark, self.base, name)
             return self._stored[name]
 
@@ -111,18 +109,17 @@ class ReviewLake:
         remove_folder(self.spark, self._stages)
 
     def _reviews(self, salts: int | None) -> DataFrame:
-        ids = ("parent_asin", "asin")
-        if self._reread is None:
-            return cleaning.clean_reviews(self._observed("reviews", self.raw_reviews, *ids), salts)
-        repeated = self._repeated(self._reread, *ids)
-        few = repeated.count() <= _BROADCAST_HASHES
-        return cleaning.clean_reviews(self.raw_reviews, salts, repeated if few else None)
-
-    def _repeated(self, reread: Callable[[SparkSession], DataFrame], *ids: str) -> DataFrame:
+        observed = self._observed("reviews", self.raw_reviews, "parent_asin", "asin")
+        repeated = self._repeated(self._reread) if self._reread else None
+        if repeated is None or repeated.count() > _BROADCAST_HASHES:
+            return cleaning.clean_reviews(observed, salts)
+        return cleaning.clean_reviews(observed, salts, repeated, again=self.raw_reviews)
+
+    def _repeated(self, reread: Callable[[SparkSession], DataFrame]) -> DataFrame:
         """The stored hashes of repeated review ids, counted in small partitions: each row of theirs is one of many in memory."""
         session = narrow_session(self.spark)
         path = f"{self._stages}/repeated_ids"
-        frame = cleaning.repeated_ids(self._observed("reviews", reread(session), *ids))
+        frame = cleaning.repeated_ids(reread(session))
         tables.write_parquet(frame, path)
         return self.spark.read.schema(frame.schema).parquet(path)
 

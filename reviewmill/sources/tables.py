@@ -13,6 +13,8 @@ from reviewmill.sources import publication
 
 #: What tables are joined and grouped by: the columns whose distinct values and widths the planner should know.
 KEY_COLUMNS = ("product_asin", "review_id", "brand", "review_month")
+#: Tables with a row for each review, written by the tasks that have just read, deduplicated or joined them.
+_SHUFFLED = ("reviews", "review_product")
 
 
 def write_parquet(
@@ -48,10 +50,10 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{TABLES[name].folder}"
 
 
-def write_table(frame: DataFrame, base: str, name: str, rebalance: bool = True) -> None:
+def write_table(frame: DataFrame, base: str, name: str) -> None:
     """Store a table below the base folder in its fixed column order."""
     table = TABLES[name]
-    write_parquet(frame.select(table.names), table_path(base, name), table.partition, rebalance)
+    write_parquet(frame.select(table.names), table_path(base, name), table.partition, name not in _SHUFFLED)
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
