@@ -59,7 +59,7 @@ class ReviewLake:
         self.raw_products = raw_products
         self._stages = f"{self.base}/_stages-{uuid.uuid4().hex}"
         self._builders: dict[str, Callable[[], DataFrame]] = {
-            "reviews": lambda: self._reviews(salts),
+            "reviews": self.cleaned_reviews,
             "products": lambda: cleaning.clean_products(
                 self._observed("products", raw_products, "parent_asin")
             ),
@@ -70,7 +70,7 @@ class ReviewLake:
             "brand_summary": lambda: summaries.brand_summary(self._rollup()),
             "monthly_review_summary": lambda: summaries.monthly_summary(self._grain()),
         }
-        self._reread = reread
+        self._salts, self._reread = salts, reread
         self._stored: dict[str, DataFrame] = {}
         self._writing = defaultdict(threading.Lock)
         self.seen: dict[str, Observation] = {}
@@ -86,18 +86,22 @@ class ReviewLake:
                 self._stored[name] = tables.read_table(self.spark, self.base, name)
             return self._stored[name]
 
-    def build(self) -> ReviewLake:
+    def build(self, cleaned: Callable[[], None] | None = None) -> ReviewLake:
         """Write all six tables.
 
+        cleaned: called when reviews and products are written, from when on the raw feeds aren't read any more.
+
         Tables that do not depend on each other are submitted together, so that the last tasks of
         one write do not leave the cluster idle. The caller's job group applies to all of them.
         The stages go when this ends, also when a write fails.
         """
-        cleaned = ["reviews", "products"]
-        derived = [name for name in TABLES if name not in cleaned]
+        from_feeds = ["reviews", "products"]
+        derived = [name for name in TABLES if name not in from_feeds]
         try:
-            for group in (cleaned, derived):
-                _together(self.spark, self.table, group)
+            _together(self.spark, self.table, from_feeds)
+            if cleaned:
+                cleaned()
+            _together(self.spark, self.table, derived)
         finally:
             self.drop_stages()
         return self
@@ -108,17 +112,18 @@ class ReviewLake:
             del self._stored[name]
         remove_folder(self.spark, self._stages)
 
-    def _reviews(self, salts: int | None) -> DataFrame:
+    def cleaned_reviews(self) -> DataFrame:
+        """The curated reviews, to be written: from the raw feed, of which only rows with repeated ids are shuffled where it can be reread."""
         observed = self._observed("reviews", self.raw_reviews, "parent_asin", "asin")
         repeated = self._repeated(self._reread) if self._reread else None
         if repeated is None or repeated.count() > _BROADCAST_HASHES:
-            return cleaning.clean_reviews(observed, salts)
-        return cleaning.clean_reviews(observed, salts, repeated, again=self.raw_reviews)
+            return cleaning.clean_reviews(observed, self._salts)
+        return cleaning.clean_reviews(observed, self._salts, repeated, again=self.raw_reviews)
 
     def _repeated(self, reread: Callable[[SparkSession], DataFrame]) -> DataFrame:
         """The stored hashes of repeated review ids, counted in small partitions: each row of theirs is one of many in memory."""
         session = narrow_session(self.spark)
-        path = f"{self._stages}/repeated_ids"
+        path = f"{self._stages}/repeated_ids-{uuid.uuid4().hex}"
         frame = cleaning.repeated_ids(reread(session))
         tables.write_parquet(frame, path)
         return self.spark.read.schema(frame.schema).parquet(path)
@@ -266,8 +271,8 @@ def run_batch(
         # Stored rows can be split, so they need no shuffle to be spread.
         reviews, products = map(feeds.spread, raw) if spread and not quarantine else raw
         reread = (lambda session: _stored_rows(session, root, "reviews").drop(feeds.LINE, feeds.FILE)) if quarantine else None
-        lake = ReviewLake(own, reviews, products, root, salts, reread).build()
-        remove_folder(own, f"{root}/_parsed")
+        # The parsed rows go before the derived tables take their place.
+        lake = ReviewLake(own, reviews, products, root, salts, reread).build(lambda: remove_folder(own, f"{root}/_parsed"))
         rows = _audited(lake, limits)
         lake.published = publication.publish(own, base, root, rows)
     except BaseException:

@@ -453,7 +453,7 @@ STORAGE: dict[str, Query] = {
         "products", lambda source: cleaning.clean_products(source.raw_products)
     ),
     "sink_partitioned_roundtrip": _sink(
-        "reviews", lambda source: cleaning.clean_reviews(source.raw_reviews)
+        "reviews", lambda source: source.cleaned_reviews()
     ),
     "batch_row_counts": _batch_row_counts,
     "catalog_register": _catalog_register,

@@ -15,6 +15,8 @@ from reviewmill.sources import publication
 KEY_COLUMNS = ("product_asin", "review_id", "brand", "review_month")
 #: Tables with a row for each review, written by the tasks that have just read, deduplicated or joined them.
 _SHUFFLED = ("reviews", "review_product")
+#: Their codec: half of their bytes are ids, 64 hexadecimal digits, which Snappy leaves as they are and zstd packs to 32 bytes.
+_REVIEW_CODEC = "zstd"
 
 
 def write_parquet(
@@ -51,9 +53,10 @@ def table_path(root: str, name: str) -> str:
 
 
 def write_table(frame: DataFrame, base: str, name: str) -> None:
-    """Store a table below the base folder in its fixed column order."""
+    """Store a table below the base folder in its fixed column order: tables with a row for each review with zstd, others with Snappy."""
     table = TABLES[name]
-    write_parquet(frame.select(table.names), table_path(base, name), table.partition, name not in _SHUFFLED)
+    path, rebalance = table_path(base, name), name not in _SHUFFLED
+    write_parquet(frame.select(table.names), path, table.partition, rebalance, codec="snappy" if rebalance else _REVIEW_CODEC)
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
