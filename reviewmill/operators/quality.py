@@ -46,7 +46,7 @@ def duplicate_ids(reviews: DataFrame, products: DataFrame) -> DataFrame:
     """Rows beyond the first of each id, per table."""
     return _union(
         [
-            frame.agg(_surplus(key).alias("duplicate_count")).select(
+            _surplus(frame, key, "duplicate_count").select(
                 F.lit(name).alias("table_name"), "duplicate_count"
             )
             for name, frame, key in (
@@ -107,11 +107,19 @@ def _missing_key() -> Column:
     return F.count_if(~rule.is_present(F.col("product_asin")))
 
 
-def _surplus(key: str) -> Column:
-    """Rows beyond the first of each id; content ids travel as the bytes their hex text stands for."""
+def _surplus(frame: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows beyond the first of each id, in one row; those without an id all count.
+
+    Where no two ids share a 64-bit hash they are all different, and only hashes are shuffled. Otherwise whole ids are compared;
+    content ids travel as the bytes their hex text stands for.
+    """
+    hashes = frame.where(F.col(key).isNotNull()).groupBy(F.xxhash64(key)).agg(F.count(F.lit(1)).alias("n"))
+    shared = hashes.agg(F.coalesce(F.max("n") > 1, F.lit(False))).scalar()
     digest = F.col(key).rlike("^[0-9a-f]{64}$")
     of = F.when(digest, F.unhex(key)).otherwise(F.encode(key, "utf-8"))
-    return F.count(F.lit(1)) - F.countDistinct(of)
+    compared = frame.where(shared).agg(F.countDistinct(of)).scalar()
+    totals = frame.agg(F.count(F.lit(1)).alias("n_rows"), F.count(key).alias("n_ids"))
+    return totals.select((F.col("n_rows") - F.when(shared, compared).otherwise(F.col("n_ids"))).alias(name))
 
 
 def _bad_rating() -> Column:
@@ -126,6 +134,12 @@ def _facts(frame: DataFrame, **measures: Column) -> DataFrame:
     return totals.unpivot([], names, "check_name", "observed")
 
 
+def _duplicates(frame: DataFrame, key: str, name: str) -> DataFrame:
+    """The surplus rows of a table as a fact."""
+    found = _surplus(frame, key, "observed")
+    return found.select(F.lit(name).alias("check_name"), F.col("observed").cast("double").alias("observed"))
+
+
 def _review_facts(reviews: DataFrame) -> DataFrame:
     """The review table's measures per year, as facts to be added up; zero facts for an empty table."""
     measures = {
@@ -178,8 +192,8 @@ def quality_report(
             unmatched_reviews=no_title,
             unmatched_percent=F.round(F.try_divide(F.lit(100.0) * no_title, rows), 2),
         ),
-        _facts(reviews, duplicate_review_ids=_surplus("review_id")),
-        _facts(products, duplicate_product_ids=_surplus("product_asin")),
+        _duplicates(reviews, "review_id", "duplicate_review_ids"),
+        _duplicates(products, "product_asin", "duplicate_product_ids"),
         _facts(monthly, monthly_total_difference=F.coalesce(F.sum("review_count"), F.lit(0))),
     ]
     informational = F.col("check_name").startswith("rows_") | F.col("check_name").startswith(
