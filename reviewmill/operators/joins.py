@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions import cleaning as rule
@@ -27,10 +27,22 @@ def enrich_reviews(reviews: DataFrame, products: DataFrame) -> DataFrame:
     clash = set(kinds) & set(products.columns) != {"product_asin"}
     if clash or not {"review_id", *_CONTENT} <= set(kinds) or kinds["review_timestamp"] != "timestamp":
         return reviews.join(products, on="product_asin", how="left")
+    return with_digests(without_digests(reviews).join(products, on="product_asin", how="left"))
+
+
+def _digest() -> Column:
+    """What cleaning makes the id from a curated review."""
     second = F.unix_seconds("review_timestamp")
-    parts = [rule.utc_time(second).text if name == "review_timestamp" else F.col(name) for name in _CONTENT]
-    digest, review_id = rule.content_id(*parts), F.col("review_id")
-    is_digest = review_id.eqNullSafe(digest)
-    carried = reviews.withColumns({_IS_DIGEST: is_digest, "review_id": F.when(~is_digest, review_id)})
-    found = carried.join(products, on="product_asin", how="left")
-    return found.withColumn("review_id", F.when(F.col(_IS_DIGEST), digest).otherwise(review_id)).drop(_IS_DIGEST)
+    return rule.content_id(*[rule.utc_time(second).text if name == "review_timestamp" else F.col(name) for name in _CONTENT])
+
+
+def without_digests(reviews: DataFrame) -> DataFrame:
+    """Curated reviews to be shuffled: ids that are the digest of their row are left out, for :func:`with_digests` behind the shuffle."""
+    review_id = F.col("review_id")
+    is_digest = review_id.eqNullSafe(_digest())
+    return reviews.withColumns({_IS_DIGEST: is_digest, "review_id": F.when(~is_digest, review_id)})
+
+
+def with_digests(carried: DataFrame) -> DataFrame:
+    """The result of :func:`without_digests` with all ids again."""
+    return carried.withColumn("review_id", F.when(F.col(_IS_DIGEST), _digest()).otherwise(F.col("review_id"))).drop(_IS_DIGEST)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.operators import summaries
+from reviewmill.operators import joins, summaries
 from reviewmill.schemas import TABLES
 from reviewmill.sources import buckets as store
 from reviewmill.sources.tables import quoted
@@ -45,7 +45,8 @@ def write_layout(
     """Store both tables in buckets below a folder, under their names in the database, replacing earlier ones.
 
     buckets: as many as a shuffle of the reviews would have partitions (``session.partitions_for``).
-    reviews is read twice, once for its products' counts, so pass a stored table.
+    reviews is read twice, once for its products' counts, so pass a stored table. Ids that are digests are left out of the shuffle
+    and computed again behind it, as in ``joins.enrich_reviews``.
     """
     store.create_database(spark, database, f"{folder}/catalog")
     hot_path = f"{folder}/{_HOT}"
@@ -59,11 +60,12 @@ def write_layout(
 
     dealt = F.pmod(F.xxhash64("review_id"), F.col(SLICES)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.col(SLICES) - 1))
+    narrow = joins.without_digests(sliced(reviews).withColumn(SLICE, dealt))
     for name, rows in (
-        (REVIEWS, sliced(reviews).withColumn(SLICE, dealt)),
+        (REVIEWS, joins.with_digests(narrow.repartition(buckets, *KEYS))),
         (PRODUCTS, sliced(products).withColumn(SLICE, copies)),
     ):
-        store.write_bucketed(rows, _entry(database, name), f"{folder}/{name}", KEYS, buckets)
+        store.write_bucketed(rows, _entry(database, name), f"{folder}/{name}", KEYS, buckets, codec="zstd")
         store.set_property(spark, _entry(database, name), _HOT, hot.count())
 
 
