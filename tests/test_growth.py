@@ -8,10 +8,11 @@ import pytest
 from helpers import PRODUCT, REVIEW, plan, products, reviews, rows
 from pyspark.sql import functions as F
 
-from reviewmill.operators import cleaning, joins, summaries
-from reviewmill.plans import batch, copartitioned, upkeep
-from reviewmill.sources import feeds, tables
-from reviewmill.sources.session import PARTITION_BYTES, READ_BYTES, narrow_session, own_session
+from reviewmill.operators import cleaning, joins, quality, summaries
+from reviewmill.plans import batch, copartitioned, registry, upkeep
+from reviewmill.schemas import TABLES
+from reviewmill.sources import buckets, feeds, tables
+from reviewmill.sources.session import PARTITION_BYTES, READ_BYTES, SHUFFLES_GO, narrow_session, own_session
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
@@ -175,3 +176,83 @@ def test_a_generation_with_ids_as_text_is_still_read(spark, tmp_path, monkeypatc
     later = kept.add(reviews(own, {"user_id": "new"}))
     assert later.rows == {"seen": first.rows["seen"] + 1, "changed": 1}
     assert not [name for name in os.listdir(later.root) if "changed" in name]
+
+
+def test_review_tables_are_packed_with_zstd(spark, tmp_path):
+    raw = [reviews(spark, REVIEW, {"user_id": "v"}), products(spark, PRODUCT)]
+    lake = batch.ReviewLake(own_session(spark), *raw, str(tmp_path)).build()
+    ends = {name: {f.split(".", 1)[1].removeprefix("c000.") for _, _, files in os.walk(tables.table_path(lake.base, name)) for f in files if f.endswith(".parquet")} for name in TABLES}
+    assert ends.pop("reviews") == ends.pop("review_product") == {"zstd.parquet"}
+    assert set.union(*ends.values()) == {"snappy.parquet"}
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    own = own_session(spark)
+    assert own.conf.get(SHUFFLES_GO) == "true" and spark.conf.get(SHUFFLES_GO, "false") == "false"
+    frame = cleaning.clean_reviews(reviews(own, REVIEW, {"user_id": "v"}, REVIEW))
+    assert rows(frame) == rows(frame) and len(rows(frame)) == 2  # computed again where it is asked for again
+
+
+def test_the_sink_shuffles_only_reviews_with_repeated_ids(spark, tmp_path, monkeypatch):
+    copies(spark).write.parquet(f"{tmp_path}/raw")
+    own = own_session(spark)
+
+    def read(session):
+        return session.read.parquet(f"{tmp_path}/raw")
+
+    lake = batch.ReviewLake(own, read(own), products(own, PRODUCT), f"{tmp_path}/l", reread=read)
+    monkeypatch.setattr(registry, "lake", lambda *_: lake)
+    written, write = [], tables.write_table
+    monkeypatch.setattr(tables, "write_table", lambda frame, *where: written.append(plan(frame)) or write(frame, *where))
+    found = registry.STORAGE["sink_partitioned_roundtrip"](spark, "unused")
+    assert rows(found.drop("review_timestamp")) == rows(cleaning.clean_reviews(copies(spark)).drop("review_timestamp").select(found.drop("review_timestamp").columns))
+    assert "LeftAnti" in written[0] and written[0].count("Exchange hashpartitioning") == 1
+
+
+def test_parsed_rows_go_before_derived_tables_are_written(spark, tmp_path, monkeypatch):
+    feeds.write_feed(reviews(spark, REVIEW), f"{tmp_path}/r")
+    feeds.write_feed(products(spark, PRODUCT), f"{tmp_path}/p")
+    seen, enrich = [], joins.enrich_reviews
+
+    def spy(*given):
+        seen.extend(name for folder in os.scandir(f"{tmp_path}/l/runs") for name in os.listdir(folder))
+        return enrich(*given)
+
+    monkeypatch.setattr(joins, "enrich_reviews", spy)
+    batch.run_batch(spark, f"{tmp_path}/r", f"{tmp_path}/p", f"{tmp_path}/l")
+    assert "curated" in seen and "_parsed" not in seen
+
+
+def test_ids_are_counted_by_hashes(spark):
+    listed = products(spark, PRODUCT).select(F.col("parent_asin").alias("product_asin"))
+    digest = F.sha2("id", 256)
+    for ids in ([], ["a", "b"], ["a", "b", "a", "a"], [None, "a"], [None, None, "a", "a"], ["", None]):
+        given = spark.createDataFrame([(x,) for x in ids], "id string")
+        for frame in (given.select(F.col("id").alias("review_id")), given.select(digest.alias("review_id"))):
+            found = quality.duplicate_ids(frame, listed)
+            assert rows(found) == [("products", 0), ("reviews", len(ids) - len(set(ids) - {None}))]
+    shown = plan(quality.duplicate_ids(frame, listed))
+    assert "xxhash64(" in shown and "ubquery" in shown
+
+
+def test_buckets_are_written_without_shuffling_digests(spark, tmp_path, monkeypatch):
+    own = own_session(spark)
+    listed = cleaning.clean_products(products(own, PRODUCT, {"parent_asin": "P2"}))
+    curated = cleaning.clean_reviews(copies(own))
+    odd = F.when(F.col("user_id") == "u1", None).when(F.col("user_id") == "u2", "my id").otherwise(F.col("review_id"))
+    shown, write = {}, buckets.write_bucketed
+
+    def spy(frame, entry, path, *args, **kwargs):
+        write(frame, entry, path, *args, **kwargs)
+        shown[path.rsplit("/", 1)[-1]] = plan(frame)
+
+    monkeypatch.setattr(buckets, "write_bucketed", spy)
+    for i, given in enumerate((curated, curated.withColumn("review_id", odd))):
+        given.write.parquet(f"{tmp_path}/{i}")
+        stored = own.read.parquet(f"{tmp_path}/{i}")
+        copartitioned.write_layout(own, f"growth_digests_{i}", f"{tmp_path}/l{i}", stored, listed, buckets=4)
+        found = copartitioned.enriched(own, f"growth_digests_{i}")
+        assert rows(found) == rows(stored.join(listed, "product_asin", "left").select(found.columns))
+        above, below = shown[copartitioned.REVIEWS].split("Exchange hashpartitioning", 1)
+        assert "sha2(" in above and "_is_digest" in below
+        assert all(".zstd." in f for f in os.listdir(f"{tmp_path}/l{i}/{copartitioned.REVIEWS}") if f.endswith(".parquet") and not f.startswith("."))
