@@ -245,6 +245,52 @@ def test_toxicity_learns_words_and_stems(spark):
     assert toxicity.classify(given.limit(0), model).count() == 0
 
 
+def marked(spark, n, long=0):
+    """(texts, labels): every fourth text has a bad word, those with the rarer one are longer by some words."""
+    rows = []
+    for i in range(n):
+        words = prose(40, i).split()
+        if i % 4 == 0:
+            words += prose(long, n + i).split() if i % 8 else []
+            words[i % 40] = "vileword" if i % 8 else "nastyterm"
+        rows.append((i, " ".join(words)))
+    return docs(spark, *rows), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(n)], "doc_id long, toxic int")
+
+
+def caught(given, labels, model):
+    """The share of right answers for either bad word and for clean texts, of texts that weren't learnt from."""
+    scored = toxicity.classify(given, model).join(labels, "doc_id").filter("doc_id % 5 = 0")
+    kind = F.when(F.col("toxic") == 0, 0).otherwise(F.when(F.col("doc_id") % 8 == 0, 1).otherwise(2))
+    right = scored.groupBy(kind.alias("kind")).agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")).alias("share"))
+    return {r.kind: r.share for r in right.collect()}
+
+
+def test_toxicity_learns_from_long_texts(spark):
+    given, labels = marked(spark, 400, long=60)
+    longest = 300  # below the texts with the rarer word, above all others
+    assert given.filter((F.char_length("text") > longest) & (F.col("doc_id") % 8 != 4)).count() == 0
+    assert given.filter((F.char_length("text") > longest) & (F.col("doc_id") % 8 == 4)).count() == 50
+    model = toxicity.train(given, labels, learn=F.col("doc_id") % 5 != 0, fit_chars=longest)
+    assert min(caught(given, labels, model).values()) >= 0.9
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_toxicity_learns_from_more_texts_than_the_driver_fits(spark, monkeypatch, parts):
+    monkeypatch.setattr(toxicity, "PART_TEXTS", 1600 // parts)
+    given, labels = marked(spark, 2000, long=60)
+    given = given.repartition(3)
+    # The start knows no text with the rarer word, which are all longer than it takes.
+    model = toxicity.train(given, labels, learn=F.col("doc_id") % 5 != 0, fit_docs=100, fit_chars=300)
+    assert min(caught(given, labels, model).values()) >= 0.9
+
+
+def test_toxicity_with_a_label_too_rare_to_hold_back(spark):
+    given, _ = marked(spark, 60)
+    labels = spark.createDataFrame([(i, int(i == 8)) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(given, labels, fit_docs=10)
+    assert model is not None and toxicity.classify(given, model).filter("score between 0 and 1").count() == 60
+
+
 def test_lines(spark):
     run = "alpha line\nbeta line\ngamma line"
     long_line = "x" * 250
